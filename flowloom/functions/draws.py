@@ -26,7 +26,8 @@ def draw(n: int, salt: str, *keys: Column | str) -> Column:
     The 53 bits kept from the hash leave a bias below n / 2**53.
     """
     hashed = F.xxhash64(F.lit(salt), *keys)
-    return F.shiftrightunsigned(hashed, 11) % F.lit(n).cast("long")
+    # `%` counts as nullable; coalesce keeps joins on a draw from testing it for NULL, which hashes twice.
+    return F.coalesce(F.shiftrightunsigned(hashed, 11) % F.lit(n).cast("long"), F.lit(0).cast("long"))
 
 
 def label(salt: str, *keys: Column | str) -> Column:

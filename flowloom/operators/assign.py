@@ -21,12 +21,12 @@ def bucket_assign(rows: DataFrame, key: str, n: int = PROTOCOLS, salt: str = "pr
 
 
 def size_fields(rows: DataFrame, key: str, amount: str | None = None) -> DataFrame:
-    """Bytes with one decimal and the packets they fill; `amount` names a column to use instead of the draw."""
+    """Bytes with one decimal and the packets they fill; `amount` names a column to use as bytes instead."""
     if amount is None:
         tenths = draw(MOST_TENTHS - LEAST_TENTHS + 1, "bytes", key) + LEAST_TENTHS
         size = tenths / F.lit(10.0)
     else:
-        size = F.round(F.col(amount).cast("double"), 1)
+        size = F.col(amount).cast("double")
     return rows.withColumn("bytes", size).withColumn("packets", F.ceil(F.col("bytes") / PACKET_BYTES).cast("long"))
 
 

@@ -51,7 +51,7 @@ def domain_class(dim: DataFrame, fake: int = 10, none: int = 10) -> DataFrame:
     """The first `fake` addresses get a generated domain, the next `none` get no domain, the rest keep theirs."""
     count = dim.count()
     if fake + none > count:
-        raise ValueError(f"{fake} generated and {none} missing domains need more than {count} addresses")
+        raise ValueError(f"{fake} generated and {none} missing domains are more than the {count} addresses")
     kind = F.when(F.col("pos") < fake, GENERATED).when(F.col("pos") < fake + none, MISSING).otherwise(KNOWN)
     host = (
         F.when(F.col("class") == GENERATED, F.concat(label("label", "ip_number"), F.lit(GENERATED_ENDING)))

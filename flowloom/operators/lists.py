@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.operators.positions import with_position
@@ -15,10 +15,14 @@ def distinct_values(df: DataFrame, column: str, name: str | None = None) -> Data
     return df.select(F.col(column).alias(name or column)).filter(F.col(name or column).isNotNull()).distinct()
 
 
+def url_host(url: str) -> Column:
+    """Host of a URL; a text that is no URL has none."""
+    return F.try_parse_url(F.col(url), F.lit("HOST"))
+
+
 def host_list(pages: DataFrame, url: str = "url") -> DataFrame:
-    """Every host that occurs in a column of URLs; a text that is no URL has no host."""
-    hosts = pages.select(F.try_parse_url(F.col(url), F.lit("HOST")).alias("host"))
-    return distinct_values(hosts, "host")
+    """Every host that occurs in a column of URLs."""
+    return distinct_values(pages.select(url_host(url).alias("host")), "host")
 
 
 def first_seen_distinct(df: DataFrame, value: str, pos: str) -> DataFrame:

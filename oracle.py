@@ -1,0 +1,303 @@
+"""DuckDB texts for the queries in `__spark_entry__.py`, written independently of the Spark jobs.
+
+Tables are the views the checker registers. Draws are XXH64 over the 8 bytes of a key; the seed of each
+draw is the XXH64 of its salt, so both sides agree bit by bit.
+"""
+
+from __future__ import annotations
+
+import xxhash
+
+SECRET = "check"
+FAVOURED = (8, 44)
+
+WINDOW = ("2024-03-01 10:30:00", 3000)
+DAY = ("2020-06-23 11:00:00", 1440)
+VOLUME = "(select 10 * count(*) from events)"
+EXACT_VOLUME = "(select 3 * count(*) + 7 from events)"
+DENSITY_FLOOR = 0.235
+ENDPOINTS = 150
+CLASS_SIZE = 5
+
+# The five primes of XXH64.
+P1 = 0x9E3779B185EBCA87
+P2 = 0xC2B2AE3D27D4EB4F
+P3 = 0x165667B19E3779F9
+P4 = 0x85EBCA77C2B2AE63
+P5 = 0x27D4EB2F165667C5
+
+
+def _u(n: int) -> str:
+    return f"{n}::uhugeint"
+
+
+_LOW64 = _u(2**64 - 1)
+
+
+def _hash(name: str, key: str, salt: str) -> list[str]:
+    """Select items, each using the one before; the last one is the 64-bit hash, called `name`."""
+    start = (xxhash.xxh64_intdigest(salt.encode(), seed=42) + P5 + 8) % 2**64
+
+    def wrap(text: str) -> str:
+        return f"({text}) & {_LOW64}"
+
+    def rotate(var: str, by: int) -> str:
+        return f"(({var} << {by}) & {_LOW64} | ({var} >> {64 - by}))"
+
+    a, b, c, d, e = (f"{name}_{x}" for x in "abcde")
+    return [
+        f"{wrap(f'({key})::uhugeint * {_u(P2)}')} as {a}",
+        f"xor({_u(start)}, {wrap(f'{rotate(a, 31)} * {_u(P1)}')}) as {b}",
+        f"{wrap(f'({wrap(f'{rotate(b, 27)} * {_u(P1)}')}) + {_u(P4)}')} as {c}",
+        f"{wrap(f'xor({c}, {c} >> 33) * {_u(P2)}')} as {d}",
+        f"{wrap(f'xor({d}, {d} >> 29) * {_u(P3)}')} as {e}",
+        f"xor({e}, {e} >> 32) as {name}",
+    ]
+
+
+def draws(source: str, key: str, **salts: str) -> str:
+    """The source with one 53-bit number per named draw."""
+    items = []
+    for name, salt in salts.items():
+        items += [*_hash(f"{name}_h", key, salt), f"({name}_h >> 11)::bigint as {name}"]
+    return f"select *, {', '.join(items)} from {source}"
+
+
+def query(select: str, **ctes: str) -> str:
+    return "with " + ",\n".join(f"{name} as ({text})" for name, text in ctes.items()) + "\n" + select
+
+
+def dotted(number: str) -> str:
+    return "concat_ws('.', " + ", ".join(f"(({number} >> {s}) & 255)::varchar" for s in (24, 16, 8, 0)) + ")"
+
+
+# Traffic
+
+PROFILE = """select s.slot::integer as slot, coalesce(e.n, 0)::bigint as n
+from (select unnest(generate_series(0, 1439)) as slot) s left join (
+  select ((hour(ts) * 60 + minute(ts) - 660) % 1440 + 1440) % 1440 as slot, count(*) as n from events group by 1
+) e on s.slot = e.slot"""
+
+
+def window(start: str, minutes: int) -> str:
+    first = f"timestamp '{start}'"
+    return f"""select w.i::integer as i, {first} + to_minutes(w.i) as minute_ts, p.slot, p.n
+from (select unnest(generate_series(0, {minutes - 1})) as i) w
+join profile p on p.slot = (w.i + hour({first}) * 60 + minute({first}) - 660 + 1440) % 1440"""
+
+
+ALLOCATION = f"""select w.*, round_even(n * ({VOLUME}::double / (select sum(n) from win)::double), 0)::bigint as c
+from win w"""
+
+UNITS = "select i, minute_ts, unnest(generate_series(1, c)) as k from alloc where c > 0"
+ROWS = "select i::bigint * 1099511627776 + k as id, i, k::bigint as k, minute_ts from units"
+
+
+def traffic(span: tuple[str, int]) -> dict[str, str]:
+    return {"profile": PROFILE, "win": window(*span), "alloc": ALLOCATION, "units": UNITS, "numbered": ROWS}
+
+
+def ticks(every: str) -> dict[str, str]:
+    return {
+        "counts": f"select time_bucket(interval '{every}', ts) as tick, count(*) as n from events group by 1",
+        "spine": f"select unnest(generate_series(min(tick), max(tick), interval '{every}')) as tick from counts",
+        "filled": "select s.tick, coalesce(c.n, 0)::bigint as n from spine s left join counts c on s.tick = c.tick",
+    }
+
+
+# Lists
+
+HOST = "regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)"
+HOSTS = f"select distinct {HOST} as host from pages where {HOST} <> ''"
+
+PORT_TEXT = """select p_partkey as pos, case when p_partkey % 7 = 0 then null
+  when p_partkey % 5 = 0 then p_partkey || '-' || (p_partkey + 3) else p_partkey::varchar end as raw from part"""
+CLEAN = r"""select port, min(pos) as pos from (
+  select pos, case when regexp_matches(raw, '^\s*[+-]?\d+\s*$') then try_cast(raw as integer) end as port from port_text
+) where port is not null group by port"""
+PREFERRED = f"""select (row_number() over (order by case port when {FAVOURED[0]} then 0 when {FAVOURED[1]} then 1 else 2 end, pos)
+  - 1)::bigint as pos, port from clean"""
+WEIGHTED = """select *, (case when pos < 2 then 2 * ((select count(*) from preferred) - 2) else 1 end)::bigint as w
+from preferred"""
+WEIGHTS = "select pos, port, w, (sum(w) over (order by pos))::bigint as hi from weighted"
+PORTS = {"port_text": PORT_TEXT, "clean": CLEAN, "preferred": PREFERRED, "weighted": WEIGHTED, "weights": WEIGHTS}
+
+# Entities
+
+KEYED = f"""select user_id as key, ('0x' || substr(sha256('{SECRET}:' || user_id), 1, 13))::bigint % 4294967295 + 1 as ip_number
+from (select distinct user_id from events)"""
+ADDRESSES = f"""select (row_number() over (order by key) - 1)::bigint as pos, key, ip_number, {dotted('ip_number')} as ip,
+  count(*) over (partition by ip_number) as same_ip from keyed"""
+POOL = f"""select (row_number() over (order by min(key)) - 1)::bigint as pos, ip_number, {dotted('ip_number')} as ip
+from keyed group by ip_number"""
+PLACED_HOSTS = "select host, row_number() over (order by host) - 1 as host_pos from hosts"
+
+
+def assigned(source: str) -> dict[str, str]:
+    return {
+        "host_drawn": draws(source, "ip_number", host="host"),
+        "placed_hosts": PLACED_HOSTS,
+        "assigned": f"""select d.*, p.host as known_host from (select * rename (host as host_draw) from host_drawn) d
+join placed_hosts p on p.host_pos = d.host_draw % (select count(*) from hosts)""",
+    }
+
+
+CLASSED = {
+    "labelled": draws("assigned", "ip_number", letters="label", size="label length"),
+    "dim": f"""select pos, ip_number, ip, case class when 0 then 'generated' when 1 then 'missing' else 'known' end as class,
+  case when class = 0 then left(right(lower(to_base((letters_h >> 1)::bigint, 36, 13)), 10), (5 + size % 6)::integer) || 'DGA.com'
+       when class > 1 then known_host end as host from (select *, pos // {CLASS_SIZE} as class from labelled)""",
+}
+ADDRESS_DIM = {"hosts": HOSTS, "keyed": KEYED, "addresses": ADDRESSES}
+POOL_DIM = {"hosts": HOSTS, "keyed": KEYED, "pool": POOL, **assigned("pool"), **CLASSED}
+
+
+def ends(source: str, key: str, n: str) -> str:
+    return f"""select *, src_draw % {n} as src, (src_draw % {n} + 1 + dst_draw % ({n} - 1)) % {n} as dst
+from ({draws(source, key, src_draw='source', dst_draw='destination')})"""
+
+
+ENRICH = """s.ip as "source_IP", s.host as "source_domainName", d.ip as "destination_IP", d.host as "destination_domainName\""""
+
+# Flows
+
+DIM_SIZE = "(select count(*) from dim)"
+TICKETS = "(select max(hi) from weights)"
+FLOW_CTES = {
+    **traffic(DAY),
+    **POOL_DIM,
+    **PORTS,
+    "drawn": draws(
+        "numbered",
+        "id",
+        ms="offset",
+        proto="protocol",
+        size="bytes",
+        sport="source port",
+        dport="destination port",
+    ),
+    "paired": ends("drawn", "id", DIM_SIZE),
+    "flows": f"""select f.id, (15000 + size % 285001) / 10::double as bytes,
+  ceil((15000 + size % 285001) / 10::double / 1500)::bigint as packets, (proto % 144)::integer as protocol,
+  s.ip as "source_IP", s.host as "source_domainName", ps.port as source_port,
+  d.ip as "destination_IP", d.host as "destination_domainName", pd.port as destination_port,
+  minute_ts + to_milliseconds(ms % 60000) as "timestamp"
+from paired f join dim s on s.pos = f.src join dim d on d.pos = f.dst
+join weights ps on f.sport % {TICKETS} >= ps.hi - ps.w and f.sport % {TICKETS} < ps.hi
+join weights pd on f.dport % {TICKETS} >= pd.hi - pd.w and f.dport % {TICKETS} < pd.hi""",
+}
+SUPPLY = "select 's' || l_suppkey as \"source_IP\", 'p' || l_partkey as \"destination_IP\" from lineitem"
+EDGES = 'select "source_IP" as src, "destination_IP" as dst, count(*) as n from flows group by 1, 2'
+NODES = """select node, sum(o)::bigint as out_degree, sum(i)::bigint as in_degree from (
+  select src as node, 1 as o, 0 as i from edges union all select dst, 0, 1 from edges) group by node"""
+
+
+def oracle_sql() -> dict[str, str]:
+    t = traffic(WINDOW)
+    start, end = "strftime(window_start, '%d%m%Y_%H%M')", "strftime(window_end, '%d%m%Y_%H%M')"
+    both = "case when {0} is null then 'missing' when {0} like '%DGA.com' then 'generated' end"
+    source_flag, destination_flag = both.format('"source_domainName"'), both.format('"destination_domainName"')
+    exact = {
+        "profile": PROFILE,
+        "win": window(*WINDOW),
+        "parts": f"""select *, n::hugeint * {EXACT_VOLUME} // (select sum(n) from win) as base,
+  n::hugeint * {EXACT_VOLUME} % (select sum(n) from win) as rest from win""",
+        "ranked": "select *, row_number() over (order by rest desc, i) as rank from parts",
+    }
+    return {
+        "csv_roundtrip": "select * from events",
+        "export_manifest": f"""select 'flows_' || {start} || '_to_' || {end} as path_label, window_start, window_end, n
+from (select time_bucket(interval '1 day', ts) as window_start,
+  time_bucket(interval '1 day', ts) + interval 1 day as window_end, count(*) as n from events group by 1, 2)""",
+        "typed_projection": """select c_custkey, case when c_nationkey % 5 > 0 then c_acctbal end as c_acctbal,
+  c_nationkey, c_name, null::bigint as c_mktsegment from customer""",
+        "positional_zip": """select l.pos::bigint as pos, event_id, user_id, value_event_id, value
+from (select row_number() over (order by event_id) - 1 as pos, event_id, user_id from events) l
+join (select row_number() over (order by value, event_id) - 1 as pos, event_id as value_event_id, value from events) r
+on l.pos = r.pos""",
+        "host_list": HOSTS,
+        "first_seen_distinct": "select p_brand, min(p_partkey) as pos from part group by p_brand",
+        "port_clean": query("select port, pos from clean", **PORTS),
+        "preferred_first": query("select pos, port from preferred", **PORTS),
+        "weight_table": query("select pos, port, w, hi from weights", **PORTS),
+        "keyed_last_wins": f"""select {HOST} as host, min(page_id) as pos, max_by(url, page_id) as url
+from pages group by 1""",
+        "minute_profile": PROFILE,
+        "profile_window": query("select * from win", **t),
+        "volume_allocation": query("select * from alloc", **t),
+        "volume_total": query(
+            f"""select {VOLUME}::bigint as requested, sum(c)::bigint as allocated,
+  ({VOLUME} - sum(c))::bigint as lost from alloc""",
+            **t,
+        ),
+        "volume_allocation_exact": query(
+            f"""select i, minute_ts, slot, n,
+  (base + case when rank <= {EXACT_VOLUME} - (select sum(base) from parts) then 1 else 0 end)::bigint as c from ranked""",
+            **exact,
+        ),
+        "density_check": query(
+            f"""select tick as window_start, n, n / 1440::double as per_minute,
+  {DENSITY_FLOOR}::double as min_per_minute, n / 1440::double >= {DENSITY_FLOOR}::double as passes from filled""",
+            **ticks("1 day"),
+        ),
+        "row_expansion": query("select * from numbered", **t),
+        "minute_jitter": query(
+            """select id, i, ts, row_number() over (partition by i order by ts, id) as nth,
+  strftime(ts, '%d/%m/%Y %H:%M:%S.%g') as ts_text
+from (select *, minute_ts + to_milliseconds(ms % 60000) as ts from drawn)""",
+            **t,
+            drawn=draws("numbered", "id", ms="offset"),
+        ),
+        "expected_vs_actual": query(
+            """select a.i, a.minute_ts, a.n, a.n / (select sum(n) from win)::double as expected_share,
+  a.c as actual_rows, a.n * ((select sum(c) from alloc)::double / (select sum(n) from win)::double) as expected_rows,
+  a.c - a.n * ((select sum(c) from alloc)::double / (select sum(n) from win)::double) as difference from alloc a""",
+            **t,
+        ),
+        "tick_rollup": query("select tick, strftime(tick, '%H:%M') as label, n from filled", **ticks("5 minutes")),
+        "address_dim": query("select * from addresses", **ADDRESS_DIM),
+        "domain_assign": query(
+            "select pos, key, ip_number, ip, same_ip, known_host as host from assigned",
+            **ADDRESS_DIM,
+            **assigned("addresses"),
+        ),
+        "domain_class": query("select pos, ip_number, ip, host, class from dim", **POOL_DIM),
+        "flag_generated": query(
+            f"""select * from (select *, {source_flag} as source_flag, {destination_flag} as destination_flag from flows)
+where source_flag is not null or destination_flag is not null""",
+            **FLOW_CTES,
+        ),
+        "endpoint_pairs": query(
+            "select event_id, src, dst from paired", paired=ends("events", "event_id", str(ENDPOINTS))
+        ),
+        "endpoint_enrich": query(
+            f"""select event_id, {ENRICH} from paired p join dim s on s.pos = p.src join dim d on d.pos = p.dst""",
+            **POOL_DIM,
+            paired=ends("events", "event_id", DIM_SIZE),
+        ),
+        "bucket_assign": query(
+            "select event_id, (h % 144)::integer as protocol from drawn",
+            drawn=draws("events", "event_id", h="protocol"),
+        ),
+        "size_fields": query(
+            """select event_id, (15000 + h % 285001) / 10::double as bytes,
+  ceil((15000 + h % 285001) / 10::double / 1500)::bigint as packets from drawn""",
+            drawn=draws("events", "event_id", h="bytes"),
+        ),
+        "size_fields_amount": """select l_orderkey, l_linenumber, l_extendedprice as bytes,
+  ceil(l_extendedprice / 1500)::bigint as packets from lineitem""",
+        "weighted_assign": query(
+            f"""select line_id, l_partkey, ps.port as source_port, pd.port as destination_port from drawn f
+join weights ps on f.s % {TICKETS} >= ps.hi - ps.w and f.s % {TICKETS} < ps.hi
+join weights pd on f.d % {TICKETS} >= pd.hi - pd.w and f.d % {TICKETS} < pd.hi""",
+            **PORTS,
+            lines="select l_orderkey * 8 + l_linenumber as line_id, l_partkey from lineitem",
+            drawn=draws("lines", "line_id", s="source port", d="destination port"),
+        ),
+        "flow_table": query("select * exclude (id) from flows", **FLOW_CTES),
+        "flow_preview": query('select * from flows order by "timestamp", id limit 20', **FLOW_CTES),
+        "flow_edges": query("select * from edges", **FLOW_CTES, edges=EDGES),
+        "flow_nodes": query(NODES, **FLOW_CTES, edges=EDGES),
+        "flow_edges_supply": query("select * from edges", flows=SUPPLY, edges=EDGES),
+        "flow_nodes_supply": query(NODES, flows=SUPPLY, edges=EDGES),
+    }
