@@ -14,7 +14,8 @@ def keyed_address(key: Column | str, secret: str) -> Column:
 
     Without the secret the number cannot be tied back to the key by trying all keys.
     """
-    digest = F.sha2(F.concat(F.lit(secret + ":"), F.col(key).cast("string") if isinstance(key, str) else key.cast("string")), 256)
+    text = (F.col(key) if isinstance(key, str) else key).cast("string")
+    digest = F.sha2(F.concat(F.lit(secret + ":"), text), 256)
     number = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
     return number % F.lit(HIGHEST_ADDRESS).cast("long") + F.lit(1)
 

@@ -11,10 +11,8 @@ from pyspark.sql import functions as F
 MINUTES_PER_DAY = 1440
 PROFILE_ANCHOR = 11 * 60
 
-# Fixed formats of window bounds, of exported paths and of timestamp text.
+# Fixed format of window bounds.
 BOUND_FORMAT = "%d/%m/%Y %H:%M"
-BOUND_PATTERN = "dd/MM/yyyy HH:mm"
-TEXT_PATTERN = "dd/MM/yyyy HH:mm:ss.SSS"
 
 
 def bound(value: str | datetime) -> datetime:
@@ -42,11 +40,43 @@ def ntz_literal(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ", timespec="microseconds")).cast("timestamp_ntz")
 
 
+# Timestamp text is put together from the plain cast, which is `yyyy-MM-dd HH:mm:ss[.ffffff]`. date_format
+# would first move a timestamp without time zone into the session's zone and so change hours that
+# this zone skips.
+
+
+def _plain(ts: Column | str) -> Column:
+    return (F.col(ts) if isinstance(ts, str) else ts).cast("string")
+
+
+def _day_text(ts: Column | str) -> Column:
+    text = _plain(ts)
+    return F.concat_ws("/", F.substring(text, 9, 2), F.substring(text, 6, 2), F.substring(text, 1, 4))
+
+
+def time_of_day(ts: Column | str) -> Column:
+    """Hour and minute as HH:mm."""
+    text = _plain(ts)
+    return F.substring(text, 12, 5)
+
+
+def bound_text(ts: Column | str) -> Column:
+    """Bound of a window as dd/MM/yyyy HH:mm; two-digit parts keep labels of different days apart."""
+    return F.concat_ws(" ", _day_text(ts), time_of_day(ts))
+
+
+def timestamp_text(ts: Column | str) -> Column:
+    """dd/MM/yyyy HH:mm:ss.SSS, cut to milliseconds."""
+    text = _plain(ts)
+    milliseconds = F.rpad(F.substring(text, 21, 3), 3, "0")
+    return F.concat(_day_text(ts), F.lit(" "), F.substring(text, 12, 8), F.lit("."), milliseconds)
+
+
 def path_label(text: Column | str) -> Column:
-    """Window bound as part of a path: blank becomes `_`, `/` and `:` go away."""
+    """Window bound as part of a path: a blank becomes `_`, `/` and `:` go away."""
     return F.translate(text, " /:", "_")
 
 
-def bound_text(ts: Column | str) -> Column:
-    """Bound of a window as text; two-digit parts keep labels of different days apart."""
-    return F.date_format(ts, BOUND_PATTERN)
+def path_text(text: str) -> str:
+    """`path_label` of a text known to the caller: 23/6/2020 11:00 -> 2362020_1100."""
+    return text.translate({ord(" "): "_", ord("/"): None, ord(":"): None})

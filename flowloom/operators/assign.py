@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.functions.draws import draw, whole_div
+from flowloom.functions.draws import draw
 from flowloom.operators.sizing import expand_counts, lookup_side
 
 # 144 protocol numbers (0-143), a packet of 1,500 bytes, flows of 1,500.0 to
@@ -34,24 +34,25 @@ def weighted_assign(rows: DataFrame, key: str, weights: DataFrame, value: str, d
     """Values drawn by weight; `draws` names the salt of each new column, and each is a draw of its own.
 
     A row draws a ticket below the sum of weights; it belongs to the value with
-    `hi - w <= ticket < hi`. The ticket range is cut into as many cells as there are values,
-    each value is listed in the cells it touches (at most three per value on average) and rows find it by an
+    `hi - w <= ticket < hi`. The ticket range is cut into one to two cells per value, each value is
+    listed in the cells it touches (at most three per value on average) and rows find it by an
     equi-join on the cell. Tickets are uniform over the cells, so a value that takes 40 % of the rows
     takes 40 % of the cells and no join key is hot.
     """
     count, tickets = weights.agg(F.count("*"), F.max("hi")).first()
     if not count:
         raise ValueError("the weight table is empty")
-    width = max(1, tickets // count)
+    # A cell is 2**bits tickets wide, so that finding the cell of a ticket is a shift.
+    bits = max(1, tickets // count).bit_length() - 1
     lo = F.col("hi") - F.col("w")
-    first_cell = whole_div("_lo", width)
+    first_cell = F.shiftright("_lo", bits)
     spans = weights.filter(F.col("w") > 0).select(lo.alias("_lo"), F.col("hi").alias("_hi"), F.col(value).alias("_value"))
-    spans = spans.withColumn("_cells", whole_div(F.col("_hi") - 1, width) - first_cell + 1)
+    spans = spans.withColumn("_cells", F.shiftright(F.col("_hi") - 1, bits) - first_cell + 1)
     listed = expand_counts(spans, "_cells", "_nth", ["_lo"], 3 * count)
     lookup = lookup_side(listed.select((first_cell + F.col("_nth") - 1).alias("_cell"), "_lo", "_hi", "_value"))
     for into, salt in draws.items():
         ticket = draw(tickets, salt, key)
-        drawn = rows.withColumn("_ticket", ticket).withColumn("_in_cell", whole_div("_ticket", width))
+        drawn = rows.withColumn("_ticket", ticket).withColumn("_in_cell", F.shiftright("_ticket", bits))
         inside = (F.col("_ticket") >= F.col("_lo")) & (F.col("_ticket") < F.col("_hi"))
         found = drawn.join(lookup, (F.col("_in_cell") == F.col("_cell")) & inside)
         rows = found.select(*[F.col(f"`{c}`") for c in rows.columns], F.col("_value").alias(into))

@@ -78,8 +78,9 @@ def endpoint_pairs(rows: DataFrame, key: str, n: int) -> DataFrame:
     """Two different positions below n per row, uniform over all ordered pairs, without a redraw."""
     if n < 2:
         raise ValueError("two different endpoints need at least two addresses")
-    step = draw(n - 1, "destination", key) + 1
-    return rows.withColumn("src", draw(n, "source", key)).withColumn("dst", (F.col("src") + step) % F.lit(n).cast("long"))
+    ahead = F.col("src") + draw(n - 1, "destination", key) + 1
+    wrapped = F.when(ahead < n, ahead).otherwise(ahead - n)
+    return rows.withColumn("src", draw(n, "source", key)).withColumn("dst", wrapped)
 
 
 def endpoint_enrich(pairs: DataFrame, dim: DataFrame) -> DataFrame:

@@ -11,16 +11,18 @@ from pyspark.sql.types import DecimalType
 from flowloom.functions.clock import (
     MINUTES_PER_DAY,
     PROFILE_ANCHOR,
-    TEXT_PATTERN,
     bound,
     ntz_literal,
     slot_column,
     slot_of,
+    time_of_day,
+    timestamp_text,
     window_minutes,
 )
 from flowloom.functions.draws import draw, whole_div
 from flowloom.operators.positions import with_position
 from flowloom.operators.sizing import expand_counts
+from flowloom.sources.staging import stage
 
 # The lowest accepted density is 30,000 rows in 24 hours; an offset inside a minute
 # is a whole number of milliseconds from 0 to 59,999.
@@ -129,7 +131,7 @@ def minute_jitter(rows: DataFrame) -> DataFrame:
         "i",
         "ts",
         (F.col("_before") + F.col("_place")).alias("nth"),
-        F.date_format("ts", TEXT_PATTERN).alias("ts_text"),
+        timestamp_text("ts").alias("ts_text"),
     )
 
 
@@ -152,14 +154,23 @@ def expected_vs_actual(window: DataFrame, allocation: DataFrame) -> DataFrame:
 
 
 def tick_rollup(events: DataFrame, ts: str = "ts", every: str = "5 minutes") -> DataFrame:
-    """Rows per tick from the first to the last tick that holds rows; empty ticks are present as 0."""
-    ticked = events.groupBy(F.window(ts, every).getField("start").alias("tick")).agg(F.count("*").alias("_n"))
-    # The filter is on both uses below, so both read one shuffle and the events are scanned once.
-    counts = ticked.filter(F.col("tick").isNotNull())
+    """Rows per tick from the first to the last tick that holds rows; empty ticks are present as 0.
+
+    The counts are staged: they are needed for the ends of the range and for the ticks, and Spark
+    would scan the events for each.
+    """
+    tick = F.window(ts, every).getField("start").alias("tick")
+    counts = stage(events.groupBy(tick).agg(F.count("*").alias("_n")), "ticks")
+    step = F.expr(f"INTERVAL {every}")
     ends = counts.agg(F.min("tick").alias("_first"), F.max("tick").alias("_last"))
-    ticks = ends.select(F.explode(F.sequence("_first", "_last", F.expr(f"INTERVAL {every}"))).alias("tick"))
+    steps = whole_div(
+        F.timestamp_diff("MICROSECOND", "_first", "_last"),
+        F.timestamp_diff("MICROSECOND", "_first", F.col("_first") + step),
+    )
+    units = expand_counts(ends.withColumn("_ticks", steps + 1), "_ticks", "_k", ["_first"])
+    ticks = units.select((F.col("_first") + step * (F.col("_k") - 1)).alias("tick"))
     filled = ticks.join(counts, "tick", "left")
-    return filled.select("tick", F.date_format("tick", "HH:mm").alias("label"), F.coalesce("_n", F.lit(0)).alias("n"))
+    return filled.select("tick", time_of_day("tick").alias("label"), F.coalesce("_n", F.lit(0)).alias("n"))
 
 
 def density_check(

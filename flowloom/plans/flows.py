@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.functions.clock import window_minutes
 from flowloom.operators.assign import bucket_assign, size_fields, weighted_assign
 from flowloom.operators.entities import (
     address_pool,
@@ -24,7 +25,6 @@ from flowloom.operators.traffic import (
     row_expansion,
     volume_allocation,
 )
-from flowloom.functions.clock import window_minutes
 from flowloom.sources.staging import stage
 
 # Fixed columns and their order.
@@ -41,12 +41,15 @@ FLOW_COLUMNS = [
     "timestamp",
 ]
 
+# Salts of the two port draws.
+PORT_DRAWS = {"source_port": "source port", "destination_port": "destination port"}
+
 
 def known_addresses(
     events: DataFrame, key: str, hosts: DataFrame, secret: str, fake: int = 10, none: int = 10
 ) -> DataFrame:
     """Dimension of addresses with their domains, from the entity keys of the events."""
-    return stage(domain_class(domain_assign(address_pool(events, key, secret), hosts), fake, none), "addresses")
+    return domain_class(stage(domain_assign(address_pool(events, key, secret), hosts), "addresses"), fake, none)
 
 
 def port_weights(ports: DataFrame, favoured: Sequence[int], raw: str = "raw", pos: str = "pos") -> DataFrame:
@@ -58,7 +61,7 @@ def port_weights(ports: DataFrame, favoured: Sequence[int], raw: str = "raw", po
 def flow_rows(
     events: DataFrame,
     hosts: DataFrame,
-    ports: DataFrame,
+    ports: DataFrame | None,
     start: str | datetime,
     end: str | datetime,
     total: int,
@@ -76,27 +79,28 @@ def flow_rows(
     the flows themselves are made in one pass. Every attribute is computed from the row id, and the
     lookups are broadcast joins as long as their measured size allows it, so no flow is shuffled.
 
-    `min_per_minute` makes a volume too thin for the window an error.
+    Without `ports` the two port columns are left out. `min_per_minute` makes a volume too thin
+    for the window an error.
     """
     if min_per_minute is not None and total / window_minutes(start, end) < min_per_minute:
         raise ValueError(f"{total} rows are fewer than {min_per_minute} per minute from {start} to {end}")
     profile = stage(minute_profile(events, ts), "profile")
     allocation = volume_allocation(profile_window(profile, start, end), total)
     addresses = known_addresses(events, key, hosts, secret, fake, none)
-    weights = port_weights(ports, favoured)
+    weights = None if ports is None else port_weights(ports, favoured)
 
     rows = row_expansion(allocation, total)
     rows = rows.select("id", jittered().alias("timestamp"))
     rows = size_fields(bucket_assign(rows, "id"), "id")
     rows = endpoint_enrich(endpoint_pairs(rows, "id", addresses.count()), addresses)
-    ports_drawn = {"source_port": "source port", "destination_port": "destination port"}
-    rows = weighted_assign(rows, "id", weights, "port", ports_drawn)
-    return rows.select("id", *FLOW_COLUMNS)
+    if weights is not None:
+        rows = weighted_assign(rows, "id", weights, "port", PORT_DRAWS)
+    return rows.select("id", *[c for c in FLOW_COLUMNS if c in rows.columns])
 
 
 def flow_table(*args, **kwargs) -> DataFrame:
-    """The ten columns of a flow, in their fixed order; arguments as for `flow_rows`."""
-    return flow_rows(*args, **kwargs).select(*FLOW_COLUMNS)
+    """The columns of a flow in their fixed order; arguments as for `flow_rows`."""
+    return flow_rows(*args, **kwargs).drop("id")
 
 
 def flow_preview(flows: DataFrame, n: int = 20) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.functions.clock import bound_text, path_label
+from flowloom.functions.clock import bound_text, path_label, path_text
 from flowloom.sources.csvfiles import write_csv
 
 
@@ -34,3 +34,15 @@ def export_windows(df: DataFrame, path: str, ts: str = "ts", window: str = "1 da
     start, end = _windows(df, ts, window)
     labelled = df.withColumn("path_label", window_label(start, end, prefix)).hint("rebalance", "path_label")
     write_csv(labelled, path, partition_by=["path_label"])
+
+
+def export_flows(
+    flows: DataFrame, folder: str, start: str, end: str, prefix: str = "flows", files: int | None = None
+) -> str:
+    """Write a flow table as CSV into one folder named by the bounds of its window; return the path.
+
+    An existing path is an error. `files` sets the number of files and costs a shuffle.
+    """
+    path = f"{folder}/{prefix}_{path_text(start)}_to_{path_text(end)}.csv"
+    write_csv(flows, path, files)
+    return path
