@@ -10,6 +10,8 @@ from pyspark.sql.types import BinaryType, StringType
 
 from flowloom.functions.draws import whole_div
 
+# Largest lookup table that is broadcast, unless the session sets another size.
+BROADCAST_SETTING = "flowloom.broadcastBytes"
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Rows made from one array; three levels of it reach 5 * 10**11 rows per input row.
@@ -29,13 +31,14 @@ def table_bytes(df: DataFrame) -> int:
     return rows * width + text_bytes
 
 
-def lookup_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def lookup_side(df: DataFrame) -> DataFrame:
     """Mark a lookup table for broadcast if its measured size allows it.
 
     A larger table goes unmarked and is joined by shuffle; the lookup keys used in this package are
     uniform hashes or positions, so no partition of that shuffle is hot. Pass a staged table: it is
     read twice.
     """
+    limit = int(df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
     return F.broadcast(df) if table_bytes(df) <= limit else df
 
 
