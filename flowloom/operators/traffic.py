@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -21,7 +21,7 @@ from flowloom.functions.clock import (
 )
 from flowloom.functions.draws import draw, whole_div
 from flowloom.operators.positions import with_position
-from flowloom.operators.sizing import expand_counts
+from flowloom.operators.sizing import expand_counts, lookup_side
 from flowloom.sources.staging import stage
 
 # The lowest accepted density is 30,000 rows in 24 hours; an offset inside a minute
@@ -60,8 +60,8 @@ def profile_window(
         F.timestamp_add("MINUTE", F.col("id").cast("int"), ntz_literal(first)).alias("minute_ts"),
         F.pmod(F.col("id") + first_slot, F.lit(MINUTES_PER_DAY)).cast("int").alias("slot"),
     )
-    # A profile has 1,440 rows.
-    laid = spine.join(F.broadcast(profile), "slot", "left")
+    # Both sides are small; Spark picks the join by their sizes.
+    laid = spine.join(profile, "slot", "left")
     return laid.select("i", "minute_ts", "slot", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -103,36 +103,24 @@ def row_expansion(allocation: DataFrame, expected_rows: int | None = None) -> Da
     return units.select(identity.alias("id"), "i", "k", "minute_ts")
 
 
-def offset_in_minute(key: str = "id"):
-    return draw(MILLISECONDS_PER_MINUTE, "offset", key).cast("int")
-
-
-def jittered(minute: str = "minute_ts", key: str = "id"):
+def jittered(minute: str = "minute_ts", key: str = "id") -> Column:
     """Timestamp of a row: its minute plus a drawn number of milliseconds."""
-    return F.timestamp_add("MILLISECOND", offset_in_minute(key), minute)
+    return F.timestamp_add("MILLISECOND", draw(MILLISECONDS_PER_MINUTE, "offset", key).cast("int"), minute)
 
 
 def minute_jitter(rows: DataFrame) -> DataFrame:
     """Timestamp inside the minute, its text form and the ordinal of the row within its minute by time.
 
-    A minute may hold a large share of all rows, so no task orders a whole minute: the ordinal is the
-    number of rows in earlier milliseconds plus the place among the rows of the same millisecond.
-    Rows are shuffled once, by minute and millisecond.
+    A minute may hold a large share of all rows, so no task orders a whole minute: all rows get
+    their global position by time, and the ordinal is the distance from the first of the minute. The
+    result is in time order from partition to partition.
     """
-    placed = rows.withColumn("_ms", offset_in_minute())
-    per_ms = placed.groupBy("i", "_ms").agg(F.count("*").alias("_rows"))
-    earlier = Window.partitionBy("i").orderBy("_ms").rowsBetween(Window.unboundedPreceding, -1)
-    before = per_ms.select("i", "_ms", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    same_ms = Window.partitionBy("i", "_ms").orderBy("id")
-    ordered = placed.withColumn("_place", F.row_number().over(same_ms)).join(before, ["i", "_ms"])
-    timed = ordered.withColumn("ts", F.timestamp_add("MILLISECOND", "_ms", "minute_ts"))
-    return timed.select(
-        "id",
-        "i",
-        "ts",
-        (F.col("_before") + F.col("_place")).alias("nth"),
-        timestamp_text("ts").alias("ts_text"),
-    )
+    timed = rows.select("id", "i", jittered().alias("ts"))
+    placed = with_position(timed, "i", "ts", "id", name="_pos")
+    firsts = placed.groupBy("i").agg(F.min("_pos").alias("_first"))
+    both = placed.join(lookup_side(firsts), "i")
+    nth = F.col("_pos") - F.col("_first") + 1
+    return both.select("id", "i", "ts", nth.alias("nth"), timestamp_text("ts").alias("ts_text"))
 
 
 def expected_vs_actual(window: DataFrame, allocation: DataFrame) -> DataFrame:

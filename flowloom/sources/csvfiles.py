@@ -60,7 +60,7 @@ def read_text_columns_in_order(spark: SparkSession, path: str, *columns: str, na
     return with_position(placed, "_file", "_block", "_line", name=name).drop("_file", "_block", "_line")
 
 
-def csv_roundtrip(df: DataFrame, path: str, files: int | None = 2, multiline: bool = False) -> DataFrame:
-    """Write `df` to `path` as CSV in `files` files and read it back with its own schema."""
+def csv_roundtrip(df: DataFrame, path: str, files: int | None = None, multiline: bool = False) -> DataFrame:
+    """Write `df` to `path` as CSV and read it back with its own schema."""
     write_csv(df, path, files)
     return read_csv(df.sparkSession, path, df.schema, multiline)

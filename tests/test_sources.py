@@ -44,7 +44,7 @@ def test_rows_that_do_not_fit_are_an_error(spark, tmp_path):
         csvfiles.read_csv(spark, str(tmp_path / "bad.csv"), "id bigint").collect()
 
 
-def reference_files(folder):
+def list_files(folder):
     """Files like the public lists of domains and of service ports, cut short."""
     (folder / "domains.csv").write_text("Rank,Domain,TLD\n1,a.example.com,com\n2,b.example.org,org\n3,a.example.com,com\n")
     ports = ["Service Name,Port Number,Protocol", "x,1,tcp", "http,80,tcp", "http,80,udp", "none,,tcp", "range,90-99,tcp"]
@@ -53,7 +53,7 @@ def reference_files(folder):
 
 
 def test_lists_from_csv(spark, tmp_path):
-    reference_files(tmp_path)
+    list_files(tmp_path)
     domains = distinct_values(csvfiles.read_text_columns(spark, str(tmp_path / "domains.csv"), "Domain"), "Domain", "host")
     assert sorted(r["host"] for r in domains.collect()) == ["a.example.com", "b.example.org"]
     ports = csvfiles.read_text_columns_in_order(spark, str(tmp_path / "ports.csv"), "Port Number")
@@ -62,7 +62,7 @@ def test_lists_from_csv(spark, tmp_path):
 
 
 def test_flow_table_from_csv_lists(spark, small, tmp_path):
-    reference_files(tmp_path)
+    list_files(tmp_path)
     events = spark.read.parquet(f"{small}/events.parquet")
     hosts = distinct_values(csvfiles.read_text_columns(spark, str(tmp_path / "domains.csv"), "Domain"), "Domain", "host")
     ports = csvfiles.read_text_columns_in_order(spark, str(tmp_path / "ports.csv"), "Port Number").withColumnRenamed(
