@@ -62,16 +62,16 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traffic.row_expansion(_allocation(spark, sf_dir), _volume(_table(spark, sf_dir, "events")))
 
 
-def _addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _addresses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     events = _table(spark, sf_dir, "events")
     hosts = lists.host_list(_table(spark, sf_dir, "pages"))
     return flows.known_addresses(events, "user_id", hosts, SECRET, oracle.CLASS_SIZE, oracle.CLASS_SIZE)
 
 
-def _flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _flows(spark: SparkSession, sf_dir: str, with_ports: bool = True) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     hosts = lists.host_list(_table(spark, sf_dir, "pages"))
-    ports = _port_text(_table(spark, sf_dir, "part"))
+    ports = _port_text(_table(spark, sf_dir, "part")) if with_ports else None
     classes = {"fake": oracle.CLASS_SIZE, "none": oracle.CLASS_SIZE}
     return flows.flow_rows(events, hosts, ports, *DAY, _volume(events), SECRET, favoured=FAVOURED, **classes)
 
@@ -163,6 +163,10 @@ def domain_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.domain_assign(address_dim(spark, sf_dir), host_list(spark, sf_dir))
 
 
+def domain_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _addresses(spark, sf_dir)[0]
+
+
 def flag_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.flag_generated(_flows(spark, sf_dir))
 
@@ -172,8 +176,8 @@ def endpoint_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def endpoint_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = _addresses(spark, sf_dir)
-    pairs = entities.endpoint_pairs(_table(spark, sf_dir, "events").select("event_id"), "event_id", dim.count())
+    dim, count = _addresses(spark, sf_dir)
+    pairs = entities.endpoint_pairs(_table(spark, sf_dir, "events").select("event_id"), "event_id", count)
     return entities.endpoint_enrich(pairs, dim).drop("src", "dst")
 
 
@@ -206,11 +210,11 @@ def flow_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.flow_edges(_flows(spark, sf_dir))
+    return graph.flow_edges(_flows(spark, sf_dir, with_ports=False))
 
 
 def flow_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.flow_nodes(_flows(spark, sf_dir))
+    return graph.flow_nodes(_flows(spark, sf_dir, with_ports=False))
 
 
 def flow_edges_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,7 +255,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tick_rollup": tick_rollup,
         "address_dim": address_dim,
         "domain_assign": domain_assign,
-        "domain_class": _addresses,
+        "domain_class": domain_class,
         "flag_generated": flag_generated,
         "endpoint_pairs": endpoint_pairs,
         "endpoint_enrich": endpoint_enrich,

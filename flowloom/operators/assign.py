@@ -48,8 +48,9 @@ def weighted_assign(rows: DataFrame, key: str, weights: DataFrame, value: str, d
     first_cell = F.shiftright("_lo", bits)
     spans = weights.filter(F.col("w") > 0).select(lo.alias("_lo"), F.col("hi").alias("_hi"), F.col(value).alias("_value"))
     spans = spans.withColumn("_cells", F.shiftright(F.col("_hi") - 1, bits) - first_cell + 1)
-    listed = expand_counts(spans, "_cells", "_nth", ["_lo"], 3 * count)
-    lookup = lookup_side(listed.select((first_cell + F.col("_nth") - 1).alias("_cell"), "_lo", "_hi", "_value"))
+    most = 3 * count + 1
+    listed = expand_counts(spans, "_cells", "_nth", ["_lo"], most)
+    lookup = lookup_side(listed.select((first_cell + F.col("_nth") - 1).alias("_cell"), "_lo", "_hi", "_value"), most)
     for into, salt in draws.items():
         ticket = draw(tickets, salt, key)
         drawn = rows.withColumn("_ticket", ticket).withColumn("_in_cell", F.shiftright("_ticket", bits))

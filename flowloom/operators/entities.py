@@ -31,11 +31,11 @@ def address_dim(df: DataFrame, key: str, secret: str) -> DataFrame:
     return placed.select("pos", "key", "ip_number", dotted_quad("ip_number").alias("ip"), "same_ip")
 
 
-def address_pool(df: DataFrame, key: str, secret: str) -> DataFrame:
-    """Every address once: keys that share one are one entry, at the place of the first of them."""
+def address_pool(df: DataFrame, key: str, secret: str) -> tuple[DataFrame, int]:
+    """Every address once, and how many there are: keys that share one are one entry, at the place of the first of them."""
     firsts = entity_addresses(df, key, secret).groupBy("ip_number").agg(F.min("key").alias("_first"))
-    placed = with_position(firsts, "_first")
-    return placed.select("pos", "ip_number", dotted_quad("ip_number").alias("ip"))
+    placed, count = numbered(firsts, "_first")
+    return placed.select("pos", "ip_number", dotted_quad("ip_number").alias("ip")), count
 
 
 def domain_assign(addresses: DataFrame, hosts: DataFrame) -> DataFrame:
@@ -47,9 +47,13 @@ def domain_assign(addresses: DataFrame, hosts: DataFrame) -> DataFrame:
     return drawn.join(lookup_side(placed), "_host_pos").drop("_host_pos")
 
 
-def domain_class(dim: DataFrame, fake: int = 10, none: int = 10) -> DataFrame:
-    """The first `fake` addresses get a generated domain, the next `none` get no domain, the rest keep theirs."""
-    count = dim.count()
+def domain_class(dim: DataFrame, fake: int = 10, none: int = 10, count: int | None = None) -> DataFrame:
+    """The first `fake` addresses get a generated domain, the next `none` get no domain, the rest keep theirs.
+
+    Fewer addresses than that are an error; `count` is their number, if the caller knows it.
+    """
+    if count is None:
+        count = dim.count()
     if fake + none > count:
         raise ValueError(f"{fake} generated and {none} missing domains are more than the {count} addresses")
     kind = F.when(F.col("pos") < fake, GENERATED).when(F.col("pos") < fake + none, MISSING).otherwise(KNOWN)

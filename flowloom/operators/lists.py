@@ -52,10 +52,10 @@ def preferred_first(df: DataFrame, value: str, pos: str, preferred: Sequence) ->
         rank = F.when(F.col(value) == F.lit(wanted), place).otherwise(rank)
     ordered = df.select(rank.alias("_rank"), F.col(pos).alias("_pos"), F.col(value))
     placed = with_position(ordered, "_rank", "_pos").select("pos", value, "_rank")
-    # Bounded by the number of named values, unless the list was not distinct.
-    found = placed.filter(F.col("_rank") < len(named)).agg(F.countDistinct("_rank")).first()[0]
-    if found < len(named):
-        raise ValueError(f"{len(named) - found} of the preferred values {named} are not in the list")
+    found = placed.agg(*[F.bool_or(F.col("_rank") == place) for place in range(len(named))]).first() if named else ()
+    absent = [wanted for wanted, seen in zip(named, found) if not seen]
+    if absent:
+        raise ValueError(f"preferred values {absent} are not in the list")
     return placed.drop("_rank")
 
 

@@ -22,24 +22,33 @@ ROWS_PER_TASK = 4_000_000
 _ROWS_IN_ONE_TASK = 100_000
 
 
-def table_bytes(df: DataFrame) -> int:
-    """Size of the rows in memory: measured for texts, 8 bytes for other values, 16 per row and text on top."""
-    width = 16 + sum(24 if isinstance(f.dataType, (StringType, BinaryType)) else 8 for f in df.schema)
-    texts = [F.octet_length(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
-    total = F.coalesce(F.sum(sum((F.coalesce(t, F.lit(0)).cast("long") for t in texts), F.lit(0))), F.lit(0))
-    rows, text_bytes = df.agg(F.count("*"), total).first()
-    return rows * width + text_bytes
+def _texts(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
 
 
-def lookup_side(df: DataFrame) -> DataFrame:
-    """Mark a lookup table for broadcast if its measured size allows it.
+def table_bytes(df: DataFrame, rows: int | None = None) -> int:
+    """Size of the rows in memory: measured for texts, 8 bytes for other values, 16 per row and text on top.
+
+    `rows`, if the caller knows the number or a bound, saves the pass over a table without texts.
+    """
+    texts = _texts(df)
+    width = 16 + 8 * len(df.columns) + 16 * len(texts)
+    if rows is not None and not texts:
+        return rows * width
+    sizes = [F.coalesce(F.sum(F.octet_length(f"`{t}`").cast("long")), F.lit(0)) for t in texts]
+    counted, *text_bytes = df.agg(F.count("*"), *sizes).first()
+    return counted * width + sum(text_bytes)
+
+
+def lookup_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Mark a lookup table for broadcast if its size allows it.
 
     A larger table goes unmarked and is joined by shuffle; the lookup keys used in this package are
-    uniform hashes or positions, so no partition of that shuffle is hot. Pass a staged table: it is
-    read twice.
+    uniform hashes or positions, so no partition of that shuffle is hot. Pass a staged table, or the
+    number of rows: a table that has to be measured is read twice.
     """
     limit = int(df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
-    return F.broadcast(df) if table_bytes(df) <= limit else df
+    return F.broadcast(df) if table_bytes(df, rows) <= limit else df
 
 
 def expand_counts(df: DataFrame, count: str, ordinal: str, keys: list[str], expected_rows: int | None = None) -> DataFrame:

@@ -47,9 +47,10 @@ PORT_DRAWS = {"source_port": "source port", "destination_port": "destination por
 
 def known_addresses(
     events: DataFrame, key: str, hosts: DataFrame, secret: str, fake: int = 10, none: int = 10
-) -> DataFrame:
-    """Dimension of addresses with their domains, from the entity keys of the events."""
-    return domain_class(stage(domain_assign(address_pool(events, key, secret), hosts), "addresses"), fake, none)
+) -> tuple[DataFrame, int]:
+    """Dimension of addresses with their domains, from the entity keys of the events; and its size."""
+    pool, count = address_pool(events, key, secret)
+    return domain_class(stage(domain_assign(pool, hosts), "addresses"), fake, none, count), count
 
 
 def port_weights(ports: DataFrame, favoured: Sequence[int], raw: str = "raw", pos: str = "pos") -> DataFrame:
@@ -86,13 +87,13 @@ def flow_rows(
         raise ValueError(f"{total} rows are fewer than {min_per_minute} per minute from {start} to {end}")
     profile = stage(minute_profile(events, ts), "profile")
     allocation = volume_allocation(profile_window(profile, start, end), total)
-    addresses = known_addresses(events, key, hosts, secret, fake, none)
+    addresses, count = known_addresses(events, key, hosts, secret, fake, none)
     weights = None if ports is None else port_weights(ports, favoured)
 
     rows = row_expansion(allocation, total)
     rows = rows.select("id", jittered().alias("timestamp"))
     rows = size_fields(bucket_assign(rows, "id"), "id")
-    rows = endpoint_enrich(endpoint_pairs(rows, "id", addresses.count()), addresses)
+    rows = endpoint_enrich(endpoint_pairs(rows, "id", count), addresses)
     if weights is not None:
         rows = weighted_assign(rows, "id", weights, "port", PORT_DRAWS)
     return rows.select("id", *[c for c in FLOW_COLUMNS if c in rows.columns])

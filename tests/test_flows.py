@@ -75,7 +75,9 @@ def test_colliding_keys_share_one_pool_entry(spark, monkeypatch):
     events = spark.range(10).select((F.col("id") + 2).alias("user_id"))
     dim = address_dim(events, "user_id", "s").collect()
     assert sorted(r["same_ip"] for r in dim) == [2] * 4 + [3] * 6
-    pool = address_pool(events, "user_id", "s").orderBy("pos").collect()
+    pool, count = address_pool(events, "user_id", "s")
+    pool = pool.orderBy("pos").collect()
+    assert count == 4
     # Keys 2, 3, 4, 5 are the first of their addresses.
     assert [(r["pos"], r["ip_number"]) for r in pool] == [(0, 3), (1, 4), (2, 1), (3, 2)]
 

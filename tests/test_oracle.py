@@ -48,4 +48,6 @@ def test_query(spark, scale, name):
     assert {f.name: f.dataType.simpleString() for f in result.schema} == types
     actual = [tuple(row) for row in result.select(*columns).collect()]
     assert len(actual) > 0
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert comparable(actual) == comparable(expected)
