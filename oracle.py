@@ -122,6 +122,14 @@ from preferred"""
 WEIGHTS = "select pos, port, w, (sum(w) over (order by pos))::bigint as hi from weighted"
 PORTS = {"port_text": PORT_TEXT, "clean": CLEAN, "preferred": PREFERRED, "weighted": WEIGHTED, "weights": WEIGHTS}
 
+
+def port_at(draw: str) -> str:
+    """Position of the port that holds a ticket: two ports of 2 * m tickets, then m ports of one ticket each."""
+    others = "((select count(*) from weights) - 2)"
+    ticket = f"({draw} % (select max(hi) from weights))"
+    return f"""case when {ticket} < 4 * {others} then {ticket} // (2 * {others}) else 2 + {ticket} - 4 * {others} end"""
+
+
 # Entities
 
 KEYED = f"""select user_id as key, ('0x' || substr(sha256('{SECRET}:' || user_id), 1, 13))::bigint % 4294967295 + 1 as ip_number
@@ -162,7 +170,6 @@ ENRICH = """s.ip as "source_IP", s.host as "source_domainName", d.ip as "destina
 # Flows
 
 DIM_SIZE = "(select count(*) from dim)"
-TICKETS = "(select max(hi) from weights)"
 FLOW_CTES = {
     **traffic(DAY),
     **POOL_DIM,
@@ -176,15 +183,15 @@ FLOW_CTES = {
         sport="source port",
         dport="destination port",
     ),
-    "paired": ends("drawn", "id", DIM_SIZE),
+    "ported": f"select *, {port_at('sport')} as sport_pos, {port_at('dport')} as dport_pos from drawn",
+    "paired": ends("ported", "id", DIM_SIZE),
     "flows": f"""select f.id, (15000 + size % 285001) / 10::double as bytes,
   ceil((15000 + size % 285001) / 10::double / 1500)::bigint as packets, (proto % 144)::integer as protocol,
   s.ip as "source_IP", s.host as "source_domainName", ps.port as source_port,
   d.ip as "destination_IP", d.host as "destination_domainName", pd.port as destination_port,
   minute_ts + to_milliseconds(ms % 60000) as "timestamp"
 from paired f join dim s on s.pos = f.src join dim d on d.pos = f.dst
-join weights ps on f.sport % {TICKETS} >= ps.hi - ps.w and f.sport % {TICKETS} < ps.hi
-join weights pd on f.dport % {TICKETS} >= pd.hi - pd.w and f.dport % {TICKETS} < pd.hi""",
+join weights ps on ps.pos = f.sport_pos join weights pd on pd.pos = f.dport_pos""",
 }
 SUPPLY = "select 's' || l_suppkey as \"source_IP\", 'p' || l_partkey as \"destination_IP\" from lineitem"
 EDGES = 'select "source_IP" as src, "destination_IP" as dst, count(*) as n from flows group by 1, 2'
@@ -287,12 +294,12 @@ where source_flag is not null or destination_flag is not null""",
         "size_fields_amount": """select l_orderkey, l_linenumber, l_extendedprice as bytes,
   ceil(l_extendedprice / 1500)::bigint as packets from lineitem""",
         "weighted_assign": query(
-            f"""select line_id, l_partkey, ps.port as source_port, pd.port as destination_port from drawn f
-join weights ps on f.s % {TICKETS} >= ps.hi - ps.w and f.s % {TICKETS} < ps.hi
-join weights pd on f.d % {TICKETS} >= pd.hi - pd.w and f.d % {TICKETS} < pd.hi""",
+            """select line_id, l_partkey, ps.port as source_port, pd.port as destination_port from ported f
+join weights ps on ps.pos = f.s_pos join weights pd on pd.pos = f.d_pos""",
             **PORTS,
             lines="select l_orderkey * 8 + l_linenumber as line_id, l_partkey from lineitem",
             drawn=draws("lines", "line_id", s="source port", d="destination port"),
+            ported=f"select *, {port_at('s')} as s_pos, {port_at('d')} as d_pos from drawn",
         ),
         "flow_table": query("select * exclude (id) from flows", **FLOW_CTES),
         "flow_preview": query('select * from flows order by "timestamp", id limit 20', **FLOW_CTES),
