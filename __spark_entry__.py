@@ -11,14 +11,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-import oracle  # noqa: E402
+import flow_oracle  # noqa: E402
 from flowloom.operators import assign, columns, entities, graph, lists, positions, traffic  # noqa: E402
 from flowloom.plans import flows  # noqa: E402
 from flowloom.sources import csvfiles, exports  # noqa: E402
 from flowloom.sources.staging import fresh_path  # noqa: E402
 
-SECRET = oracle.SECRET
-FAVOURED = oracle.FAVOURED
+SECRET = flow_oracle.SECRET
+FAVOURED = flow_oracle.FAVOURED
 WINDOW = ("1/3/2024 10:30", "3/3/2024 12:30")
 DAY = ("23/6/2020 11:00", "24/6/2020 11:00")
 ROWS_PER_CSV_FILE = 1_000_000
@@ -65,14 +65,14 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _addresses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     events = _table(spark, sf_dir, "events")
     hosts = lists.host_list(_table(spark, sf_dir, "pages"))
-    return flows.known_addresses(events, "user_id", hosts, SECRET, oracle.CLASS_SIZE, oracle.CLASS_SIZE)
+    return flows.known_addresses(events, "user_id", hosts, SECRET, flow_oracle.CLASS_SIZE, flow_oracle.CLASS_SIZE)
 
 
 def _flows(spark: SparkSession, sf_dir: str, with_ports: bool = True) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     hosts = lists.host_list(_table(spark, sf_dir, "pages"))
     ports = _port_text(_table(spark, sf_dir, "part")) if with_ports else None
-    classes = {"fake": oracle.CLASS_SIZE, "none": oracle.CLASS_SIZE}
+    classes = {"fake": flow_oracle.CLASS_SIZE, "none": flow_oracle.CLASS_SIZE}
     return flows.flow_rows(events, hosts, ports, *DAY, _volume(events), SECRET, favoured=FAVOURED, **classes)
 
 
@@ -140,7 +140,7 @@ def volume_allocation_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def density_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traffic.density_check(_table(spark, sf_dir, "events"), min_per_minute=oracle.DENSITY_FLOOR)
+    return traffic.density_check(_table(spark, sf_dir, "events"), min_per_minute=flow_oracle.DENSITY_FLOOR)
 
 
 def minute_jitter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +172,7 @@ def flag_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def endpoint_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.endpoint_pairs(_table(spark, sf_dir, "events").select("event_id"), "event_id", oracle.ENDPOINTS)
+    return entities.endpoint_pairs(_table(spark, sf_dir, "events").select("event_id"), "event_id", flow_oracle.ENDPOINTS)
 
 
 def endpoint_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,4 +274,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The same queries as DuckDB text; column names match."""
-    return oracle.oracle_sql()
+    return flow_oracle.oracle_sql()

@@ -17,9 +17,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows made from one array; three levels of it reach 5 * 10**11 rows per input row.
 _STEP = 8192
 ROWS_PER_TASK = 4_000_000
-
-# Fewer rows than this are not worth a shuffle.
-_ROWS_IN_ONE_TASK = 100_000
+LEAST_ROWS_PER_TASK = 50_000
 
 
 def _texts(df: DataFrame) -> list[str]:
@@ -62,10 +60,9 @@ def expand_counts(df: DataFrame, count: str, ordinal: str, keys: list[str], expe
     spark = df.sparkSession
     if expected_rows is None:
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    elif expected_rows <= _ROWS_IN_ONE_TASK:
-        tasks = 1
     else:
-        tasks = max(spark.sparkContext.defaultParallelism, math.ceil(expected_rows / ROWS_PER_TASK))
+        useful = min(spark.sparkContext.defaultParallelism, expected_rows // LEAST_ROWS_PER_TASK)
+        tasks = max(1, useful, math.ceil(expected_rows / ROWS_PER_TASK))
     last = F.col(count) - 1
     blocks = df.filter(F.col(count) > 0).withColumn(
         "_block", F.explode(F.sequence(F.lit(0).cast("long"), whole_div(last, _STEP * _STEP)))

@@ -155,7 +155,9 @@ def tick_rollup(events: DataFrame, ts: str = "ts", every: str = "5 minutes") ->
         F.timestamp_diff("MICROSECOND", "_first", "_last"),
         F.timestamp_diff("MICROSECOND", "_first", F.col("_first") + step),
     )
-    units = expand_counts(ends.withColumn("_ticks", steps + 1), "_ticks", "_k", ["_first"])
+    span = ends.select("_first", (steps + 1).alias("_ticks"))
+    number = span.first()["_ticks"] or 0
+    units = expand_counts(span, "_ticks", "_k", ["_first"], number)
     ticks = units.select((F.col("_first") + step * (F.col("_k") - 1)).alias("tick"))
     filled = ticks.join(counts, "tick", "left")
     return filled.select("tick", time_of_day("tick").alias("label"), F.coalesce("_n", F.lit(0)).alias("n"))

@@ -91,6 +91,14 @@ def test_exact_allocation_is_largest_remainder(spark, total):
     assert counts(volume_allocation_exact(window_of(spark, *values), total)) == base
 
 
+@pytest.mark.parametrize("total", [1, 30_000, 3_000_001, 10**13])
+def test_allocation_rounds_half_to_even(spark, total):
+    values = [(i * i * 7919) % 97 for i in range(1440)]
+    whole = sum(values)
+    expected = [round(v * (total / whole)) for v in values]
+    assert counts(volume_allocation(window_of(spark, *values), total)) == expected
+
+
 def test_rounding_loses_at_most_half_a_row_per_minute(spark):
     values = [(i * 37) % 23 + 1 for i in range(500)]
     lost = volume_total(volume_allocation(window_of(spark, *values), 7_777), 7_777).first()["lost"]
