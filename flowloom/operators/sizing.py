@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 from flowloom.functions.draws import whole_div
 
@@ -20,22 +20,19 @@ ROWS_PER_TASK = 4_000_000
 LEAST_ROWS_PER_TASK = 50_000
 
 
-def _texts(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
-
-
 def table_bytes(df: DataFrame, rows: int | None = None) -> int:
-    """Size of the rows in memory: measured for texts, 8 bytes for other values, 16 per row and text on top.
+    """Size of the rows in memory: 8 bytes for a number or date, the measured length for any other value.
 
-    `rows`, if the caller knows the number or a bound, saves the pass over a table without texts.
+    16 bytes per row and per measured value come on top. `rows`, if the caller knows the number or a
+    bound, saves the pass over a table in which nothing has to be measured.
     """
-    texts = _texts(df)
-    width = 16 + 8 * len(df.columns) + 16 * len(texts)
-    if rows is not None and not texts:
+    measured = [f.name for f in df.schema if not isinstance(f.dataType, (NumericType, BooleanType, DatetimeType))]
+    width = 16 + 8 * len(df.columns) + 16 * len(measured)
+    if rows is not None and not measured:
         return rows * width
-    sizes = [F.coalesce(F.sum(F.octet_length(f"`{t}`").cast("long")), F.lit(0)) for t in texts]
-    counted, *text_bytes = df.agg(F.count("*"), *sizes).first()
-    return counted * width + sum(text_bytes)
+    lengths = [F.octet_length(F.col(f"`{name}`").cast("string")).cast("long") for name in measured]
+    counted, *total = df.agg(F.count("*"), *[F.coalesce(F.sum(n), F.lit(0)) for n in lengths]).first()
+    return counted * width + sum(total)
 
 
 def lookup_side(df: DataFrame, rows: int | None = None) -> DataFrame:

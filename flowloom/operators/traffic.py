@@ -112,8 +112,7 @@ def minute_jitter(rows: DataFrame) -> DataFrame:
     """Timestamp inside the minute, its text form and the ordinal of the row within its minute by time.
 
     A minute may hold a large share of all rows, so no task orders a whole minute: all rows get
-    their global position by time, and the ordinal is the distance from the first of the minute. The
-    result is in time order from partition to partition.
+    their global position by time, and the ordinal is the distance from the first of the minute.
     """
     timed = rows.select("id", "i", jittered().alias("ts"))
     placed = with_position(timed, "i", "ts", "id", name="_pos")

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from flowloom.functions.clock import window_minutes
 from flowloom.operators.assign import bucket_assign, size_fields, weighted_assign
