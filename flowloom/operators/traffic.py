@@ -40,7 +40,9 @@ def minute_profile(events: DataFrame, ts: str = "ts", anchor: int = PROFILE_ANCH
 
     Counts are combined before the shuffle, so each task sends at most 1,440 rows.
     """
-    counts = events.groupBy(slot_column(ts, anchor).alias("slot")).agg(F.count("*").alias("_n"))
+    # A missing time gets a slot that no profile has; a slot that can be NULL would be computed twice.
+    slot = F.coalesce(slot_column(ts, anchor), F.lit(-1))
+    counts = events.groupBy(slot.alias("slot")).agg(F.count("*").alias("_n"))
     slots = events.sparkSession.range(0, MINUTES_PER_DAY, 1, 1).select(F.col("id").cast("int").alias("slot"))
     # At most one row per slot, so the broadcast side is bounded by the day.
     filled = slots.join(F.broadcast(counts), "slot", "left")

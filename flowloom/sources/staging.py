@@ -29,9 +29,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path no other run uses."""
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -39,3 +43,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete all this application has staged, when no result that reads it is needed any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

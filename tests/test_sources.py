@@ -95,3 +95,12 @@ def test_shared_folder(spark, monkeypatch):
     unset = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.shared_folder(unset)
+
+
+def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path / "shared"))
+    staged = staging.stage(spark.range(5), "numbers")
+    assert staged.count() == 5 and len(os.listdir(tmp_path / "shared")) == 1
+    staging.drop_staged(spark)
+    assert os.listdir(tmp_path / "shared") == []
+    staging.drop_staged(spark)
