@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 
 from flowloom.functions.clock import window_minutes
 from flowloom.operators.assign import bucket_assign, size_fields, weighted_assign
@@ -58,6 +60,12 @@ def port_weights(ports: DataFrame, favoured: Sequence[int], raw: str = "raw", po
     return weight_table(listed, "port", len(favoured))
 
 
+def _side_by_side(spark: SparkSession, *steps: Callable) -> list:
+    """Results of steps that do not need each other; their Spark jobs share the cluster."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]]
+
+
 def flow_rows(
     events: DataFrame,
     hosts: DataFrame,
@@ -75,8 +83,8 @@ def flow_rows(
 ) -> DataFrame:
     """The flow table with the id of each row.
 
-    The profile, the addresses and the ports are small results of large scans; each is staged, so
-    the flows themselves are made in one pass. Every attribute is computed from the row id, and the
+    The profile, the addresses and the ports are small results of large scans; they are computed
+    side by side and staged, so the flows themselves are made in one pass. Every attribute is computed from the row id, and the
     lookups are broadcast joins as long as their measured size allows it, so no flow is shuffled.
 
     Without `ports` the two port columns are left out. `min_per_minute` makes a volume too thin
@@ -84,10 +92,13 @@ def flow_rows(
     """
     if min_per_minute is not None and total / window_minutes(start, end) < min_per_minute:
         raise ValueError(f"{total} rows are fewer than {min_per_minute} per minute from {start} to {end}")
-    profile = stage(minute_profile(events, ts), "profile")
+    profile, (addresses, count), weights = _side_by_side(
+        events.sparkSession,
+        lambda: stage(minute_profile(events, ts), "profile"),
+        lambda: known_addresses(events, key, hosts, secret, fake, none),
+        lambda: None if ports is None else port_weights(ports, favoured),
+    )
     allocation = volume_allocation(profile_window(profile, start, end), total)
-    addresses, count = known_addresses(events, key, hosts, secret, fake, none)
-    weights = None if ports is None else port_weights(ports, favoured)
 
     rows = row_expansion(allocation, total)
     rows = rows.select("id", jittered().alias("timestamp"))
