@@ -17,6 +17,14 @@ from flowloom.plans import flows  # noqa: E402
 from flowloom.sources import csvfiles, exports  # noqa: E402
 from flowloom.sources.staging import fresh_path  # noqa: E402
 
+try:
+    from flowloom.llm import queries as llm
+except ModuleNotFoundError as missing:
+    # Only the absence of the subpackage itself is no error.
+    if missing.name not in ("flowloom.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 SECRET = flow_oracle.SECRET
 FAVOURED = flow_oracle.FAVOURED
 WINDOW = ("1/3/2024 10:30", "3/3/2024 12:30")
@@ -269,9 +277,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "flow_nodes": flow_nodes,
         "flow_edges_supply": flow_edges_supply,
         "flow_nodes_supply": flow_nodes_supply,
+        **(llm.queries() if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The same queries as DuckDB text; column names match."""
-    return flow_oracle.oracle_sql()
+    return {**flow_oracle.oracle_sql(), **(llm.oracle_sql() if llm else {})}
