@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowloom.llm import op2_tokenfile, op4_counts, op5_bpe
+from flowloom.llm import op2_tokenfile, op4_counts, op5_bpe, op10_substring
 from flowloom.sources.staging import fresh_path
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it. A cluster needs it installed or sent with --py-files."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,11 +39,16 @@ def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_bpe.digest(op5_bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_substring.digest(op10_substring.remove_repeats(_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict:
     return {
         "op2_token_files": op2_token_files,
         "op4_token_counts": op4_token_counts,
         "op5_bpe_roundtrip": op5_bpe_roundtrip,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
