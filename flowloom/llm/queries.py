@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowloom.llm import op2_tokenfile, op4_counts, op5_bpe, op8_jaccard, op10_substring
+from flowloom.llm import op2_tokenfile, op4_counts, op5_bpe, op8_jaccard, op9_suffix, op10_substring
 from flowloom.sources.staging import fresh_path
 
 
@@ -43,6 +43,10 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_suffix.digest(op9_suffix.remove_repeats(_table(spark, sf_dir, "documents")))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_substring.digest(op10_substring.remove_repeats(_table(spark, sf_dir, "documents")))
 
@@ -53,6 +57,7 @@ def queries() -> dict:
         "op4_token_counts": op4_token_counts,
         "op5_bpe_roundtrip": op5_bpe_roundtrip,
         "op8_ngram_jaccard": op8_ngram_jaccard,
+        "op9_suffix_array": op9_suffix_array,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
