@@ -5,9 +5,10 @@ from __future__ import annotations
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from flowloom.llm import op2_tokenfile, op4_counts, op5_bpe, op8_jaccard, op9_suffix, op10_substring
+from flowloom.llm import op2_tokenfile, op3_quality, op4_counts, op5_bpe, op6_chat, op7_urls, op8_jaccard, op9_suffix, op10_substring
 from flowloom.sources.staging import fresh_path
 
 
@@ -30,6 +31,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_tokenfile.digest(op2_tokenfile.read_ids(spark, path))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    rows, name = op3_quality.judged(docs, labels, keep=("doc_id",))
+    return rows.select("doc_id", *[f"{name}.{c}" for c in (*op3_quality.COUNTS, "base_failed", "kept")])
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -39,6 +46,55 @@ def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_bpe.digest(op5_bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
+SAID = "\\### Assistant: </turn> ok"
+
+
+def chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as an event log: a row is a message, streamed in deltas of 256 characters.
+
+    A user's message is first sent up to its first delta and then edited; an assistant's first delta is discarded and made again.
+    """
+    rows = _table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")
+    )
+    own = spark.createDataFrame([(-7, 0, "user", SAID), (-7, 1, "assistant", SAID)], rows.schema)
+    rows = rows.union(own)
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    rows = rows.withColumn("message", F.row_number().over(order))
+    pieces = F.regexp_extract_all("text", F.lit("(?s).{1,256}"), F.lit(0))
+
+    def events(kind: str, texts: Column, first: int) -> Column:
+        return F.transform(
+            texts, lambda t, i: F.struct((i + first).cast("bigint").alias("seq"), F.lit(kind).alias("kind"), t.alias("text"))
+        )
+
+    draft = events("delta", F.slice(pieces, 1, 1), 0)
+    edit, again = events("edit", F.array("text"), 1), events("regenerate", F.array(F.lit("")), 1)
+    made = F.when(F.col("role") == "user", F.concat(draft, edit)).otherwise(F.concat(draft, again, events("delta", pieces, 2)))
+    log = rows.select("conv_id", "message", "role", F.explode(made).alias("e"))
+    return log.select("conv_id", F.col("message").cast("bigint"), "e.seq", "e.kind", "role", "e.text")
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_chat.digest(op6_chat.render(op6_chat.fold(chat_events(spark, sf_dir))))
+
+
+#: (verdict, host, path prefix)
+RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list is made of the canonical URLs under which two or more pages stand."""
+    pages = _table(spark, sf_dir, "pages")
+    return op7_urls.judged(pages, RULES, op7_urls.repeated_urls(pages))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -54,13 +110,65 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op2_token_files": op2_token_files,
+        "op3_quality_rules": op3_quality_rules,
         "op4_token_counts": op4_token_counts,
         "op5_bpe_roundtrip": op5_bpe_roundtrip,
+        "op6_chat_format": op6_chat_format,
+        "op7_url_filter": op7_url_filter,
         "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_suffix_array": op9_suffix_array,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
 
+OP6_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, 4 + length(regexp_replace(role, '([\\#<:])', '\\\1', 'g')) + 2
+           + length(regexp_replace(text, '([\\#<])', '\\\1', 'g')) + 8 AS n
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, text FROM rows)
+), said AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS learnt,
+    sum(n) AS chars
+  FROM sized GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256,
+  CAST(chars AS BIGINT) AS formatted_chars
+FROM said
+"""
+
+OP7_SQL = r"""
+WITH cut AS (
+  SELECT page_id, coalesce(instr(url, '://'), 0) AS pos, url FROM pages
+), named AS (
+  SELECT page_id,
+    CASE WHEN pos = 0 THEN '' ELSE translate(regexp_extract(substr(url, pos + 3), '^[^/?#]*'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END AS host,
+    CASE WHEN pos = 0 THEN '' ELSE regexp_extract(substr(url, pos + 3), '^[^/?#]*([^?#]*)', 1) END AS path
+  FROM cut
+), keyed AS (
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '(/|\.html)$', '') END AS key,
+    CASE
+      WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+      WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+      WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/'
+    END AS rule
+  FROM named
+), listed AS (
+  SELECT key FROM keyed WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN keyed.key IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+FROM keyed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_chat_format": OP6_SQL, "op7_url_filter": OP7_SQL}
