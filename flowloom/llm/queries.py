@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowloom.llm import op2_tokenfile, op3_quality, op4_counts, op5_bpe, op6_chat, op7_urls, op8_jaccard, op9_suffix, op10_substring
+from flowloom.llm import op1_decontaminate, op2_tokenfile, op3_quality, op4_counts, op5_bpe, op6_chat, op7_urls, op8_jaccard, op9_suffix, op10_substring
 from flowloom.sources.staging import fresh_path
 
 
@@ -24,6 +24,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "ids")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -109,6 +113,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_decontamination": op1_decontamination,
         "op2_token_files": op2_token_files,
         "op3_quality_rules": op3_quality_rules,
         "op4_token_counts": op4_token_counts,
