@@ -35,7 +35,7 @@ from pyspark.sql.datasource import (
 
 from flowloom.llm.batches import slices, texts_of
 from flowloom.llm.pretokens import pretokens
-from flowloom.llm.vocab import library, parts
+from flowloom.llm.vocab import byte_letters, library, parts
 
 BLOCK = 1024
 _LANES = 32
@@ -43,8 +43,9 @@ _MAGIC = b"PFORIDS1"
 _HEAD = struct.Struct("<IHBBHH")
 _TAIL = struct.Struct("<6Q")
 _LIST = "_files.json"
-_SLICE = 4 << 20
-_REMEMBERED = 1 << 20
+_SLICE = 2 << 20
+# Pre-tokens that a worker remembers, and the longest of them: a bound on memory, not on results.
+_REMEMBERED, _SHORT = 1 << 19, 48
 #: Ids after which a task begins a new file, at the next document.
 FILE_IDS = 1 << 24
 
@@ -313,39 +314,44 @@ class TokenFiles(DataSource):
 # Encoding with the library
 
 
+class _Known(dict):
+    """Ids of pre-tokens as bytes of 32-bit integers; asks the library for what is missing."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.model = library(path).model
+        self.letters = str.maketrans({chr(b): letter for b, letter in byte_letters().items()})
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        ids = struct.pack(f"<{len(found)}I", *[token.id for token in found])
+        if len(word) <= _SHORT:
+            if len(self) >= _REMEMBERED:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 @functools.cache
-def _memory(path: str) -> dict[str, bytes]:
-    return {}
+def _known(path: str) -> _Known:
+    return _Known(path)
 
 
-def library_ids(texts: list[str], path: str, end: int | None) -> list[bytes]:
-    """The ids of each text as the library gives them, as bytes of 32-bit integers, with `end` after each.
+def library_ids(text: str, path: str, end: int | None) -> bytes:
+    """The ids of a whole text as the library gives them, as bytes of 32-bit integers, with `end` behind them.
 
-    Merges never cross pre-tokens, so each distinct pre-token is given to the library once and remembered; the memory is
-    emptied when full.
+    Merges never cross pre-tokens, so the library's model sees each distinct pre-token once and its ids are remembered; the
+    memory is emptied when full.
     """
-    known = _memory(path)
-    if len(known) > _REMEMBERED:
-        known.clear()
-    cut = [[(list(pretokens(p, path)), s) for p, s in parts(text, path)] for text in texts]
-    missing = list({w for pieces in cut for words, special in pieces if special is None for w in words if w not in known})
-    fresh = library(path).encode_batch_fast(missing, add_special_tokens=False)
-    now = dict(zip(missing, (np.array(e.ids, "<i4").tobytes() for e in fresh), strict=True))
-    known.update((w, ids) for w, ids in now.items() if len(w) <= 64)
-    long = {w: ids for w, ids in now.items() if len(w) > 64}
-    mark = b"" if end is None else np.array([end], "<i4").tobytes()
-    out = []
-    for pieces in cut:
-        data = []
-        for words, special in pieces:
-            if special is not None:
-                data.append(np.array([special], "<i4").tobytes())
-            elif long:
-                data.extend(known[w] if w in known else long[w] for w in words)
-            else:
-                data.extend(map(known.__getitem__, words))
-        out.append(b"".join(data) + mark)
-    return out
+    known, out = _known(path), []
+    for part, special in parts(text, path):
+        if special is not None:
+            out.append(struct.pack("<I", special))
+        else:
+            out.extend(map(known.__getitem__, pretokens(part, path)))
+    if end is not None:
+        out.append(struct.pack("<I", end))
+    return b"".join(out)
 
 
 def write_ids(
@@ -369,7 +375,7 @@ def write_ids(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE):
-            encoded = library_ids(texts_of(batch.column("text")), tokenizer, end)
+            encoded = [library_ids(text, tokenizer, end) for text in texts_of(batch.column("text"))]
             ends = np.cumsum([0, *(len(e) // 4 for e in encoded)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(encoded), "<i4")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])

@@ -27,9 +27,9 @@ from flowloom.llm.batches import lists, slices, texts_of
 from flowloom.llm.pretokens import pretokens
 from flowloom.llm.vocab import byte_letters, parts, settings, specials
 
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 # Words whose ids a worker remembers; the memory is emptied when full, so its size is bounded and results don't depend on it.
-_REMEMBERED = 1 << 20
+_REMEMBERED = 1 << 19
 _SHORT = 48
 
 
@@ -197,11 +197,6 @@ def merges(path: str) -> Merges:
     return Merges(path)
 
 
-@functools.cache
-def _memory(path: str) -> dict[str, bytes]:
-    return {}
-
-
 def word_ids(word: str, path: str) -> list[int]:
     """The ids of one pre-token."""
     encoder, data = Encoder(merges(path)), word.encode()
