@@ -1,9 +1,7 @@
 """URL verdicts by rules for hosts and paths, then by a list of canonical URLs behind a blocked Bloom filter.
 
-The list's URLs set bits in a filter of 512-bit blocks: a hash picks the block, and one bit in each of its eight words. The
-filter is a table with a row for each block, made by a bitwise aggregation. Its size is set beforehand, at most `MAX_BLOCKS`
-rows whatever the length of the list, so it can be broadcast; a longer list only lets more false positives through. Pages whose URL is in no block's
-bits are done without a shuffle. The others go to an exact hash join with the list, which removes the false positives.
+The filter is broadcast; its size is bounded whatever the length of the list (see `bloom`). Pages whose URL it does not
+let through are done without a shuffle. The others go to an exact hash join with the list, which removes the false positives.
 """
 
 from __future__ import annotations
@@ -13,10 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.llm.bloom import MAX_BLOCKS, probed
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WORDS, _BITS_A_URL = 8, 16
-#: 16 MB of bits.
-MAX_BLOCKS = 1 << 18
 
 
 def host_of(url: Column) -> Column:
@@ -47,24 +44,6 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
     return F.coalesce(*[F.when(condition, rule) for rule, condition in fits]) if fits else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def _bits(key: Column) -> list[Column]:
-    """The bit set in each word of the key's block."""
-    marks = F.xxhash64(F.lit("bits"), key)
-    return [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(marks, 6 * j).bitwiseAND(F.lit(63)).cast("int")) for j in range(_WORDS)]
-
-
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit("block"), key), F.lit(blocks)).cast("int")
-
-
-def bloom_filter(keys: DataFrame, column: str, most: int = MAX_BLOCKS) -> tuple[DataFrame, int]:
-    """(block, w0 ... w7) and the number of blocks, never more than `most`."""
-    n = keys.count()
-    blocks = max(1, min(most, -(-n * _BITS_A_URL // (64 * _WORDS))))
-    words = [F.bit_or(bit).alias(f"w{j}") for j, bit in enumerate(_bits(F.col(column)))]
-    return keys.groupBy(_block(F.col(column), blocks).alias("block")).agg(*words), blocks
-
-
 def judged(
     pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: DataFrame, id_col: str = "page_id", url_col: str = "url",
     most: int = MAX_BLOCKS,
@@ -76,21 +55,15 @@ def judged(
     two columns are read. An empty list blocks nothing.
     """
     names = listed.select("canonical").filter("canonical is not null").distinct()
-    table, blocks = bloom_filter(names, "canonical", most)
     url = F.col(f"`{url_col}`").cast("string")
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
     rows = rows.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules)).withColumn("key", canonical(F.col("host"), F.col("path")))
     ruled = rows.filter("fit is not null").withColumn("verdict", F.col("fit.verdict"))
-    # Broadcast: at most `most` rows of nine numbers.
-    probed = rows.filter("fit is null").withColumn("block", _block(F.col("key"), blocks)).join(F.broadcast(table), "block", "left")
-    hit = F.lit(True)
-    for j, bit in enumerate(_bits(F.col("key"))):
-        hit = hit & (F.col(f"w{j}").bitwiseAND(bit) != 0)
-    probed = probed.withColumn("hit", F.coalesce(F.col("key").isNotNull() & hit, F.lit(False)))
+    possible, clear = probed(rows.filter("fit is null"), F.col("key"), names, "canonical", most)
     columns = ["id", "host", "path", "fit"]
-    passed = probed.filter("not hit").select(*columns, F.lit("allow").alias("verdict"))
+    passed = clear.select(*columns, F.lit("allow").alias("verdict"))
     exact = names.select(F.col("canonical").alias("key"), F.lit(True).alias("on_list"))
-    checked = probed.filter("hit").join(exact, "key", "left")
+    checked = possible.join(exact, "key", "left")
     checked = checked.select(*columns, F.when(F.col("on_list"), "block").otherwise("allow").alias("verdict"))
     done = ruled.select(*columns, "verdict").union(passed).union(checked)
     return done.select(F.col("id").alias(id_col), "host", "path", F.col("fit.rule").alias("rule"), "verdict")
