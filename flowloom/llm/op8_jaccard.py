@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.llm.batches import bytes_of, slices
+from flowloom.llm.bloom import among, without
 from flowloom.llm.components import components
-from flowloom.llm.rowids import with_rid
+from flowloom.llm.rowids import keyed, with_rid
 from flowloom.llm.wordscan import doc_of, mixed, rolled, word_hashes
 from flowloom.sources.staging import stage
 
@@ -94,19 +95,21 @@ def _profiles(docs: DataFrame, ngram: int) -> DataFrame:
 
 
 class Levels:
-    """Levels of set sizes, each a fifth larger than the one before, and the slices of each level."""
+    """Levels of set sizes, each three tenths larger than the one before, and the slices of each level."""
 
     def __init__(self, similarity: tuple[int, int], largest: int):
         self.part, self.whole = similarity
         bounds = [1]
         while bounds[-1] <= largest:
-            bounds.append(max(bounds[-1] + 1, bounds[-1] * 6 // 5))
+            bounds.append(max(bounds[-1] + 1, bounds[-1] * 13 // 10))
         self.bounds = np.array(bounds)
         most = self.bounds[1:] - 1
         #: Elements by which linked sets may differ, the smaller one being of that level.
         self.differ = (most + most * self.whole // self.part) * (self.whole - self.part) // (self.whole + self.part)
         #: Slices beyond those needed; a set with at most so many empty slices agrees with any partner in one that isn't.
-        self.spare = 2 + self.differ // 64
+        #: More than twice as many as come out empty by chance.
+        chance = np.exp(-self.bounds[:-1] / (self.differ + 1))
+        self.spare = 2 + np.ceil(2.5 * (self.differ + 1) * chance).astype(np.int64)
         self.slices = np.where(self.differ, self.differ + 1 + self.spare, 0)
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
@@ -314,7 +317,7 @@ def _links(docs: DataFrame, firsts: DataFrame, equal: DataFrame, ngram: int, sim
     same = met.groupBy("c", "least", "sum").agg(F.min("tree").alias("tree")).select("tree")
     members = stage(met.join(same, "tree", "left_semi").select("tree", "rid", "least"), "members")
     profiles = stage(firsts.join(members.select("rid").distinct(), "rid", "left_semi").select("rid", "n", "point"), "points")
-    sets = stage(_elements(docs.join(profiles.select("rid"), "rid", "left_semi"), ngram), "sets")
+    sets = stage(_elements(among(docs, profiles, "rid"), ngram), "sets")
     pairs = members.filter("rid <> least").select(F.col("least").alias("a"), F.col("rid").alias("b")).distinct()
     tried = stage(pairs, "tried")
     links = stage(_verified(tried, sets, similarity), "links")
@@ -363,3 +366,16 @@ def jaccard_components(
     done = done.join(rows.select("rid", "doc_id"), "rid")
     least = done.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return done.join(least, "label").select("doc_id", "n_shingles", "component_id")
+
+
+def first_of_each(
+    docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, ngram: int = NGRAM, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of `docs`, all columns, without those that another row of their component comes before.
+
+    The row with the smallest id stays; with null or repeated ids, the first as read. Rows without words stay.
+    """
+    rows, rid = keyed(docs, id_col)
+    found = jaccard_components(rows, similarity, ngram, rid, text_col).filter("doc_id <> component_id")
+    gone = stage(found.select(F.col("doc_id").alias(rid)), "gone")
+    return without(rows, gone, rid).select(*[F.col(f"`{c}`") for c in docs.columns])

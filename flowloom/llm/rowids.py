@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from flowloom.sources.staging import stage
 
 
+def keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """The rows with all columns and one more, which is never null and never repeats; and its name."""
+    name = "rid"
+    while name in docs.columns:
+        name += "_"
+    key = F.col(f"`{id_col}`").cast("long")
+    odd = docs.groupBy(key.alias("key")).agg(F.count("*").alias("n")).filter("n > 1 or key is null")
+    if odd.isEmpty():
+        return docs.withColumn(name, key), name
+    return stage(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
 def with_rid(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
     """(rid, doc_id, text), where rid is never null and never repeats, and whether rid is other than the id; a null text is empty.
 
