@@ -27,14 +27,18 @@ def components(links: DataFrame) -> DataFrame:
     is one row after pre-aggregation; empty links give an empty result.
     """
     links = stage(links.filter("a <> b").select("a", "b").distinct(), "links")
-    labels = _smallest(links)
+    labels = None
     while True:
-        name = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-        other = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        between = links.join(name, "a").join(other, "b").filter("la <> lb")
+        hop = _smallest(links)
+        if labels is None:
+            labels = hop
+        else:
+            further = hop.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            moved = labels.join(further, "label", "left")
+            labels = stage(moved.select("node", F.coalesce("next", "label").alias("label")), "labels")
+        one = hop.select(F.col("node").alias("a"), F.col("label").alias("la"))
+        two = hop.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+        between = links.join(one, "a").join(two, "b").filter("la <> lb")
         links = stage(between.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "links")
         if links.isEmpty():
             return labels
-        hop = _smallest(links).select(F.col("node").alias("label"), F.col("label").alias("next"))
-        moved = labels.join(hop, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
-        labels = stage(moved, "labels")
