@@ -6,8 +6,9 @@ last edit or regeneration on. Messages are then rendered in order:
 
     ### <role>: <text></turn>
 
-with a line feed after each. In texts and roles a backslash stands before every backslash, `#` and `<` (in roles also
-before `:`), so no text can hold a bare `### ` or `</turn>`, and removing one backslash before each character gives the text back.
+with a line feed after each. In texts and roles a backslash becomes `\\b`, `#` becomes `\\h`, `<` becomes `\\l` and, in roles, `:`
+becomes `\\c`. So no text can hold `###` or `</turn>`, and as every backslash is followed by one of these letters, the
+replacements can be undone.
 
 A conversation's mask is one entry (off, on, rest) for each turn, in code points: the header, what the loss is taken over, and the
 end mark. The entries add up to the length of the rendered text.
@@ -23,12 +24,20 @@ KINDS = ("delta", "edit", "regenerate")
 EVENTS = "conv_id bigint, message bigint, seq bigint, kind string, role string, text string"
 
 
-def escaped(text: Column, more: str = "") -> Column:
-    return F.regexp_replace(text, rf"([\\#<{more}])", r"\\$1")
+_ESCAPES = (("\\", "\\b"), ("#", "\\h"), ("<", "\\l"), (":", "\\c"))
+
+
+def escaped(text: Column, marks: str = "\\#<") -> Column:
+    """The text with some marks replaced, the backslash first."""
+    for mark, letter in _ESCAPES:
+        text = F.replace(text, F.lit(mark), F.lit(letter)) if mark in marks else text
+    return text
 
 
 def unescaped(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?s)\\(.)", "$1")
+    for mark, letter in reversed(_ESCAPES):
+        text = F.replace(text, F.lit(letter), F.lit(mark))
+    return text
 
 
 def fold(events: DataFrame) -> DataFrame:
@@ -58,7 +67,7 @@ def render(messages: DataFrame, learn: str = "assistant") -> DataFrame:
 
     A conversation becomes one value, so it must fit into one; its messages are rendered before they come together.
     """
-    head = F.concat(F.lit(HEAD), escaped(F.col("role"), ":"), F.lit(": "))
+    head = F.concat(F.lit(HEAD), escaped(F.col("role"), "\\#<:"), F.lit(": "))
     body = escaped(F.col("text"))
     learnt = F.when(F.col("role") == learn, F.char_length(body)).otherwise(0)
     run = F.struct(
@@ -73,7 +82,7 @@ def parse(formatted: DataFrame) -> DataFrame:
     """(conv_id, turns, learnt): the turns (role, text) read back from rendered text, and the texts under its mask."""
     pieces = F.split("formatted", END)
     pieces = F.slice(pieces, 1, F.size(pieces) - 1)
-    role = r"(?s)^### ((?:[^\\:]|\\.)*+): "
+    role = r"^### ([^:]*): "
 
     def turn(piece: Column) -> Column:
         name = F.regexp_extract(piece, role, 1)
