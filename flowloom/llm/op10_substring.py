@@ -11,6 +11,7 @@ Texts with an exact copy are repeats as a whole. Their words stand for others on
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import compress
 
@@ -20,7 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.llm.batches import bytes_of, slices
-from flowloom.llm.rowids import with_rid
+from flowloom.llm.bloom import inner_joined, left_joined
+from flowloom.llm.rowids import keyed, with_rid
 from flowloom.llm.wordscan import doc_of, mixed, rolled, word_hashes
 from flowloom.sources.staging import stage
 
@@ -29,6 +31,8 @@ WINDOW = 35
 _COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
 _SLICE = 4 << 20
 _COPY, _FIRST_COPY = -1, -2
+# A word and the white space behind it.
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 
 
 def _period(window: int) -> int:
@@ -118,11 +122,11 @@ def _shared(rows: DataFrame, *key: str) -> DataFrame:
 
 
 def _copies(docs: DataFrame) -> DataFrame:
-    """(rid, place) of texts that occur twice or more; the place says whether the row is the first of its copies."""
-    keyed = docs.select("rid", F.md5("text").alias("text_key"))
-    groups = keyed.groupBy("text_key").agg(F.min("rid").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    """(rid, place) of texts, not empty, that occur twice or more; the place says whether the row is the first of its copies."""
+    texts = docs.filter("text <> ''").select("rid", F.md5("text").alias("text_key"))
+    groups = texts.groupBy("text_key").agg(F.min("rid").alias("first"), F.count("*").alias("n")).filter("n > 1")
     mark = F.when(F.col("rid") == F.col("first"), _FIRST_COPY).otherwise(_COPY).alias("place")
-    return keyed.join(groups, "text_key").select("rid", mark)
+    return texts.join(groups, "text_key").select("rid", mark)
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -132,10 +136,22 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     places = runs.groupBy("rid").agg(F.collect_list("place").alias("places"))
     # All but the first of equal texts are left out, their marks too.
     places = places.filter(~F.array_contains("places", _COPY))
-    places = places.select("rid", F.filter("places", lambda p: p >= 0).alias("places"))
-    joined = docs.select("rid", "text").join(places, "rid").select("rid", "text", "places")
+    places = stage(places.select("rid", F.filter("places", lambda p: p >= 0).alias("places")), "places")
+    joined = inner_joined(docs.select("rid", "text"), places, "rid").select("rid", "text", "places")
     starts = _shared(_windows(joined, window), "key", "more").union(copies)
-    return starts.groupBy("rid").agg(F.collect_list("place").alias("starts"))
+    return stage(starts.groupBy("rid").agg(F.collect_list("place").alias("starts")), "starts")
+
+
+def _stay(n: int, begins: list[int] | None, window: int) -> list[bool] | None:
+    """Which of n words stay, by the starts of repeated windows; None for all."""
+    if not begins or n < window:
+        return None
+    if min(begins) < 0:
+        return [False] * n
+    marks = np.zeros(n + 1, np.int32)
+    np.add.at(marks, np.array(begins), 1)
+    np.add.at(marks, np.array(begins) + window, -1)
+    return (np.cumsum(marks[:-1]) == 0).tolist()
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,37 +162,24 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     has no words and an empty rest; texts shorter than a window lose nothing. Rows that repeat are texts of their own, also under one
     id; null ids stay null. Only the two columns are read.
 
-    The texts are shuffled once by row; both joins use that exchange.
+    Only texts that may hold a shared run are shuffled, as far as a Bloom filter of bounded size tells them from the rest.
     """
     rows, numbered = with_rid(docs, id_col, text_col)
     starts = repeated_windows(rows.select("rid", "text"), window)
-    texts = rows.select("rid", "text").join(starts, "rid", "left")
+    texts = left_joined(rows.select("rid", "text"), starts, "rid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE):
-            found = batch.column("starts").to_pylist()
             totals, removed, kept = [], [], []
             data, offsets = bytes_of(batch.column("text"))
             content = data.tobytes()
-            for k, begins in enumerate(found):
+            for k, begins in enumerate(batch.column("starts").to_pylist()):
                 words = content[offsets[k] : offsets[k + 1]].split()
-                gone = 0
-                if begins and len(words) >= window:
-                    if min(begins) < 0:
-                        gone, words_left = len(words), []
-                    else:
-                        marks = np.zeros(len(words) + 1, np.int32)
-                        begins = np.array(begins)
-                        np.add.at(marks, begins, 1)
-                        np.add.at(marks, begins + window, -1)
-                        stay = np.cumsum(marks[:-1]) == 0
-                        gone = len(words) - int(stay.sum())
-                        words_left = list(compress(words, stay.tolist()))
-                else:
-                    words_left = words
+                stay = _stay(len(words), begins, window)
+                left = words if stay is None else list(compress(words, stay))
                 totals.append(len(words))
-                removed.append(gone)
-                kept.append(b" ".join(words_left))
+                removed.append(len(words) - len(left))
+                kept.append(b" ".join(left))
             columns = [batch.column("rid"), pa.array(totals, pa.int64()), pa.array(removed, pa.int64())]
             columns.append(pa.array(kept, pa.binary()).cast(pa.string()))
             yield pa.RecordBatch.from_arrays(columns, ["rid", "n_words", "n_removed", "kept_text"])
@@ -187,6 +190,36 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     return done.withColumnRenamed("rid", "doc_id")
 
 
+def shortened(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, the words that `remove_repeats` removes cut out of the text.
+
+    A word goes with the white space behind it; all else stays as it is, null texts too.
+    """
+    rows, rid = keyed(docs, id_col)
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    starts = repeated_windows(rows.select(F.col(f"`{rid}`").alias("rid"), text.alias("text")), window)
+    extra = f"{rid}starts"
+    joined = left_joined(rows, starts.toDF(rid, extra), rid)
+    schema = docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text_col).to_pylist()
+            for k, begins in enumerate(batch.column(extra).to_pylist()):
+                if begins:
+                    content = texts[k].encode()
+                    words = _WORD.findall(content)
+                    stay = _stay(len(words), begins, window)
+                    if stay is not None:
+                        lead = content[: len(content) - len(content.lstrip())]
+                        texts[k] = (lead + b"".join(compress(words, stay))).decode()
+            columns = {f.name: batch.column(f.name) for f in schema}
+            columns[text_col] = pa.array(texts, batch.column(text_col).type)
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return joined.mapInArrow(run, schema)
+
+
 def digest(kept: DataFrame) -> DataFrame:
     """The contract's columns of what `remove_repeats` gives."""
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
