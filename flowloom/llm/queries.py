@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from pathlib import Path
 
 import public_tokenizers
@@ -19,34 +20,34 @@ def find_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op1_decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return op1_decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "ids")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    op2_tokenfile.write_ids(_table(spark, sf_dir, "documents"), path, tokenizer)
+    op2_tokenfile.write_ids(table(spark, sf_dir, "documents"), path, tokenizer)
     return op2_tokenfile.digest(op2_tokenfile.read_ids(spark, path))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     rows, name = op3_quality.judged(docs, labels, keep=("doc_id",))
     return rows.select("doc_id", *[f"{name}.{c}" for c in (*op3_quality.COUNTS, "base_failed", "kept")])
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op4_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return op4_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     return op5_bpe.digest(op5_bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
@@ -58,7 +59,7 @@ def chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A user's message is first sent up to its first delta and then edited; an assistant's first delta is discarded and made again.
     """
-    rows = _table(spark, sf_dir, "conversations").select(
+    rows = table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")
     )
     own = spark.createDataFrame([(-7, 0, "user", SAID), (-7, 1, "assistant", SAID)], rows.schema)
@@ -95,24 +96,29 @@ RULES = (
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list is made of the canonical URLs under which two or more pages stand."""
-    pages = _table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages")
     return op7_urls.judged(pages, RULES, op7_urls.repeated_urls(pages))
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op8_jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+    return op8_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op9_suffix.digest(op9_suffix.remove_repeats(_table(spark, sf_dir, "documents")))
+    return op9_suffix.digest(op9_suffix.remove_repeats(table(spark, sf_dir, "documents")))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op10_substring.digest(op10_substring.remove_repeats(_table(spark, sf_dir, "documents")))
+    return op10_substring.digest(op10_substring.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
 
 def queries() -> dict:
     return {
+        "pipeline": pipeline,
         "op1_decontamination": op1_decontamination,
         "op2_token_files": op2_token_files,
         "op3_quality_rules": op3_quality_rules,
@@ -175,5 +181,54 @@ FROM keyed
 """
 
 
+OP8_SQL = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS ws
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE [ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FOR i IN range(1, len(ws) - 1)] END) AS s
+  FROM cut
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, b FROM reach JOIN both_ways ON r = a
+)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+OP10_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY k) AS n
+  FROM (SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS k
+        FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 33, 1))) AS i FROM cut))
+), gone AS (
+  SELECT doc_id, list(DISTINCT j) AS js FROM (SELECT doc_id, i + unnest(range(35)) AS j FROM windows WHERE n > 1) GROUP BY doc_id
+), words AS (
+  SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS j FROM cut
+), kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY j) AS k, count(*) AS n
+  FROM words LEFT JOIN (SELECT doc_id, unnest(js) AS j, true AS out FROM gone) USING (doc_id, j) WHERE out IS NULL GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM cut LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_format": OP6_SQL, "op7_url_filter": OP7_SQL}
+    return {
+        "op6_chat_format": OP6_SQL,
+        "op7_url_filter": OP7_SQL,
+        "op8_ngram_jaccard": OP8_SQL,
+        "op10_substring_dedup": OP10_SQL,
+    }
