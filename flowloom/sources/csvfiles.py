@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from flowloom.operators.positions import with_position
 
+# In texts a backslash, a line feed and a carriage return are written as a backslash and a letter. So NULL is the only
+# `\N` in a file, a row is always one line, and files can be split.
+_ESCAPES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
+
 # The defaults cut timestamps to milliseconds, trim blanks and read an empty text as NULL.
 _LOSSLESS = {
     "header": True,
+    "quoteAll": True,  # a line of blanks would be skipped on reading
     "escape": '"',
     "nullValue": "\\N",
     "ignoreLeadingWhiteSpace": False,
@@ -22,25 +27,42 @@ _LOSSLESS = {
 }
 
 
+def _texts(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    """The table with its text columns changed."""
+    columns = [(F.col(f"`{f.name}`"), f) for f in df.schema]
+    return df.select(*[change(c).alias(f.name) if isinstance(f.dataType, StringType) else c for c, f in columns])
+
+
+def _escaped(text: Column) -> Column:
+    for mark, letter in _ESCAPES:
+        text = F.replace(text, F.lit(mark), F.lit(letter))
+    return text
+
+
+def _unescaped(text: Column) -> Column:
+    for mark, letter in reversed(_ESCAPES):
+        text = F.replace(text, F.lit(letter), F.lit(mark))
+    return text
+
+
 def write_csv(
     df: DataFrame, path: str, files: int | None = None, partition_by: Sequence[str] = ()
 ) -> None:
     """Write a table as CSV files; an existing path is an error.
 
+    Every value comes back as it was when `read_csv` reads it, line breaks and the text `\\N` included.
+
     Without `files` every task writes its own file and nothing is shuffled. `files` costs a
     shuffle and sets the number of writing tasks, so it should grow with the table.
     """
-    out = df if files is None else df.repartition(files)
+    escaped = _texts(df, _escaped)
+    out = escaped if files is None else escaped.repartition(files)
     out.write.options(**_LOSSLESS).partitionBy(*partition_by).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False) -> DataFrame:
-    """Read CSV files written by `write_csv` with a declared schema; a row that does not fit is an error.
-
-    `multiline` is needed only when texts hold line breaks; it stops Spark from splitting files.
-    """
-    options = dict(_LOSSLESS, mode="FAILFAST", multiLine=multiline)
-    return spark.read.options(**options).schema(schema).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """Read CSV files written by `write_csv` with a declared schema; a row that does not fit is an error."""
+    return _texts(spark.read.options(**_LOSSLESS, mode="FAILFAST").schema(schema).csv(path), _unescaped)
 
 
 def read_text_columns(spark: SparkSession, path: str, *columns: str) -> DataFrame:
@@ -60,7 +82,7 @@ def read_text_columns_in_order(spark: SparkSession, path: str, *columns: str, na
     return with_position(placed, "_file", "_block", "_line", name=name).drop("_file", "_block", "_line")
 
 
-def csv_roundtrip(df: DataFrame, path: str, files: int | None = None, multiline: bool = False) -> DataFrame:
+def csv_roundtrip(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
     """Write `df` to `path` as CSV and read it back with its own schema."""
     write_csv(df, path, files)
-    return read_csv(df.sparkSession, path, df.schema, multiline)
+    return read_csv(df.sparkSession, path, df.schema)

@@ -35,17 +35,46 @@ def _application_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path no other run uses."""
-    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.paths.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write the table and read it back. The folder is deleted with the scope it was made in, or by `drop_staged`."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class staged_scope:
+    """`with staged_scope(spark):` deletes at its end what was staged inside, when a job's result has been written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> staged_scope:
+        _scopes.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _scopes.remove(self)
+        for path in self.paths:
+            _delete(self.spark, path)
+
+
+# Scopes that are open; steps of one job may run in several threads.
+_scopes: list[staged_scope] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete all this application has staged, when no result that reads it is needed any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    _delete(spark, _application_folder(spark))

@@ -27,10 +27,18 @@ def test_csv_keeps_rows(spark, tmp_path):
 
 def test_csv_keeps_line_breaks(spark, tmp_path):
     rows = spark.createDataFrame([(1, "two\nlines", 1.0, None), (2, "three\r\n\nlines", 2.0, None)], SCHEMA)
-    back = csvfiles.csv_roundtrip(rows, str(tmp_path / "out"), 1, multiline=True)
+    back = csvfiles.csv_roundtrip(rows, str(tmp_path / "out"), 1)
     assert rows.exceptAll(back).count() == 0 and back.count() == 2
 
 
+def test_csv_keeps_odd_texts(spark, tmp_path):
+    texts = ["a\nb", "\\N", "\\n", "\\\\N", "\r", "\r\n", "", " ", '"', "\\", "\\b", None, "#x", "a,b", "\u2028\x85", "\n"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    back = csvfiles.csv_roundtrip(rows, str(tmp_path / "out"), 1)
+    assert sorted(map(str, [r["text"] for r in back.collect()])) == sorted(map(str, texts))
+    assert back.filter("text is null").count() == 1
+
+
 def test_existing_path_is_an_error(spark, tmp_path):
     rows = spark.range(3)
     csvfiles.write_csv(rows, str(tmp_path / "out"))
@@ -89,6 +97,20 @@ def test_export_by_window(spark, tmp_path):
     assert folders == set(manifest)
 
 
+def test_export_keeps_rows_without_a_time(spark, tmp_path):
+    schema = "id int, ts timestamp_ntz, text string"
+    rows = spark.createDataFrame([(1, datetime(2024, 1, 11, 5), "a"), (2, None, "\\N"), (3, datetime(1969, 12, 31, 23), None)], schema)
+    for window, labels in (("1 day", {"flows_11012024_0000_to_12012024_0000", "flows_no_time", "flows_31121969_0000_to_01011970_0000"}),
+                           ("90 minutes", {"flows_11012024_0430_to_11012024_0600", "flows_no_time", "flows_31121969_2230_to_01011970_0000"})):
+        manifest = {r["path_label"]: r["n"] for r in exports.export_manifest(rows, window=window).collect()}
+        assert manifest == dict.fromkeys(labels, 1)
+        path = str(tmp_path / window.replace(" ", "_"))
+        exports.export_windows(rows, path, window=window)
+        back = exports.read_windows(spark, path, rows.schema)
+        assert sorted(tuple(r)[:3] for r in back.collect()) == sorted(map(tuple, rows.collect()))
+        assert {r["path_label"] for r in back.collect()} == labels
+
+
 def test_shared_folder(spark, monkeypatch):
     named = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: "hdfs:///shared"), sparkContext=None)
     assert staging.shared_folder(named) == "hdfs:///shared"
@@ -97,6 +119,15 @@ def test_shared_folder(spark, monkeypatch):
         staging.shared_folder(unset)
 
 
+def test_a_scope_drops_what_it_staged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path / "shared"))
+    before = staging.stage(spark.range(3), "before")
+    with staging.staged_scope(spark) as scope:
+        inside = staging.stage(spark.range(5), "inside")
+        assert inside.count() == 5 and len(scope.paths) == 1
+    assert not os.path.exists(scope.paths[0]) and before.count() == 3
+
+
 def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path / "shared"))
     staged = staging.stage(spark.range(5), "numbers")
