@@ -32,10 +32,13 @@ def address_dim(df: DataFrame, key: str, secret: str) -> DataFrame:
 
 
 def address_pool(df: DataFrame, key: str, secret: str) -> tuple[DataFrame, int]:
-    """Every address once, and how many there are: keys that share one are one entry, at the place of the first of them."""
-    firsts = entity_addresses(df, key, secret).groupBy("ip_number").agg(F.min("key").alias("_first"))
-    placed, count = numbered(firsts, "_first")
-    return placed.select("pos", "ip_number", dotted_quad("ip_number").alias("ip")), count
+    """Every address once, and how many there are: keys that share one are one entry, at the place of the first of them.
+
+    `same_ip` counts the keys of an entry; the sum of `same_ip - 1` is the number of keys that were merged away.
+    """
+    addresses = entity_addresses(df, key, secret).groupBy("ip_number")
+    placed, count = numbered(addresses.agg(F.min("key").alias("_first"), F.count("*").alias("same_ip")), "_first")
+    return placed.select("pos", "ip_number", dotted_quad("ip_number").alias("ip"), "same_ip"), count
 
 
 def domain_assign(addresses: DataFrame, hosts: DataFrame) -> DataFrame:

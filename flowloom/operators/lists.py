@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.operators.positions import with_position
+from flowloom.operators.positions import numbered
 
 
 def distinct_values(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
@@ -26,8 +26,8 @@ def host_list(pages: DataFrame, url: str = "url") -> DataFrame:
 
 
 def first_seen_distinct(df: DataFrame, value: str, pos: str) -> DataFrame:
-    """Distinct values in the order of their first appearance, with that position."""
-    return df.groupBy(value).agg(F.min(pos).alias("pos")).orderBy("pos")
+    """Distinct values with the position of their first appearance, which says their order."""
+    return df.groupBy(value).agg(F.min(pos).alias("pos"))
 
 
 def keyed_last_wins(df: DataFrame, key: str, value: str, pos: str) -> DataFrame:
@@ -46,27 +46,34 @@ def preferred_first(df: DataFrame, value: str, pos: str, preferred: Sequence) ->
 
     Positions are renumbered from 0. A named value that is absent is an error.
     """
+    return preferred_list(df, value, pos, preferred)[0]
+
+
+def preferred_list(df: DataFrame, value: str, pos: str, preferred: Sequence) -> tuple[DataFrame, int]:
+    """The same, with the number of values, which is known from numbering them."""
     named = list(preferred)
     rank = F.lit(len(named))
     for place, wanted in reversed(list(enumerate(named))):
         rank = F.when(F.col(value) == F.lit(wanted), place).otherwise(rank)
     ordered = df.select(rank.alias("_rank"), F.col(pos).alias("_pos"), F.col(value))
-    placed = with_position(ordered, "_rank", "_pos").select("pos", value, "_rank")
-    found = placed.agg(*[F.bool_or(F.col("_rank") == place) for place in range(len(named))]).first() if named else ()
-    absent = [wanted for wanted, seen in zip(named, found) if not seen]
+    placed, count = numbered(ordered, "_rank", "_pos")
+    # The head holds the named values that are there, at most as many as were named.
+    head = {row["_rank"] for row in placed.filter(F.col("pos") < len(named)).select("_rank").collect()} if named else set()
+    absent = [wanted for place, wanted in enumerate(named) if place not in head]
     if absent:
         raise ValueError(f"preferred values {absent} are not in the list")
-    return placed.drop("_rank")
+    return placed.select("pos", value), count
 
 
-def weight_table(values: DataFrame, value: str, favoured: int, k: int = 2) -> DataFrame:
+def weight_table(values: DataFrame, value: str, favoured: int, k: int = 2, count: int | None = None) -> DataFrame:
     """Whole-number weights for a list with dense positions and the favoured values at its head.
 
     Of n values, the m = n - favoured others weigh 1 each and a favoured one weighs k * m: with two
     favoured values and k = 2 that is 40 %, 40 % and 20 % for the rest together. `hi` is the running
-    sum of weights; it follows from the position, so nothing has to be summed in order.
+    sum of weights; it follows from the position, so nothing has to be summed in order. `count` is the number of values,
+    if the caller knows it.
     """
-    others = values.count() - favoured
+    others = (values.count() if count is None else count) - favoured
     if others < 1:
         raise ValueError(f"a weight table needs more than {favoured} values")
     heavy = k * others

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.sources.staging import stage
@@ -13,30 +16,57 @@ from flowloom.sources.staging import stage
 _ROW_BITS = 33
 
 
-def numbered(df: DataFrame, *order: Column | str, name: str = "pos") -> tuple[DataFrame, int]:
+def _ordering(order: Sequence[str]) -> tuple[list[str], list[Column]]:
+    """Names and sort columns; a name with a minus before it sorts down."""
+    names = [name.removeprefix("-") for name in order]
+    return names, [F.col(n).desc() if o != n else F.col(n).asc() for n, o in zip(names, order, strict=True)]
+
+
+def offset_table(spark: SparkSession, counts: dict[int, int]) -> tuple[DataFrame, int]:
+    """(part, begin): the position at which each written partition begins; and the number of rows.
+
+    One row for each partition of a shuffle, however many rows that has.
+    """
+    firsts = accumulate((counts[part] for part in sorted(counts)), initial=0)
+    rows = list(zip(sorted(counts), firsts, strict=False))
+    return spark.createDataFrame(rows, "_part int, _begin bigint"), sum(counts.values())
+
+
+def _is_unique(rows: DataFrame, names: list[str]) -> bool:
+    """Eight bytes of each row are shuffled; only rows whose hash repeats are compared themselves."""
+    hashed = F.xxhash64(*names)
+    again = rows.groupBy(hashed.alias("_hash")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_hash")
+    if again.isEmpty():
+        return True
+    some = rows.select(hashed.alias("_hash"), *names).join(again, "_hash")
+    return some.groupBy(*names).agg(F.count("*").alias("_n")).filter("_n > 1").isEmpty()
+
+
+def numbered(df: DataFrame, *order: str, name: str = "pos") -> tuple[DataFrame, int]:
     """Number the rows from 0 in the given order, which must be unique; also return how many there are.
 
-    `row_number()` over the whole table would sort everything in one task. Here the table is
+    `-name` sorts down. `row_number()` over the whole table would sort everything in one task. Here the table is
     range-partitioned by the order, sorted within partitions and staged; all that is brought
     together is one row count per written partition. A unique order also splits a value that holds a
-    large share of the rows over several partitions.
+    large share of the rows over several partitions. A repeated order is an error; it is found by counting hashes.
     """
+    names, columns = _ordering(order)
     ranged = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.repartitionByRange(*columns)
+        .sortWithinPartitions(*columns)
         .withColumn("_seq", F.monotonically_increasing_id())
     )
     staged = stage(ranged, "positions")
     part = F.shiftright("_seq", _ROW_BITS).cast("int")
-    # One count per partition of the shuffle, however many rows there are.
-    counts = dict(staged.groupBy(part.alias("_part")).agg(F.count("*")).collect())
-    before = [0, *accumulate(counts.get(p, 0) for p in range(max(counts, default=0) + 1))]
+    if not _is_unique(staged, names):
+        raise ValueError(f"the order {', '.join(order)} is not unique")
+    offsets, total = offset_table(df.sparkSession, dict(staged.groupBy(part.alias("_part")).agg(F.count("*")).collect()))
     row = F.col("_seq").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    first = F.coalesce(F.get(F.lit(before).cast("array<bigint>"), part), F.lit(0))
-    return staged.select(*[F.col(f"`{c}`") for c in df.columns], (first + row).alias(name)), before[-1]
+    placed = staged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_begin") + row).alias(name)), total
 
 
-def with_position(df: DataFrame, *order: Column | str, name: str = "pos") -> DataFrame:
+def with_position(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
     """The rows with their position 0, 1, 2, ... in the given order, which must be unique."""
     return numbered(df, *order, name=name)[0]
 
@@ -54,3 +84,37 @@ def positional_zip(
     if left_length != right_length:
         raise ValueError(f"cannot zip {left_length} rows with {right_length} rows")
     return left_rows.join(right_rows, name)
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """An inner join on keys that may be NULL."""
+    renamed = right.withColumnsRenamed({key: f"{key}_right" for key in keys})
+    alike = reduce(and_, [F.col(f"`{key}`").eqNullSafe(F.col(f"`{key}_right`")) for key in keys])
+    return left.join(renamed, alike).drop(*[f"{key}_right" for key in keys])
+
+
+def nth_in_group(df: DataFrame, group: Sequence[str], cells: Sequence[Column], tie: Sequence[str], name: str = "nth") -> DataFrame:
+    """The place of each row, from 1, among the rows of its group in the order of cells, then of `tie`.
+
+    A group may hold a large share of all rows, so no task orders a whole group. `cells` are columns of whole numbers, from
+    coarse to fine, each with a bounded number of values inside the one before (minutes of a day, milliseconds of a minute). Rows
+    are counted in each cell, the counts are summed up level by level, and only rows of one finest cell are ordered by
+    themselves, after one shuffle. Nothing is staged and no join is on the group alone.
+    """
+    names = [f"_cell{k}" for k in range(len(cells))]
+    keys = [*group, *names]
+    # Rows without a cell come first.
+    rows = df.withColumns({n: F.coalesce(c.cast("long"), F.lit(-1).cast("long")) for n, c in zip(names, cells, strict=True)})
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    before, level = None, counts
+    for depth in range(len(names), 0, -1):
+        outer = keys[: len(group) + depth - 1]
+        inside = Window.partitionBy(*outer).orderBy(names[depth - 1]).rowsBetween(Window.unboundedPreceding, -1)
+        summed = level.select(*outer, names[depth - 1], F.coalesce(F.sum("_n").over(inside), F.lit(0)).alias(f"_before{depth}"))
+        before = summed if before is None else _same(before, summed, [*outer, names[depth - 1]])
+        level = level.groupBy(*outer).agg(F.sum("_n").alias("_n")) if depth > 1 else level
+    start = sum((F.col(f"_before{k + 1}") for k in range(len(names))), F.lit(0))
+    before = before.select(*keys, start.alias("_start"))
+    within = F.row_number().over(Window.partitionBy(*keys).orderBy(*tie))
+    placed = _same(rows.withColumn("_within", within), before, keys)
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + F.col("_within")).alias(name))

@@ -38,10 +38,12 @@ def table_bytes(df: DataFrame, rows: int | None = None) -> int:
 def lookup_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Mark a lookup table for broadcast if its size allows it.
 
-    A larger table goes unmarked and is joined by shuffle; the lookup keys used in this package are
-    uniform hashes or positions, so no partition of that shuffle is hot. Pass a staged table, or the
-    number of rows: a table that has to be measured is read twice.
+    A larger table goes unmarked and is joined by shuffle; it is used with keys that are uniform hashes or positions, so no
+    partition of that shuffle is hot. Nothing is marked where the session has switched automatic broadcasts off. Pass a staged
+    table, or the number of rows: a table that has to be measured is read twice.
     """
+    if df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
+        return df
     limit = int(df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
     return F.broadcast(df) if table_bytes(df, rows) <= limit else df
 

@@ -20,8 +20,8 @@ from flowloom.functions.clock import (
     window_minutes,
 )
 from flowloom.functions.draws import draw, whole_div
-from flowloom.operators.positions import with_position
-from flowloom.operators.sizing import expand_counts, lookup_side
+from flowloom.operators.positions import nth_in_group, with_position
+from flowloom.operators.sizing import expand_counts
 from flowloom.sources.staging import stage
 
 # The lowest accepted density is 30,000 rows in 24 hours; an offset inside a minute
@@ -35,6 +35,12 @@ _ORDINAL_BITS = 40
 _MINUTES_PER_TASK = 100_000
 
 
+def millisecond_of_minute(ts: Column | str) -> Column:
+    """0 to 59,999."""
+    micros = F.timestamp_diff("MICROSECOND", ntz_literal(datetime(1970, 1, 1)), ts)
+    return whole_div(F.pmod(micros, F.lit(60_000_000)), 1000)
+
+
 def minute_profile(events: DataFrame, ts: str = "ts", anchor: int = PROFILE_ANCHOR) -> DataFrame:
     """Rows per minute of day, slot 0 at the anchor; all 1,440 slots are present.
 
@@ -92,7 +98,7 @@ def volume_allocation_exact(window: DataFrame, total: int) -> DataFrame:
     weight = F.lit(total).cast(DecimalType(18, 0)) * F.col("n").cast(DecimalType(19, 0))
     whole = window.agg(F.sum("n")).scalar().cast(DecimalType(19, 0))
     parts = window.withColumn("_base", whole_div(weight, whole)).withColumn("_rest", weight % whole)
-    ranked = with_position(parts, F.desc("_rest"), "i", name="_rank")
+    ranked = with_position(parts, "-_rest", "i", name="_rank")
     left_over = F.lit(total) - ranked.agg(F.sum("_base")).scalar()
     extra = F.when(F.col("_rank") < left_over, 1).otherwise(0)
     return ranked.select(*window.columns, (F.col("_base") + extra).alias("c"))
@@ -113,20 +119,41 @@ def jittered(minute: str = "minute_ts", key: str = "id") -> Column:
 def minute_jitter(rows: DataFrame) -> DataFrame:
     """Timestamp inside the minute, its text form and the ordinal of the row within its minute by time.
 
-    A minute may hold a large share of all rows, so no task orders a whole minute: all rows get
-    their global position by time, and the ordinal is the distance from the first of the minute.
+    A minute may hold a large share of all rows, so no task orders a whole minute: rows are counted per
+    millisecond, and only those of one millisecond are ordered by id.
     """
     timed = rows.select("id", "i", jittered().alias("ts"))
-    placed = with_position(timed, "i", "ts", "id", name="_pos")
-    firsts = placed.groupBy("i").agg(F.min("_pos").alias("_first"))
-    both = placed.join(lookup_side(firsts), "i")
-    nth = F.col("_pos") - F.col("_first") + 1
-    return both.select("id", "i", "ts", nth.alias("nth"), timestamp_text("ts").alias("ts_text"))
+    placed = nth_in_group(timed, ["i"], [millisecond_of_minute("ts")], ["ts", "id"])
+    return placed.select("id", "i", "ts", F.col("nth").cast("long").alias("nth"), timestamp_text("ts").alias("ts_text"))
+
+
+def order_in_day(events: DataFrame, ts: str, tie: str) -> DataFrame:
+    """The rows with their day and their place in it, from 1, by time and then by the tie column, which must be unique.
+
+    Rows without a time have no day and are ordered among themselves by the tie column.
+    """
+    dated = events.withColumn("day", F.to_date(ts))
+    minute = F.hour(ts) * 60 + F.minute(ts)
+    return nth_in_group(dated, ["day"], [minute, millisecond_of_minute(ts)], [ts, tie], "nth")
 
 
-def expected_vs_actual(window: DataFrame, allocation: DataFrame) -> DataFrame:
-    """Per minute: profile value, expected share of all rows, actual rows, expected rows and the difference."""
-    actual = allocation.select("i", "c")
+def minute_counts(events: DataFrame, start: str | datetime, end: str | datetime, ts: str = "ts") -> DataFrame:
+    """Rows per minute of [start, end): (i, c) for every minute, 0 where there are none."""
+    minutes = window_minutes(start, end)
+    since = whole_div(F.timestamp_diff("MICROSECOND", ntz_literal(bound(start)), ts), 60_000_000)
+    inside = (F.col(ts) >= ntz_literal(bound(start))) & (F.col(ts) < ntz_literal(bound(end)))
+    counts = events.filter(inside).groupBy(since.cast("int").alias("i")).agg(F.count("*").alias("_n"))
+    tasks = -(-minutes // _MINUTES_PER_TASK)
+    spine = events.sparkSession.range(0, minutes, 1, tasks).select(F.col("id").cast("int").alias("i"))
+    return spine.join(counts, "i", "left").select("i", F.coalesce("_n", F.lit(0)).alias("c"))
+
+
+def expected_vs_actual(window: DataFrame, counted: DataFrame) -> DataFrame:
+    """Per minute: profile value, expected share of all rows, actual rows, expected rows and the difference.
+
+    `counted` has the actual rows of each minute: those of an allocation, or `minute_counts` of an event table.
+    """
+    actual = counted.select("i", "c")
     whole = window.agg(F.sum("n").cast("double")).scalar()
     total = actual.agg(F.sum("c").cast("double")).scalar()
     both = window.join(actual, "i")
@@ -145,7 +172,7 @@ def expected_vs_actual(window: DataFrame, allocation: DataFrame) -> DataFrame:
 def tick_rollup(events: DataFrame, ts: str = "ts", every: str = "5 minutes") -> DataFrame:
     """Rows per tick from the first to the last tick that holds rows; empty ticks are present as 0.
 
-    The counts are staged: they are needed for the ends of the range and for the ticks, and Spark
+    Rows without a time lie in no tick. The counts are staged: they are needed for the ends of the range and for the ticks, and Spark
     would scan the events for each.
     """
     tick = F.window(ts, every).getField("start").alias("tick")
@@ -167,18 +194,19 @@ def tick_rollup(events: DataFrame, ts: str = "ts", every: str = "5 minutes") ->
 def density_check(
     df: DataFrame,
     ts: str = "ts",
-    min_per_minute: float = LOWEST_DENSITY,
+    min_per_minute: float | None = LOWEST_DENSITY,
     minutes: int = MINUTES_PER_DAY,
     strict: bool = False,
 ) -> DataFrame:
     """Rows per minute of each window against a floor; a window passes when it reaches the floor.
 
-    Windows without rows between the first and the last one are tested too. With `strict` a window
+    Without a floor the mean over all windows is taken. Rows without a time lie in no window. Windows without rows between the first and the last one are tested too. With `strict` a window
     that fails raises an error when the result is computed.
     """
     counts = tick_rollup(df, ts, f"{minutes} minutes")
     per_minute = F.col("n") / F.lit(float(minutes))
-    passes = per_minute >= F.lit(float(min_per_minute))
+    mean = counts.agg(F.avg("n") / F.lit(float(minutes))).scalar() if min_per_minute is None else F.lit(float(min_per_minute))
+    passes = per_minute >= mean
     if strict:
         text = F.concat(F.lit("too few rows in the window from "), F.col("tick").cast("string"))
         passes = F.when(passes, F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))
@@ -186,6 +214,6 @@ def density_check(
         F.col("tick").alias("window_start"),
         "n",
         per_minute.alias("per_minute"),
-        F.lit(float(min_per_minute)).alias("min_per_minute"),
+        mean.alias("min_per_minute"),
         passes.alias("passes"),
     )

@@ -7,8 +7,10 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from flowloom.functions.addresses import dotted_quad, keyed_address
 from flowloom.functions.clock import window_minutes
 from flowloom.operators.assign import bucket_assign, size_fields, weighted_assign
 from flowloom.operators.entities import (
@@ -18,7 +20,7 @@ from flowloom.operators.entities import (
     endpoint_enrich,
     endpoint_pairs,
 )
-from flowloom.operators.lists import port_clean, preferred_first, weight_table
+from flowloom.operators.lists import port_clean, preferred_list, weight_table
 from flowloom.operators.traffic import (
     jittered,
     minute_profile,
@@ -56,8 +58,8 @@ def known_addresses(
 
 def port_weights(ports: DataFrame, favoured: Sequence[int], raw: str = "raw", pos: str = "pos") -> DataFrame:
     """Weights for the ports among raw texts, the favoured ones 40 % each if there are two."""
-    listed = preferred_first(port_clean(ports, raw, pos), "port", "pos", favoured)
-    return weight_table(listed, "port", len(favoured))
+    listed, count = preferred_list(port_clean(ports, raw, pos), "port", "pos", favoured)
+    return weight_table(listed, "port", len(favoured), count=count)
 
 
 def _side_by_side(spark: SparkSession, *steps: Callable) -> list:
@@ -114,6 +116,25 @@ def flow_table(*args, **kwargs) -> DataFrame:
     return flow_rows(*args, **kwargs).drop("id")
 
 
+def keyed_flows(
+    rows: DataFrame, source: Column, destination: Column, amount: str, ts: str, secret: str
+) -> DataFrame:
+    """One flow per row of an existing table, with its identifiers hidden: keyed addresses in place of both keys.
+
+    Bytes and the packets they fill come from an amount, the time is kept. Everything is computed from the row itself, so
+    nothing is joined or shuffled, and no raw key is left. Keys of two kinds need prefixes, or equal numbers would get one address.
+    A row without a key has no address there.
+    """
+    sized = size_fields(rows, "", amount=amount)
+    return sized.select(
+        "bytes",
+        "packets",
+        dotted_quad(keyed_address(source, secret)).alias("source_IP"),
+        dotted_quad(keyed_address(destination, secret)).alias("destination_IP"),
+        F.col(ts).alias("timestamp"),
+    )
+
+
 def flow_preview(flows: DataFrame, n: int = 20) -> DataFrame:
     """The first n flows by time (then by id, if the flows carry it)."""
     tie = ["id"] if "id" in flows.columns else [c for c in flows.columns if c != "timestamp"]

@@ -10,7 +10,7 @@ from flowloom.operators.lists import (
     preferred_first,
     weight_table,
 )
-from flowloom.operators.positions import numbered, positional_zip, with_position
+from flowloom.operators.positions import nth_in_group, numbered, offset_table, positional_zip, with_position
 
 
 def listed(spark, *values, kind="string"):
@@ -68,7 +68,7 @@ def test_positions_over_many_partitions(spark):
     rows = spark.range(0, 90_000, 1, 7).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("a"), F.xxhash64("id").alias("b"), "id"
     )
-    placed, count = numbered(rows, F.desc("a"), "b")
+    placed, count = numbered(rows, "-a", "b")
     assert count == 90_000
     assert placed.count() == 90_000
     found = [(r["a"], r["b"], r["pos"]) for r in placed.collect()]
@@ -77,6 +77,44 @@ def test_positions_over_many_partitions(spark):
     assert sorted(p for _, _, p in found) == list(range(90_000))
 
 
+def test_a_repeated_order_is_an_error(spark):
+    rows = spark.range(1000).select((F.col("id") % 400).alias("k"), "id")
+    with pytest.raises(ValueError, match="not unique"):
+        with_position(rows, "k")
+    with pytest.raises(ValueError, match="not unique"):
+        positional_zip(rows, ["id"], rows, ["-k"])
+    assert with_position(rows, "-k", "id").count() == 1000
+
+
+def test_offsets_of_many_partitions(spark):
+    offsets, total = offset_table(spark, {part: part % 3 for part in range(20_000)})
+    assert total == sum(part % 3 for part in range(20_000)) and offsets.count() == 20_000
+    assert [tuple(r) for r in offsets.orderBy("_part").tail(2)] == [(19_998, total - 1), (19_999, total - 1)]
+
+
+def test_place_in_a_hot_group(spark):
+    """Half of all rows in one group, some without a cell, and no join or order on the group alone."""
+    rows = spark.range(0, 20_000, 1, 5).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.when(F.col("id") % 3 > 0, (F.col("id") % 50).cast("string"))).alias("g"),
+        F.when(F.col("id") % 11 > 0, F.pmod(F.xxhash64("id"), F.lit(1000))).alias("v"),
+        "id",
+    )
+    automatic = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = nth_in_group(rows, ["g"], [F.floor(F.col("v") / 100), F.col("v") % 100], ["id"])
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        found = [tuple(r) for r in placed.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", automatic)
+    expected, seen = [], {}
+    for g, v, i in sorted(((r[0], r[1], r[2]) for r in found), key=lambda r: (r[0] or "", -1 if r[1] is None else r[1], r[2])):
+        seen[g] = seen.get(g, 0) + 1
+        expected.append((g, v, i, seen[g]))
+    assert len(found) == 20_000 and sorted(found, key=str) == sorted(expected, key=str)
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 def test_positions_of_nothing(spark):
     placed, count = numbered(spark.range(0), "id")
     assert count == 0 and placed.count() == 0

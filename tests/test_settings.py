@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from flowloom.operators.sizing import lookup_side, table_bytes
 
-NAMES = ["flow_table", "minute_jitter", "positional_zip", "volume_allocation_exact", "weighted_assign", "domain_class"]
+NAMES = ["flow_table", "minute_jitter", "positional_zip", "volume_allocation_exact", "weighted_assign", "domain_class", "event_order"]
 
 SETTINGS = {
     "no adaptive execution": {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "5"},
@@ -60,9 +60,9 @@ def test_broadcast_only_below_the_limit(spark):
     table = spark.range(1000)
     rows = spark.range(10**6).withColumnRenamed("id", "k")
     automatic = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for limit, marked in (("24000", True), ("23999", False)):
+        for limit, automatic_limit, marked in (("24000", "1", True), ("23999", "1", False), ("24000", "-1", False)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", automatic_limit)
             spark.conf.set("flowloom.broadcastBytes", limit)
             joined = rows.join(lookup_side(table), F.col("k") == F.col("id"))
             assert ("BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()) is marked
