@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import sys
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -11,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-import flow_oracle  # noqa: E402
+from flowloom.functions.clock import ntz_literal  # noqa: E402
 from flowloom.operators import assign, columns, entities, graph, lists, positions, traffic  # noqa: E402
 from flowloom.plans import flows  # noqa: E402
 from flowloom.sources import csvfiles, exports  # noqa: E402
@@ -25,8 +27,9 @@ except ModuleNotFoundError as missing:
         raise
     llm = None
 
-SECRET = flow_oracle.SECRET
-FAVOURED = flow_oracle.FAVOURED
+SECRET = "check"
+FAVOURED = (8, 44)
+CLASS_SIZE = 5
 WINDOW = ("1/3/2024 10:30", "3/3/2024 12:30")
 DAY = ("23/6/2020 11:00", "24/6/2020 11:00")
 ROWS_PER_CSV_FILE = 1_000_000
@@ -55,7 +58,7 @@ def _preferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lists.weight_table(_preferred(spark, sf_dir), "port", len(FAVOURED))
+    return flows.port_weights(_port_text(_table(spark, sf_dir, "part")), FAVOURED)
 
 
 def _window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,14 +76,14 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _addresses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     events = _table(spark, sf_dir, "events")
     hosts = lists.host_list(_table(spark, sf_dir, "pages"))
-    return flows.known_addresses(events, "user_id", hosts, SECRET, flow_oracle.CLASS_SIZE, flow_oracle.CLASS_SIZE)
+    return flows.known_addresses(events, "user_id", hosts, SECRET, CLASS_SIZE, CLASS_SIZE)
 
 
 def _flows(spark: SparkSession, sf_dir: str, with_ports: bool = True) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     hosts = lists.host_list(_table(spark, sf_dir, "pages"))
     ports = _port_text(_table(spark, sf_dir, "part")) if with_ports else None
-    classes = {"fake": flow_oracle.CLASS_SIZE, "none": flow_oracle.CLASS_SIZE}
+    classes = {"fake": CLASS_SIZE, "none": CLASS_SIZE}
     return flows.flow_rows(events, hosts, ports, *DAY, _volume(events), SECRET, favoured=FAVOURED, **classes)
 
 
@@ -97,6 +100,37 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csvfiles.csv_roundtrip(events, fresh_path(spark, "csv"), files)
 
 
+def csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long prose with line breaks."""
+    return csvfiles.csv_roundtrip(_table(spark, sf_dir, "documents"), fresh_path(spark, "csv"))
+
+
+def _some_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, some of which have no time."""
+    timed = F.when(F.col("event_id") % 10 > 0, F.col("ts"))
+    return _table(spark, sf_dir, "events").withColumn("ts", timed)
+
+
+def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row written by window, and read back with its label."""
+    events, path = _some_times(spark, sf_dir), fresh_path(spark, "windows")
+    exports.export_windows(events, path)
+    return exports.read_windows(spark, path, events.schema)
+
+
+def export_manifest_no_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.export_manifest(_some_times(spark, sf_dir))
+
+
+def port_clean_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ports from a foreign CSV file, read as text in the order of its lines."""
+    path = fresh_path(spark, "ports")
+    ports = _port_text(_table(spark, sf_dir, "part")).repartitionByRange("pos").sortWithinPartitions("pos")
+    ports.select(F.col("raw").alias("Port Number"), F.lit("tcp").alias("Protocol")).write.option("header", True).csv(path)
+    lines = csvfiles.read_text_columns_in_order(spark, path, "Port Number")
+    return lists.port_clean(lines.withColumnRenamed("Port Number", "raw"))
+
+
 def export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exports.export_manifest(_table(spark, sf_dir, "events"))
 
@@ -148,7 +182,7 @@ def volume_allocation_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def density_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traffic.density_check(_table(spark, sf_dir, "events"), min_per_minute=flow_oracle.DENSITY_FLOOR)
+    return traffic.density_check(_table(spark, sf_dir, "events"), min_per_minute=None)
 
 
 def minute_jitter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +193,23 @@ def expected_vs_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traffic.expected_vs_actual(_window(spark, sf_dir), _allocation(spark, sf_dir))
 
 
+def expected_vs_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of the first half of the days, laid over the other half, against the events counted there."""
+    events = _table(spark, sf_dir, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    day = timedelta(days=1)
+    begin, end = datetime(first.year, first.month, first.day), datetime(last.year, last.month, last.day) + day
+    middle = begin + (end - begin) // day // 2 * day
+    profile = traffic.minute_profile(events.filter(F.col("ts") < ntz_literal(middle)))
+    window = traffic.profile_window(profile, middle, end)
+    return traffic.expected_vs_actual(window, traffic.minute_counts(events, middle, end))
+
+
+def event_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return traffic.order_in_day(events, "ts", "event_id").drop("ts")
+
+
 def tick_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traffic.tick_rollup(_table(spark, sf_dir, "events"))
 
@@ -180,7 +231,9 @@ def flag_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def endpoint_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.endpoint_pairs(_table(spark, sf_dir, "events").select("event_id"), "event_id", flow_oracle.ENDPOINTS)
+    events = _table(spark, sf_dir, "events")
+    users = events.select("user_id").filter("user_id is not null").distinct().count()
+    return entities.endpoint_pairs(events.select("event_id"), "event_id", users)
 
 
 def endpoint_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,10 +256,8 @@ def size_fields_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weighted_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line_id = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_id")
-    lines = _table(spark, sf_dir, "lineitem").select(line_id, "l_partkey")
-    drawn = {"source_port": "source port", "destination_port": "destination port"}
-    return assign.weighted_assign(lines, "line_id", _weights(spark, sf_dir), "port", drawn)
+    events = _table(spark, sf_dir, "events").select("event_id", "user_id")
+    return assign.weighted_assign(events, "event_id", _weights(spark, sf_dir), "port", flows.PORT_DRAWS)
 
 
 def flow_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,9 +284,29 @@ def flow_nodes_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.flow_nodes(_supply(spark, sf_dir), "supplier", "part")
 
 
+def supply_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flow for each line item, from its supplier to its part, with keyed addresses in place of both."""
+    lines = _table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_extendedprice", "l_shipdate")
+    supplier = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
+    part = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
+    return flows.keyed_flows(lines, supplier, part, "l_extendedprice", "l_shipdate", SECRET)
+
+
+def supply_flow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.flow_edges(supply_flows(spark, sf_dir))
+
+
+def supply_flow_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.flow_nodes(supply_flows(spark, sf_dir))
+
+
+def supply_flow_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows.flow_preview(supply_flows(spark, sf_dir))
+
+
 def entry(spark: SparkSession) -> DataFrame:
-    """The flow table made from the smallest test tables."""
-    return flow_table(spark, "/root/testdata/sf0.001")
+    """The flows of the smallest test tables, or of the folder that ENTRY_SF_DIR names."""
+    return supply_flows(spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -277,10 +348,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "flow_nodes": flow_nodes,
         "flow_edges_supply": flow_edges_supply,
         "flow_nodes_supply": flow_nodes_supply,
+        "csv_documents": csv_documents,
+        "export_roundtrip": export_roundtrip,
+        "export_manifest_no_time": export_manifest_no_time,
+        "port_clean_csv": port_clean_csv,
+        "expected_vs_counted": expected_vs_counted,
+        "event_order": event_order,
+        "supply_flows": supply_flows,
+        "supply_flow_edges": supply_flow_edges,
+        "supply_flow_nodes": supply_flow_nodes,
+        "supply_flow_preview": supply_flow_preview,
         **(llm.queries() if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same queries as DuckDB text; column names match."""
+    """The same queries as DuckDB text; column names match. Only this needs the test packages."""
+    import flow_oracle
+
     return {**flow_oracle.oracle_sql(), **(llm.oracle_sql() if llm else {})}

@@ -15,9 +15,9 @@ WINDOW = ("2024-03-01 10:30:00", 3000)
 DAY = ("2020-06-23 11:00:00", 1440)
 VOLUME = "(select 10 * count(*) from events)"
 EXACT_VOLUME = "(select 3 * count(*) + 7 from events)"
-DENSITY_FLOOR = 0.235
-ENDPOINTS = 150
 CLASS_SIZE = 5
+MEAN_DENSITY = "(select avg(n) / 1440::double from filled)"
+USERS = "(select count(distinct user_id) from events)"
 
 # The five primes of XXH64.
 P1 = 0x9E3779B185EBCA87
@@ -136,8 +136,8 @@ KEYED = f"""select user_id as key, ('0x' || substr(sha256('{SECRET}:' || user_id
 from (select distinct user_id from events)"""
 ADDRESSES = f"""select (row_number() over (order by key) - 1)::bigint as pos, key, ip_number, {dotted('ip_number')} as ip,
   count(*) over (partition by ip_number) as same_ip from keyed"""
-POOL = f"""select (row_number() over (order by min(key)) - 1)::bigint as pos, ip_number, {dotted('ip_number')} as ip
-from keyed group by ip_number"""
+POOL = f"""select (row_number() over (order by min(key)) - 1)::bigint as pos, ip_number, {dotted('ip_number')} as ip,
+  count(*) as same_ip from keyed group by ip_number"""
 PLACED_HOSTS = "select host, row_number() over (order by host) - 1 as host_pos from hosts"
 
 
@@ -152,7 +152,7 @@ join placed_hosts p on p.host_pos = d.host_draw % (select count(*) from hosts)""
 
 CLASSED = {
     "labelled": draws("assigned", "ip_number", letters="label", size="label length"),
-    "dim": f"""select pos, ip_number, ip, case class when 0 then 'generated' when 1 then 'missing' else 'known' end as class,
+    "dim": f"""select pos, ip_number, ip, same_ip, case class when 0 then 'generated' when 1 then 'missing' else 'known' end as class,
   case when class = 0 then left(right(lower(to_base((letters_h >> 1)::bigint, 36, 13)), 10), (5 + size % 6)::integer) || 'DGA.com'
        when class > 1 then known_host end as host from (select *, pos // {CLASS_SIZE} as class from labelled)""",
 }
@@ -194,6 +194,16 @@ from paired f join dim s on s.pos = f.src join dim d on d.pos = f.dst
 join weights ps on ps.pos = f.sport_pos join weights pd on pd.pos = f.dport_pos""",
 }
 SUPPLY = "select 's' || l_suppkey as \"source_IP\", 'p' || l_partkey as \"destination_IP\" from lineitem"
+SOME_TIMES = "select * replace (case when event_id % 10 > 0 then ts end as ts) from events"
+
+
+def keyed(key: str) -> str:
+    return f"('0x' || substr(sha256('{SECRET}:' || {key}), 1, 13))::bigint % 4294967295 + 1"
+
+
+SUPPLY_FLOWS = f"""select l_extendedprice as bytes, ceil(l_extendedprice / 1500)::bigint as packets,
+  {dotted('source')} as "source_IP", {dotted('destination')} as "destination_IP", l_shipdate as "timestamp"
+from (select *, {keyed("'s' || l_suppkey")} as source, {keyed("'p' || l_partkey")} as destination from lineitem)"""
 EDGES = 'select "source_IP" as src, "destination_IP" as dst, count(*) as n from flows group by 1, 2'
 NODES = """select node, sum(o)::bigint as out_degree, sum(i)::bigint as in_degree from (
   select src as node, 1 as o, 0 as i from edges union all select dst, 0, 1 from edges) group by node"""
@@ -244,7 +254,7 @@ from pages group by 1""",
         ),
         "density_check": query(
             f"""select tick as window_start, n, n / 1440::double as per_minute,
-  {DENSITY_FLOOR}::double as min_per_minute, n / 1440::double >= {DENSITY_FLOOR}::double as passes from filled""",
+  {MEAN_DENSITY} as min_per_minute, n / 1440::double >= {MEAN_DENSITY} as passes from filled""",
             **ticks("1 day"),
         ),
         "row_expansion": query("select * from numbered", **t),
@@ -268,14 +278,14 @@ from (select *, minute_ts + to_milliseconds(ms % 60000) as ts from drawn)""",
             **ADDRESS_DIM,
             **assigned("addresses"),
         ),
-        "domain_class": query("select pos, ip_number, ip, host, class from dim", **POOL_DIM),
+        "domain_class": query("select pos, ip_number, ip, same_ip, host, class from dim", **POOL_DIM),
         "flag_generated": query(
             f"""select * from (select *, {source_flag} as source_flag, {destination_flag} as destination_flag from flows)
 where source_flag is not null or destination_flag is not null""",
             **FLOW_CTES,
         ),
         "endpoint_pairs": query(
-            "select event_id, src, dst from paired", paired=ends("events", "event_id", str(ENDPOINTS))
+            "select event_id, src, dst from paired", paired=ends("events", "event_id", USERS)
         ),
         "endpoint_enrich": query(
             f"""select event_id, {ENRICH} from paired p join dim s on s.pos = p.src join dim d on d.pos = p.dst""",
@@ -294,11 +304,10 @@ where source_flag is not null or destination_flag is not null""",
         "size_fields_amount": """select l_orderkey, l_linenumber, l_extendedprice as bytes,
   ceil(l_extendedprice / 1500)::bigint as packets from lineitem""",
         "weighted_assign": query(
-            """select line_id, l_partkey, ps.port as source_port, pd.port as destination_port from ported f
+            """select event_id, user_id, ps.port as source_port, pd.port as destination_port from ported f
 join weights ps on ps.pos = f.s_pos join weights pd on pd.pos = f.d_pos""",
             **PORTS,
-            lines="select l_orderkey * 8 + l_linenumber as line_id, l_partkey from lineitem",
-            drawn=draws("lines", "line_id", s="source port", d="destination port"),
+            drawn=draws("events", "event_id", s="source port", d="destination port"),
             ported=f"select *, {port_at('s')} as s_pos, {port_at('d')} as d_pos from drawn",
         ),
         "flow_table": query("select * exclude (id) from flows", **FLOW_CTES),
@@ -307,4 +316,39 @@ join weights ps on ps.pos = f.s_pos join weights pd on pd.pos = f.d_pos""",
         "flow_nodes": query(NODES, **FLOW_CTES, edges=EDGES),
         "flow_edges_supply": query("select * from edges", flows=SUPPLY, edges=EDGES),
         "flow_nodes_supply": query(NODES, flows=SUPPLY, edges=EDGES),
+        "csv_documents": "select * from documents",
+        "export_roundtrip": f"""select * exclude (window_start, window_end),
+  coalesce('flows_' || {start} || '_to_' || {end}, 'flows_no_time') as path_label
+from (select *, date_trunc('day', ts) as window_start, date_trunc('day', ts) + interval 1 day as window_end
+  from ({SOME_TIMES}))""",
+        "export_manifest_no_time": f"""select coalesce('flows_' || {start} || '_to_' || {end}, 'flows_no_time') as path_label, window_start, window_end, n
+from (select date_trunc('day', ts) as window_start, date_trunc('day', ts) + interval 1 day as window_end, count(*) as n
+  from ({SOME_TIMES}) group by 1, 2)""",
+        "port_clean_csv": query(
+            "select port, pos from clean",
+            port_text=f"select (row_number() over (order by pos) - 1)::bigint as pos, raw from ({PORT_TEXT})",
+            clean=CLEAN,
+        ),
+        "expected_vs_counted": query(
+            """select (i)::integer as i, minute_ts, n, n / whole as expected_share, c as actual_rows,
+  n * (total / whole) as expected_rows, c - n * (total / whole) as difference
+from (select *, sum(n) over ()::double as whole, sum(c) over ()::double as total from (
+  select m.i, m.minute_ts, coalesce(p.n, 0)::bigint as n, coalesce(a.c, 0)::bigint as c from minutes m
+  left join (select hour(ts) * 60 + minute(ts) as slot, count(*) as n from events, halves where ts < middle group by 1) p
+    on p.slot = hour(m.minute_ts) * 60 + minute(m.minute_ts)
+  left join (select date_trunc('minute', ts) as at, count(*) as c from events, halves where ts >= middle group by 1) a
+    on a.at = m.minute_ts))""",
+            days="select date_trunc('day', min(ts)) as first, date_trunc('day', max(ts)) + interval 1 day as past from events",
+            halves="select past, first + to_days((date_diff('day', first, past) // 2)::integer) as middle from days",
+            minutes="""select i, middle + to_minutes(i) as minute_ts
+from (select middle, unnest(generate_series(0, date_diff('minute', middle, past) - 1)) as i from halves)""",
+        ),
+        "event_order": """select event_id, user_id, ts::date as day,
+  row_number() over (partition by ts::date order by ts, event_id) as nth from events""",
+        "supply_flows": SUPPLY_FLOWS,
+        "supply_flow_edges": query("select * from edges", flows=SUPPLY_FLOWS, edges=EDGES),
+        "supply_flow_nodes": query(NODES, flows=SUPPLY_FLOWS, edges=EDGES),
+        "supply_flow_preview": query(
+            """select * from flows order by "timestamp", bytes, packets, "source_IP", "destination_IP" limit 20""", flows=SUPPLY_FLOWS
+        ),
     }
