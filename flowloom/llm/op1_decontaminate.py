@@ -1,7 +1,7 @@
 """Documents that hold benchmark passages, found by the q-gram lemma and verified by banded alignment.
 
 Texts are compared by their letters and digits: lower case, everything else one blank. A passage leaks if a window of an
-item (100 characters, or the whole item if shorter) occurs in the text with at most 10 % edits.
+item (64 characters, or the whole item if shorter) occurs in the text with at most 10 % edits.
 
 Filter. A window of m characters with at most k edits shares at least m - q + 1 - k q of its q-grams with the text, and these
 lie on at most k + 1 neighbouring diagonals (place in the text less place in the item). Diagonals are cut into bands that
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from flowloom.llm.batches import slices, texts_of
 from flowloom.llm.wordscan import rolled
 
-GRAM, WINDOW, STEP, EDITS = 8, 100, 25, 0.1
+GRAM, WINDOW, STEP, EDITS = 8, 64, 16, 0.1
 #: Items with fewer letters and digits cannot be told from chance and are not searched.
 SHORTEST = 30
 _BAND = 32
