@@ -8,16 +8,14 @@ pass the base are dealt into two halves by a hash of their id. The design half p
 the good texts' feature, each valued by the bad texts it rejects less 20 times the good ones. The holdout half decides:
 the false rejection rate of a cutoff is above the allowed rate a with an exact binomial p-value P(Bin(n, a) <= x), where x
 of n good texts are rejected. Cutoffs are tested from the highest down and testing stops at the first that fails
-(a fixed sequence needs no correction); over strata and rules the level is divided (Bonferroni), and the allowed rate is
-shared out over the rules. So with probability 1 - `level`, no stratum loses more than `risk` of its good texts by all rules
+(a fixed sequence needs no correction); over strata and rules the level is divided (Bonferroni), and a stratum's allowed rate
+is shared out over its rules. Only rules whose value on the design half is at least a twentieth of its bad texts are tested, which the holdout has no part in. So with probability 1 - `level`, no stratum loses more than `risk` of its good texts by all rules
 together. Of the cutoffs that pass, the one with the best value is taken; a stratum with too few labels for a proof gets no rule.
 The labels must be a sample of the texts to be judged; copies among them make the proof weaker than it looks.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +23,8 @@ from flowloom.sources.staging import stage
 
 RISK, LEVEL = 0.02, 0.05
 MIN_WORDS, MAX_REPEATED = 50, 50
-_PRICE = 20
+# A rejected good text costs as much as this many rejected bad ones gain; a rule must find this share of the bad ones.
+_PRICE, _LEAST_SHARE = 20, 0.05
 _QUANTILES = (0.9, 0.95, 0.98, 0.99, 0.995, 0.998, 0.999, 1.0)
 # White space that separates words, and the symbols that are counted.
 _SPACES, _SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
@@ -138,10 +137,10 @@ def _features(m: str) -> dict[str, Column]:
     }
 
 
-def binomial_below(n: Column, x: Column, rate: float) -> Column:
+def binomial_below(n: Column, x: Column, rate: Column) -> Column:
     """P(Bin(n, rate) <= x) for x below n * rate; 1 above, where nothing can be proven."""
-    step = math.log(rate / (1 - rate))
-    start = F.struct((n * math.log(1 - rate)).alias("log"), F.exp(n * math.log(1 - rate)).alias("sum"))
+    step, none = F.log(rate / (1 - rate)), n * F.log(1 - rate)
+    start = F.struct(none.alias("log"), F.exp(none).alias("sum"))
 
     def add(state: Column, k: Column) -> Column:
         log = state["log"] + F.log((n - k + 1) / k) + step
@@ -168,23 +167,28 @@ def cutoffs(labelled: DataFrame, risk: float = RISK, level: float = LEVEL) -> Da
         flag(~F.col("design") & F.col("good")).alias("held_good"),
     )
     group = counts.groupBy("stratum", "feature", "cuts").agg(
-        F.collect_list(F.struct("above", "design_good", "design_bad", "held_good")).alias("bins"), F.sum("held_good").alias("n")
+        F.collect_list(F.struct("above", "design_good", "design_bad", "held_good")).alias("bins"),
+        F.sum("held_good").alias("n"), F.sum("design_bad").alias("bad"),
     )
-    group = stage(group, "bins")
-    tests = max(1, group.count())
-    each = group.select("stratum", "feature", "n", "bins", F.posexplode("cuts").alias("k", "cutoff"))
+    each = group.select("stratum", "feature", "n", "bad", "bins", F.posexplode("cuts").alias("k", "cutoff"))
 
     def rejected(field: str) -> Column:
         bins = F.filter("bins", lambda b: b["above"] > F.col("k"))
         return F.aggregate(F.transform(bins, lambda b: b[field]), F.lit(0).cast("long"), lambda a, x: a + x)
 
-    rules = len(_features("m"))
-    p_value = binomial_below(F.col("n"), rejected("held_good"), risk / rules)
-    tested = each.select(
-        "stratum", "feature", "cutoff",
-        (p_value <= level / tests).alias("proven"),
+    valued = each.select(
+        "stratum", "feature", "cutoff", "n", "bad", rejected("held_good").alias("x"),
         (rejected("design_bad") - _PRICE * rejected("design_good")).alias("value"),
     )
+    # A few rows for each stratum.
+    valued = stage(valued, "cuts")
+    useful = valued.groupBy("stratum", "feature").agg(F.max("value").alias("best"), F.first("bad").alias("all_bad"))
+    useful = useful.filter((F.col("best") > 0) & (F.col("best") >= _LEAST_SHARE * F.col("all_bad"))).drop("all_bad")
+    shares = useful.groupBy("stratum").agg((F.lit(risk) / F.count("*")).alias("rate"))
+    tests = max(1, useful.count())
+    chosen = valued.join(useful, ["stratum", "feature"]).join(shares, "stratum")
+    p_value = binomial_below(F.col("n"), F.col("x"), F.col("rate"))
+    tested = chosen.select("stratum", "feature", "cutoff", "value", (p_value <= level / tests).alias("proven"))
     down = Window.partitionBy("stratum", "feature").orderBy(F.desc("cutoff"))
     passed = tested.withColumn("all", F.min("proven").over(down)).filter("all and value > 0")
     return passed.groupBy("stratum", "feature").agg(F.max_by("cutoff", F.struct("value", "cutoff")).alias("cutoff"))

@@ -177,7 +177,7 @@ def binomial(n, x, p):
 
 def test_binomial_bound(spark):
     cases = spark.createDataFrame([(n, x) for n in (1, 10, 300, 2000) for x in (0, 1, 3, 20) if x <= n], "n long, x long")
-    for row in cases.withColumn("p", op3_quality.binomial_below(F.col("n"), F.col("x"), 0.02)).collect():
+    for row in cases.withColumn("p", op3_quality.binomial_below(F.col("n"), F.col("x"), F.lit(0.02))).collect():
         assert row.p == pytest.approx(binomial(row.n, row.x, 0.02) if row.x < 0.02 * row.n else 1.0, rel=1e-9)
 
 
