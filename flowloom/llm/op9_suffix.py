@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.llm.batches import bytes_of, slices
+from flowloom.llm.bloom import inner_joined, left_joined
 from flowloom.llm.rowids import with_rid
 from flowloom.llm.suffixes import Suffixes
 from flowloom.llm.wordscan import mixed, rolled
@@ -207,8 +208,8 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     several = shared.filter("kinds > 1")
     parts = F.ceil(F.col("kinds") / _REGIONS).cast("int").alias("parts")
     wanted = several.select(F.col("at.rid").alias("rid"), F.struct("at.start", "n", "anchor", "region", parts).alias("one"))
-    wanted = wanted.groupBy("rid").agg(F.collect_list("one").alias("regions"))
-    pieces = _cut(texts.join(wanted, "rid").select("text", "regions"), length)
+    wanted = stage(wanted.groupBy("rid").agg(F.collect_list("one").alias("regions")), "wanted")
+    pieces = _cut(inner_joined(texts, wanted, "rid").select("text", "regions"), length)
     found = stage(_array(pieces, length), "repeats")
     within = found.filter("print is null").select("anchor", "region", "first", "last")
     across = _merged(found.filter("print is not null"))
@@ -216,7 +217,7 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     repeats = equal.union(within).union(across)
     placed = runs.join(repeats, ["anchor", "region"])
     spans = placed.select("rid", F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last")).alias("run"))
-    return spans.groupBy("rid").agg(F.collect_list("run").alias("runs"))
+    return stage(spans.groupBy("rid").agg(F.collect_list("run").alias("runs")), "spans")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -229,7 +230,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     """
     rows, numbered = with_rid(docs, id_col, text_col)
     texts = rows.select("rid", "text")
-    joined = texts.join(repeated_starts(texts, length), "rid", "left")
+    joined = left_joined(texts, repeated_starts(texts, length), "rid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE):
