@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
@@ -22,6 +24,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             first = last
 
 
+def map_all(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """`mapInArrow` over all columns, whatever their names; Spark's own fails for names with dots."""
+    names = df.columns
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(pa.RecordBatch.from_arrays(batch.columns, names) for batch in batches)
+
+    return df.toDF(*[f"c{k}" for k in range(len(names))]).mapInArrow(named, schema)
+
+
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column and the offsets of its rows (one more than rows); null counts as empty."""
     if column.null_count:

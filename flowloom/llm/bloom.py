@@ -33,10 +33,10 @@ def bloom_filter(keys: DataFrame, column: str, most: int = MAX_BLOCKS) -> tuple[
     return keys.groupBy(_block(F.col(column), blocks).alias("block")).agg(*words), blocks
 
 
-def _fresh(rows: DataFrame, *names: str) -> list[str]:
-    """Names like these that are no columns of `rows`."""
-    tail = ""
-    while any(name + tail in rows.columns for name in names):
+def fresh_names(rows: DataFrame, *names: str) -> list[str]:
+    """Names like these that are no columns of `rows`, in whatever case."""
+    tail, taken = "", {c.lower() for c in rows.columns}
+    while any(name + tail in taken for name in names):
         tail += "_"
     return [name + tail for name in names]
 
@@ -44,7 +44,7 @@ def _fresh(rows: DataFrame, *names: str) -> list[str]:
 def probed(rows: DataFrame, key: Column, keys: DataFrame, column: str, most: int = MAX_BLOCKS) -> tuple[DataFrame, DataFrame]:
     """The rows whose key may be among `keys`, and those whose key is not; a null key is not."""
     table, blocks = bloom_filter(keys, column, most)
-    block, hit, *words = _fresh(rows, "block", "hit", *(f"w{j}" for j in range(_WORDS)))
+    block, hit, *words = fresh_names(rows, "block", "hit", *(f"w{j}" for j in range(_WORDS)))
     table = table.toDF(block, *words)
     # Broadcast: at most `most` rows of nine numbers.
     found = rows.withColumn(block, _block(key, blocks)).join(F.broadcast(table), block, "left")
@@ -58,10 +58,10 @@ def probed(rows: DataFrame, key: Column, keys: DataFrame, column: str, most: int
 def left_joined(rows: DataFrame, more: DataFrame, column: str) -> DataFrame:
     """A left join with a staged table: rows without a partner are not shuffled, as far as the filter tells them."""
     some, rest = probed(rows, F.col(column), more.select(column), column)
-    blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in more.schema.fields if f.name != column]
-    return some.join(more, column, "left").select(*rows.columns, *[f.name for f in more.schema.fields if f.name != column]).union(
-        rest.select(*rows.columns, *blanks)
-    )
+    own, added = [F.col(f"`{c}`") for c in rows.columns], [f for f in more.schema.fields if f.name != column]
+    blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in added]
+    found = some.join(more, column, "left").select(*own, *[f.name for f in added])
+    return found.union(rest.select(*own, *blanks))
 
 
 def inner_joined(rows: DataFrame, more: DataFrame, column: str) -> DataFrame:

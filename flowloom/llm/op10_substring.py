@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowloom.llm.batches import bytes_of, slices
-from flowloom.llm.bloom import inner_joined, left_joined
+from flowloom.llm.batches import bytes_of, map_all, slices
+from flowloom.llm.bloom import fresh_names, inner_joined, left_joined
 from flowloom.llm.rowids import keyed, with_rid
 from flowloom.llm.wordscan import doc_of, mixed, rolled, word_hashes
 from flowloom.sources.staging import stage
@@ -198,7 +198,7 @@ def shortened(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", tex
     rows, rid = keyed(docs, id_col)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     starts = repeated_windows(rows.select(F.col(f"`{rid}`").alias("rid"), text.alias("text")), window)
-    extra = f"{rid}starts"
+    extra = fresh_names(rows, "starts")[0]
     joined = left_joined(rows, starts.toDF(rid, extra), rid)
     schema = docs.schema
 
@@ -217,7 +217,7 @@ def shortened(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", tex
             columns[text_col] = pa.array(texts, batch.column(text_col).type)
             yield pa.RecordBatch.from_pydict(columns)
 
-    return joined.mapInArrow(run, schema)
+    return map_all(joined, run, schema)
 
 
 def digest(kept: DataFrame) -> DataFrame:

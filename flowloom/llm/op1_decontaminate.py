@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.llm.batches import slices, texts_of
+from flowloom.llm.batches import map_all, slices, texts_of
 from flowloom.llm.wordscan import rolled
 
 GRAM, WINDOW, STEP, EDITS = 8, 64, 16, 0.1
@@ -247,5 +247,5 @@ def without_leaks(
                 keep[[h[0] for h in _matches(shared.value, texts_of(batch.column(text_col)))]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_all(docs, run, docs.schema)
     return docs

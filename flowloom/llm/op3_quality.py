@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowloom.llm.bloom import fresh_names
 from flowloom.sources.staging import stage
 
 RISK, LEVEL = 0.02, 0.05
@@ -205,9 +206,7 @@ def judged(
     nothing; a text with several labels counts as bad if one says so, and so do all texts under a repeated id. The measured rows
     are staged once; nothing is shuffled but labels and measures.
     """
-    name = "_quality"
-    while name in docs.columns:
-        name += "_"
+    name = fresh_names(docs, "_quality", "_qualitystratum", "_qualityid")[0]
     stratum = F.coalesce(F.col(f"`{stratum_col}`").cast("string"), F.lit("")) if stratum_col in docs.columns else F.lit("")
     chosen = [F.col(f"`{c}`") for c in (keep if keep is not None else docs.columns)]
     scored = stage(docs.select(*chosen, measures(F.col(f"`{text_col}`")).alias(name), stratum.alias(f"{name}stratum"), F.col(f"`{id_col}`").alias(f"{name}id")), "measures")

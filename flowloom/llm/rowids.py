@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.llm.bloom import fresh_names
 from flowloom.sources.staging import stage
 
 
 def keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
     """The rows with all columns and one more, which is never null and never repeats; and its name."""
-    name = "rid"
-    while name in docs.columns:
-        name += "_"
+    name = fresh_names(docs, "rid")[0]
     key = F.col(f"`{id_col}`").cast("long")
     odd = docs.groupBy(key.alias("key")).agg(F.count("*").alias("n")).filter("n > 1 or key is null")
     if odd.isEmpty():

@@ -23,7 +23,7 @@ def package(spark):
 
 
 def frame(spark, rows):
-    clashing = {name: F.lit(name) for name in ("rid", "key", "starts", "anchor", "block", "tree")}
+    clashing = {name: F.lit(name) for name in ("RID", "key", "starts", "anchor", "Block", "tree", "a.b")}
     return spark.createDataFrame(rows, SCHEMA).withColumns(clashing)
 
 

@@ -38,7 +38,7 @@ def package(spark):
 
 
 def frame(spark, rows, schema=SCHEMA):
-    clashing = {name: F.lit(name) for name in ("ids", "key", "n_tokens", "fit", "hit", "item_id", "_quality")}
+    clashing = {name: F.lit(name) for name in ("ids", "key", "n_tokens", "fit", "Hit", "item_id", "_quality", "a.b")}
     return spark.createDataFrame(rows, schema).withColumns(clashing)
 
 
