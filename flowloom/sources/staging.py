@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +67,15 @@ class staged_scope:
             _delete(self.spark, path)
 
 
+def staged_result(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Stage what `build` returns and delete what it staged on the way."""
+    path = fresh_path(spark, name)
+    with staged_scope(spark):
+        df = build()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # Scopes that are open; steps of one job may run in several threads.
 _scopes: list[staged_scope] = []
 

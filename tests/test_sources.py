@@ -128,6 +128,14 @@ def test_a_scope_drops_what_it_staged(spark, tmp_path, monkeypatch):
     assert not os.path.exists(scope.paths[0]) and before.count() == 3
 
 
+def test_a_staged_result_outlives_its_steps(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path / "shared"))
+    with staging.staged_scope(spark) as outer:
+        result = staging.staged_result(spark, lambda: staging.stage(spark.range(4), "step").filter("id > 0"), "result")
+        assert result.count() == 3 and len(os.listdir(tmp_path / "shared" / spark.sparkContext.applicationId)) == 1
+    assert not any(os.path.exists(path) for path in outer.paths)
+
+
 def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path / "shared"))
     staged = staging.stage(spark.range(5), "numbers")
