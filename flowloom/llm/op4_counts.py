@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.llm.batches import slices, texts_of
+from flowloom.llm.encoded import library_ids
 from flowloom.llm.vocab import library, specials
 from flowloom.sources.staging import stage
 
@@ -38,8 +39,8 @@ def _count(rows: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE):
-            encoded = library(path).encode_batch_fast(texts_of(batch.column("text")), add_special_tokens=False)
-            columns = [*(batch.column(f.name) for f in kept), pa.array([len(e) for e in encoded], pa.int64())]
+            counts = [len(library_ids(text, path, None)) // 4 for text in texts_of(batch.column("text"))]
+            columns = [*(batch.column(f.name) for f in kept), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*(f.name for f in kept), "n_tokens"])
 
     return rows.mapInArrow(run, schema)
