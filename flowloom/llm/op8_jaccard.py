@@ -23,18 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.llm.batches import bytes_of, slices
-from flowloom.llm.bloom import among, without
+from flowloom.llm.bloom import among, left_joined, without
 from flowloom.llm.components import components
 from flowloom.llm.rowids import keyed, with_rid
 from flowloom.llm.wordscan import doc_of, mixed, rolled, word_hashes
-from flowloom.sources.staging import stage
+from flowloom.sources.staging import stage, staged_result
 
 NGRAM, SIMILARITY = 3, (90, 100)
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 _FAN = 16
 # Points and queries that one task compares at once; larger trees are cut into a grid of such blocks.
 _BLOCK = 4096
@@ -64,14 +64,28 @@ def _sets(batch: pa.RecordBatch, ngram: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _groups(size: int) -> int:
-    """Dimensions of a point: a power of two, about a quarter of the set's size."""
-    return 1 << min(12, max(4, int(size // 4).bit_length()))
+    """Dimensions of a point: a power of two, one to two times the set's size."""
+    return 1 << min(13, max(4, int(size).bit_length()))
 
 
 def _point(own: np.ndarray) -> bytes:
+    """Counts by group, in four bits each, or in a byte or four where one is larger."""
     dimensions = _groups(len(own))
     counts = np.bincount((own & np.uint64(dimensions - 1)).astype(np.int64), minlength=dimensions)
-    return counts.astype("<u4" if counts.max() > 65535 else "<u2").tobytes()
+    if counts.max() > 255:
+        return counts.astype("<u4").tobytes()
+    counts = counts.astype(np.uint8)
+    return (counts if counts.max() > 15 else counts[::2] | counts[1::2] << 4).tobytes()
+
+
+def _counts(point: bytes, size: int) -> np.ndarray:
+    dimensions = _groups(size)
+    if len(point) > dimensions:
+        return np.frombuffer(point, "<u4").astype(np.int32)
+    packed = np.frombuffer(point, np.uint8)
+    if len(point) == dimensions:
+        return packed.astype(np.int32)
+    return np.stack([packed & 15, packed >> 4], axis=1).ravel().astype(np.int32)
 
 
 def _profiles(docs: DataFrame, ngram: int) -> DataFrame:
@@ -183,12 +197,12 @@ def _folded(points: list[bytes], sizes: np.ndarray) -> np.ndarray:
     out = []
     wanted = min(_groups(int(n)) for n in sizes)
     for point, size in zip(points, sizes, strict=True):
-        dimensions = _groups(int(size))
-        counts = np.frombuffer(point, "<u2" if len(point) == 2 * dimensions else "<u4").astype(np.int32)
+        counts = _counts(point, int(size))
         while len(counts) > wanted:
             counts = counts[: len(counts) // 2] + counts[len(counts) // 2 :]
         out.append(counts)
-    return np.stack(out)
+    stacked = np.stack(out)
+    return stacked.astype(np.uint8) if stacked.max() < 256 else stacked
 
 
 class RTree:
@@ -196,7 +210,7 @@ class RTree:
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, similarity: tuple[int, int]):
         # Neighbours in the packing have one label, then like sizes, then like counts.
-        weights = np.arange(1, points.shape[1] + 1)
+        weights = np.arange(1, points.shape[1] + 1, dtype=np.float32)
         self.order = np.lexsort((points @ weights, sizes, labels))
         self.part, self.total = similarity[0], sum(similarity)
         #: From the leaves up: largest counts, smallest size, smallest and largest label.
@@ -213,7 +227,7 @@ class RTree:
         for depth in range(len(self.layers) - 1, -1, -1):
             high, low, least, most = self.layers[depth]
             nodes = nodes[(least[nodes] != label) | (most[nodes] != label)]
-            shared = np.minimum(high[nodes], point).sum(axis=1)
+            shared = np.minimum(high[nodes], point).sum(axis=1, dtype=np.int64)
             fits = shared * self.total >= self.part * (size + low[nodes])
             nodes, shared = nodes[fits], shared[fits]
             if depth:
@@ -224,29 +238,30 @@ class RTree:
 
 
 def _search(block: pa.Table, similarity: tuple[int, int], most: int) -> pa.Table:
-    """(a, b, more): candidate pairs of one block of a tree; `more` says that a query has candidates left."""
+    """(tree, a, b, more): candidate pairs of one block of a tree; `more` says that a query has candidates left."""
     rows = block.to_pydict()
-    asks = np.array(rows["asks"], bool)
+    own = rows["tree"][0]
+    asks, holds = np.array(rows["asks"], bool), np.array(rows["held"], bool)
     sizes, labels = np.array(rows["n"], np.int64), np.array(rows["label"], np.int64)
     points, rids = _folded(rows["point"], sizes), np.array(rows["rid"], np.int64)
-    held, queries = np.flatnonzero(~asks), np.flatnonzero(asks)
-    out: list[tuple[int, int, bool]] = []
+    held, queries = np.flatnonzero(holds), np.flatnonzero(asks)
+    out: list[tuple[int, int, int, bool]] = []
     if len(held):
         tree = RTree(points[held], sizes[held], labels[held], similarity)
         for q in queries.tolist():
             found = rids[held[tree.near(points[q], int(sizes[q]), int(labels[q]))]]
             more = len(found) > most
-            out.extend((min(int(rids[q]), int(r)), max(int(rids[q]), int(r)), more) for r in found[:most])
-    names, kinds = ("a", "b", "more"), (pa.int64(), pa.int64(), pa.bool_())
-    columns = list(zip(*out, strict=True)) or [(), (), ()]
+            out.extend((own, min(int(rids[q]), int(r)), max(int(rids[q]), int(r)), more) for r in found[:most])
+    names, kinds = ("tree", "a", "b", "more"), (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+    columns = list(zip(*out, strict=True)) or [(), (), (), ()]
     return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=list(names))
 
 
 def _candidates(members: DataFrame, profiles: DataFrame, labels: DataFrame, similarity: tuple[int, int], most: int) -> DataFrame:
     """Pairs of different labels that meet in a tree and whose bound allows a link.
 
-    The most frequent label of a tree asks nothing: its pairs with others are asked for by those. Trees are cut into
-    blocks of points and of queries.
+    The most frequent label of a tree asks nothing: its pairs with others are asked for by those. Large trees are cut into
+    blocks of points and of queries; in others a row is both.
     """
     marked = members.join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
     counts = marked.groupBy("tree", "label").agg(F.count("*").alias("k"))
@@ -258,20 +273,48 @@ def _candidates(members: DataFrame, profiles: DataFrame, labels: DataFrame, simi
     points = F.ceil(F.col("size") / _BLOCK).cast("int")
     queries = F.ceil((F.col("size") - F.col("top")) / _BLOCK).cast("int")
     spread = F.xxhash64("rid")
-    held = rows.withColumn("pb", F.pmod(spread, points).cast("int")).withColumn("asks", F.lit(False))
-    held = held.withColumn("qb", F.explode(F.sequence(F.lit(0), queries - 1)))
-    asking = rows.filter("label <> common").withColumn("qb", F.pmod(spread, queries).cast("int"))
-    asking = asking.withColumn("asks", F.lit(True)).withColumn("pb", F.explode(F.sequence(F.lit(0), points - 1)))
-    columns = ["tree", "pb", "qb", "rid", "n", "point", "label", "asks"]
-    blocks = held.select(*columns).union(asking.select(*columns)).groupBy("tree", "pb", "qb")
-    return blocks.applyInArrow(lambda block: _search(block, similarity, most), "a bigint, b bigint, more boolean")
+    asks, large = F.col("label") != F.col("common"), points > 1
+
+    def role(pb: Column, qb: Column, held: bool, asking: Column) -> Column:
+        return F.struct(pb.cast("int").alias("pb"), qb.cast("int").alias("qb"), F.lit(held).alias("held"), asking.alias("asks"))
+
+    no, yes, mine = F.lit(False), F.lit(True), F.pmod(spread, points)
+    as_point = F.transform(F.sequence(F.lit(0), queries - 1), lambda q: role(mine, q, True, no))
+    as_query = F.transform(F.sequence(F.lit(0), points - 1), lambda p: role(p, F.pmod(spread, queries), False, yes))
+    both = F.array(role(F.lit(0), F.lit(0), True, asks))
+    roles = F.when(~large, both).when(asks, F.concat(as_point, as_query)).otherwise(as_point)
+    dealt = rows.select("tree", "rid", "n", "point", "label", F.inline(roles))
+    blocks = dealt.groupBy("tree", "pb", "qb")
+    return blocks.applyInArrow(lambda block: _search(block, similarity, most), "tree bigint, a bigint, b bigint, more boolean")
+
+
+def _within_bound(pairs: DataFrame, profiles: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose points allow a link: what a tree's nodes test, for pairs that are known."""
+    left = profiles.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
+    right = profiles.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
+    part, total = similarity[0], sum(similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("na", "pa", "nb", "pb"))
+            chosen = []
+            for na, one, nb, two in zip(*columns, strict=True):
+                one, two = _folded([one, two], np.array([na, nb]))
+                chosen.append(int(np.minimum(one, two).sum(dtype=np.int64)) * total >= part * (na + nb))
+            mask = pa.array(chosen, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], ["a", "b"])
+
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "pa", "nb", "pb")
+    return joined.mapInArrow(run, "a bigint, b bigint")
 
 
 # Verification
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) whose sets link."""
+def _verified(pairs: DataFrame, docs: DataFrame, ngram: int, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b), a staged table, whose sets link. Only texts in some pair are read as sets, and shuffled."""
+    ends = stage(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), "ends")
+    sets = stage(_elements(among(docs, ends, "rid"), ngram), "sets")
     left = sets.select(F.col("rid").alias("a"), F.col("elements").alias("ea"))
     right = sets.select(F.col("rid").alias("b"), F.col("elements").alias("eb"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ea", "eb")
@@ -305,9 +348,11 @@ def _elements(docs: DataFrame, ngram: int) -> DataFrame:
 def _links(docs: DataFrame, firsts: DataFrame, equal: DataFrame, ngram: int, similarity: tuple[int, int]) -> DataFrame:
     """(rid, label): the component of each set that is linked with another."""
     alike = F.count("*").over(Window.partitionBy("tree"))
-    met = _signatures(docs, ngram, similarity).withColumn("c", alike).filter("c > 1").select("tree", "rid")
+    met = stage(_signatures(docs, ngram, similarity).withColumn("c", alike).filter("c > 1").select("tree", "rid"), "met")
     # Sets routed by several tasks become one again.
-    met = met.join(equal, "rid").select("tree", F.col("first").alias("rid")).distinct()
+    copies = stage(equal.filter("rid <> first"), "copies")
+    named = left_joined(met, copies, "rid").select("tree", F.coalesce("first", "rid").alias("rid"))
+    met = named.repartition("tree").distinct()
     tree = Window.partitionBy("tree")
     met = met.withColumns(
         {"c": F.count("*").over(tree), "least": F.min("rid").over(tree), "sum": F.sum(F.xxhash64("rid") % (1 << 40)).over(tree)}
@@ -317,10 +362,9 @@ def _links(docs: DataFrame, firsts: DataFrame, equal: DataFrame, ngram: int, sim
     same = met.groupBy("c", "least", "sum").agg(F.min("tree").alias("tree")).select("tree")
     members = stage(met.join(same, "tree", "left_semi").select("tree", "rid", "least"), "members")
     profiles = stage(firsts.join(members.select("rid").distinct(), "rid", "left_semi").select("rid", "n", "point"), "points")
-    sets = stage(_elements(among(docs, profiles, "rid"), ngram), "sets")
     pairs = members.filter("rid <> least").select(F.col("least").alias("a"), F.col("rid").alias("b")).distinct()
-    tried = stage(pairs, "tried")
-    links = stage(_verified(tried, sets, similarity), "links")
+    tried = stage(_within_bound(pairs, profiles, similarity), "tried")
+    links = stage(_verified(tried, docs, ngram, similarity), "links")
     labels = _labels(links)
     most = 8
     while True:
@@ -329,10 +373,13 @@ def _links(docs: DataFrame, firsts: DataFrame, equal: DataFrame, ngram: int, sim
             return labels
         fresh = found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
         fresh = stage(fresh, "tried")
-        links = stage(links.union(_verified(fresh, sets, similarity)), "links")
+        links = stage(links.union(_verified(fresh, docs, ngram, similarity)), "links")
         labels, tried = _labels(links), tried.union(fresh)
-        if found.filter("more").isEmpty():
+        # Trees that have shown all their candidates need no further look.
+        again = stage(found.filter("more").select("tree").distinct(), "again")
+        if again.isEmpty():
             return labels
+        members = stage(members.join(again, "tree", "left_semi"), "members")
         most *= 8
 
 
@@ -350,6 +397,11 @@ def jaccard_components(
     `similarity` (a fraction) of all elements of both. Rows that repeat are rows of their own; with null or repeated
     ids, the component of a row is named by the smallest id in it, a null one counting last. Only the two columns are read.
     """
+    spark = docs.sparkSession
+    return staged_result(spark, lambda: _components(docs, similarity, ngram, id_col, text_col), "components")
+
+
+def _components(docs: DataFrame, similarity: tuple[int, int], ngram: int, id_col: str, text_col: str) -> DataFrame:
     rows, numbered = with_rid(docs, id_col, text_col)
     texts = rows.select("rid", "text")
     profiles = stage(_profiles(texts, ngram), "profiles")

@@ -18,6 +18,8 @@ def find_package(spark: SparkSession) -> None:
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(":"):
         spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
+        # Workers give freed batches back to the system instead of keeping them.
+        spark.sparkContext.environment["ARROW_DEFAULT_MEMORY_POOL"] = "system"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 # The bytes that separate words. In UTF-8 they are never part of another character.
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BLOCK = 1 << 21
+_BLOCK = 1 << 20
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
