@@ -24,12 +24,12 @@ from flowloom.llm.batches import bytes_of, map_all, slices
 from flowloom.llm.bloom import fresh_names, inner_joined, left_joined
 from flowloom.llm.rowids import keyed, with_rid
 from flowloom.llm.wordscan import doc_of, mixed, rolled, word_hashes
-from flowloom.sources.staging import stage
+from flowloom.sources.staging import stage, staged_result
 
 WINDOW = 35
 # Perfect difference sets; every non-zero residue is the difference of exactly one pair.
 _COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 _COPY, _FIRST_COPY = -1, -2
 # A word and the white space behind it.
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
@@ -130,7 +130,11 @@ def _copies(docs: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """From (rid, text): rid and `starts`, the places of its windows that occur elsewhere; -1 or -2: all of them."""
+    """From (rid, text): rid and `starts`, the places of its windows that occur elsewhere; -1 or -2: all of them. Staged."""
+    return staged_result(docs.sparkSession, lambda: _repeated_windows(docs, window), "starts")
+
+
+def _repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     copies = stage(_copies(docs), "copies")
     runs = _shared(_anchors(docs, window), "key").union(copies)
     places = runs.groupBy("rid").agg(F.collect_list("place").alias("places"))
@@ -139,7 +143,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     places = stage(places.select("rid", F.filter("places", lambda p: p >= 0).alias("places")), "places")
     joined = inner_joined(docs.select("rid", "text"), places, "rid").select("rid", "text", "places")
     starts = _shared(_windows(joined, window), "key", "more").union(copies)
-    return stage(starts.groupBy("rid").agg(F.collect_list("place").alias("starts")), "starts")
+    return starts.groupBy("rid").agg(F.collect_list("place").alias("starts"))
 
 
 def _stay(n: int, begins: list[int] | None, window: int) -> list[bool] | None:

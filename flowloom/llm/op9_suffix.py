@@ -28,7 +28,7 @@ from flowloom.llm.bloom import inner_joined, left_joined
 from flowloom.llm.rowids import with_rid
 from flowloom.llm.suffixes import Suffixes
 from flowloom.llm.wordscan import mixed, rolled
-from flowloom.sources.staging import stage
+from flowloom.sources.staging import stage, staged_result
 
 LENGTH = 400
 _GRAM_SHARE = 6
@@ -198,7 +198,11 @@ def _merged(published: DataFrame) -> DataFrame:
 
 
 def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """From (rid, text): rid and `runs`, an array of (first, last) of starts whose `length` bytes occur elsewhere."""
+    """From (rid, text): rid and `runs`, an array of (first, last) of starts whose `length` bytes occur elsewhere. Staged."""
+    return staged_result(texts.sparkSession, lambda: _repeated_starts(texts, length), "spans")
+
+
+def _repeated_starts(texts: DataFrame, length: int) -> DataFrame:
     runs = stage(_start_runs(texts, length), "runs")
     regions = runs.groupBy("anchor", "region", "n").agg(
         F.count("*").alias("c"), F.min(F.struct("rid", "start")).alias("at")
@@ -217,7 +221,7 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     repeats = equal.union(within).union(across)
     placed = runs.join(repeats, ["anchor", "region"])
     spans = placed.select("rid", F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last")).alias("run"))
-    return stage(spans.groupBy("rid").agg(F.collect_list("run").alias("runs")), "spans")
+    return spans.groupBy("rid").agg(F.collect_list("run").alias("runs"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
