@@ -19,12 +19,11 @@ from pyspark.sql import functions as F
 
 from flowloom.llm import op1_decontaminate, op3_quality, op5_bpe, op8_jaccard, op10_substring
 from flowloom.llm.queries import table
-from flowloom.sources.staging import stage
+from flowloom.sources.staging import staged_result
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows, name = op3_quality.judged(docs, table(spark, sf_dir, "labels"))
-    return rows.filter(F.col(f"{name}.kept")).select(*docs.columns)
+    return op3_quality.passing(docs, table(spark, sf_dir, "labels"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,5 +60,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        docs = staged_result(spark, lambda docs=docs, step=step: step(spark, docs, sf_dir), name)
     return docs

@@ -19,8 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowloom.llm.bloom import fresh_names
-from flowloom.sources.staging import stage
+from flowloom.llm.bloom import fresh_names, without
+from flowloom.llm.rowids import keyed
+from flowloom.sources.staging import stage, staged_result
 
 RISK, LEVEL = 0.02, 0.05
 MIN_WORDS, MAX_REPEATED = 50, 50
@@ -199,7 +200,7 @@ def judged(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
     label_col: str = "quality", keep: tuple[str, ...] | None = None, risk: float = RISK, level: float = LEVEL,
 ) -> tuple[DataFrame, str]:
-    """The rows of `docs` (all columns, or those in `keep`) with one more column, a struct, and that column's name.
+    """The rows of `docs` (the columns in `keep`, or all) with one more column, a struct, and that column's name.
 
     The struct holds the five base counts, `base_failed`, `kept` and `broken`, the names of the rules a text breaks. A null or
     empty text has no words and fails the base. A null stratum is one of its own. Labels that are null, or name no text, say
@@ -217,11 +218,11 @@ def judged(
         F.col(f"{name}id"), F.col(f"{name}stratum").alias("stratum"), F.create_map(*entries).alias("features")
     )
     labelled = slim.join(marks, f"{name}id").withColumnRenamed(f"{name}id", "id")
-    limits = cutoffs(labelled, risk, level).groupBy("stratum").agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", "cutoff"))).alias(f"{name}limits")
-    )
+    both = F.map_from_entries(F.collect_list(F.struct("feature", "cutoff"))).alias(f"{name}limits")
     # One row for each stratum that has rules.
-    limits = stage(limits, "cutoffs").withColumnRenamed("stratum", f"{name}stratum")
+    limits = staged_result(
+        docs.sparkSession, lambda: cutoffs(labelled, risk, level).groupBy("stratum").agg(both), "cutoffs"
+    ).withColumnRenamed("stratum", f"{name}stratum")
     joined = scored.join(limits, f"{name}stratum", "left")
     limit = F.col(f"{name}limits")
     broken = F.filter(
@@ -231,3 +232,14 @@ def judged(
     verdict = [*[c.alias(n) for n, c in _fields(name).items()], failed.alias("base_failed")]
     verdict += [broken.alias("broken"), (~failed & (F.size(broken) == 0)).alias("kept")]
     return joined.select(*chosen, F.struct(*verdict).alias(name)), name
+
+
+def passing(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
+    """The rows of `docs`, all columns, that are kept; arguments as for `judged`.
+
+    Only measures are staged, and only the texts of rows that may be rejected are shuffled.
+    """
+    rows, rid = keyed(docs, id_col)
+    verdicts, name = judged(rows, labels, id_col, keep=(rid,), **settings)
+    gone = stage(verdicts.filter(f"not {name}.kept").select(rid), "rejected")
+    return without(rows, gone, rid).select(*[F.col(f"`{c}`") for c in docs.columns])
