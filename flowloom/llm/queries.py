@@ -22,8 +22,14 @@ def find_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["ARROW_DEFAULT_MEMORY_POOL"] = "system"
 
 
+# Documents that go to a Python worker at a time, unless the session says otherwise than Spark's default of 10,000.
+_BATCH_SETTING, _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     find_package(spark)
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, _BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
