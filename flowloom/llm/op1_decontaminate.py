@@ -5,10 +5,12 @@ item (64 characters, or the whole item if shorter) occurs in the text with at mo
 
 Filter. A window of m characters with at most k edits shares at least m - q + 1 - k q of its q-grams with the text, and these
 lie on at most k + 1 neighbouring diagonals (place in the text less place in the item). Diagonals are cut into bands that
-overlap by k, so one band holds them all. Hits are counted for each item and band; bands below the bound are dropped.
+overlap by k, so one band holds them all. Hits are counted for each item and band; bands below the bound are dropped, and in
+the others the windows below it, whatever place of the item they begin at.
 
-Verification. In the bands left, every window of the item is aligned with the text inside the band by dynamic programming,
-all candidates of a batch at once.
+Verification. Windows left are aligned with the text inside their band by dynamic programming, all of a batch at once. Of
+neighbouring windows the part that they share goes first: where it exceeds the edits, each of them does. Where the text that
+they cover together needs no more edits than that part, each of them needs just as many, and none is aligned by itself.
 
 The benchmark goes to the tasks in blocks of bounded size; texts are neither shuffled nor split.
 """
@@ -27,10 +29,13 @@ from pyspark.sql import functions as F
 from flowloom.llm.batches import map_all, slices, texts_of
 from flowloom.llm.wordscan import rolled
 
-GRAM, WINDOW, STEP, EDITS = 8, 64, 16, 0.1
+#: Windows begin at every place of an item (a step of 1).
+GRAM, WINDOW, STEP, EDITS = 8, 64, 1, 0.1
 #: Items with fewer letters and digits cannot be told from chance and are not searched.
 SHORTEST = 30
 _BAND = 32
+#: Neighbouring windows whose shared part is aligned first.
+_NEAR = 16
 #: Benchmark text that tasks hold at a time.
 BLOCK_BYTES = 4 << 20
 _SLICE = 2 << 20
@@ -89,8 +94,8 @@ class Index:
             np.array([t for _, t in budgets], np.int64), np.array([k for k, _ in budgets], np.int64), table,
         )
 
-    def candidates(self, points: np.ndarray) -> list[tuple[int, int, int]]:
-        """(item, start of a window of it, first diagonal of a band) with enough hits."""
+    def candidates(self, points: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(item, first and last of neighbouring starts of windows of it, first diagonal of a band) with enough hits."""
         grams = _grams(points)
         at = np.flatnonzero(self.table[(grams & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)])
         slot = np.searchsorted(self.keys, grams[at])
@@ -114,44 +119,58 @@ class Index:
         inside = bands[slot] == pairs
         longest = max(len(item) for item in self.items)
         slot, place = np.divmod(np.unique(slot[inside] * longest + place[inside]), longest)
-        sizes = np.array([len(item) for item in self.items], np.int64)[bands >> 36]
+        sizes = np.array([len(item) for item in self.items], np.int64)[bands >> 36][slot]
         lengths = np.minimum(WINDOW, sizes)
-        most = int((sizes - lengths).max()) // STEP + 2
-        counts = np.zeros(len(bands) * most, np.int64)
-        last = sizes - lengths
-        for back in range(-(-WINDOW // STEP)):
-            window = place // STEP - back
-            start = window * STEP
-            holds = (start >= 0) & (start <= last[slot]) & (place <= start + lengths[slot] - GRAM)
-            counts += np.bincount(slot[holds] * most + window[holds], minlength=len(counts))
-        # The last column is for the window at the end of the item, wherever that begins.
-        holds = (last[slot] <= place) & (place <= last[slot] + lengths[slot] - GRAM)
-        counts += np.bincount(slot[holds] * most + most - 1, minlength=len(counts))
-        slot, window = np.divmod(np.flatnonzero(counts >= np.repeat(self.needed[bands >> 36], most)), most)
-        start = np.where(window == most - 1, last[slot], window * STEP)
+        # A window has enough if it holds some place and the one that completes the count from there on.
+        end = np.arange(len(place)) + self.needed[bands >> 36][slot] - 1
+        among = end < len(place)
+        end[~among] = 0
+        low, high = np.maximum(0, place[end] - lengths + GRAM), np.minimum(place, sizes - lengths)
+        enough = among & (slot[end] == slot) & (low <= high)
+        slot, low, high = slot[enough], low[enough], high[enough]
+        if not len(slot):
+            return []
+        # Both ends grow within a band, so runs of starts that touch are one.
+        begins = np.flatnonzero(np.append(True, (slot[1:] != slot[:-1]) | (low[1:] > high[:-1] + 1)))
+        slot, low, high = slot[begins], low[begins], high[np.append(begins[1:], len(high)) - 1]
         item = bands[slot] >> 36
         first = (bands[slot] & ((1 << 36) - 1)) * _BAND - (1 << 31)
-        return sorted({*zip(item.tolist(), start.tolist(), first.tolist(), strict=True)})
+        return [*zip(item.tolist(), low.tolist(), high.tolist(), first.tolist(), strict=True)]
 
-    def verify(self, points: np.ndarray, windows: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    def verify(self, points: np.ndarray, runs: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
         """(item, place in the points, edits, window length) of the windows that occur within their budget."""
-        todo: dict[int, list[tuple[int, int, int]]] = {}
-        for window in windows:
-            todo.setdefault(min(WINDOW, len(self.items[window[0]])), []).append(window)
+        shared = []
+        for item, low, high, first in runs:
+            length = min(WINDOW, len(self.items[item]))
+            for start in range(low, high + 1, _NEAR):
+                last = min(start + _NEAR - 1, high)
+                shared.append((item, last, start + length - last, first, start))
+        near = {(item, start, last, first): edits for (item, last, _, first, start), _, edits in self._aligned(points, shared)}
+        whole = [(item, start, last - start + min(WINDOW, len(self.items[item])), first, last) for item, start, last, first in near]
         out = []
-        for length, some in todo.items():
+        for (item, start, length, first, last), place, edits in self._aligned(points, whole):
+            if near[item, start, last, first] == edits:
+                out.append((item, place, edits, length - last + start))
+                del near[item, start, last, first]
+        windows = [(i, s, min(WINDOW, len(self.items[i])), first) for i, start, last, first in near for s in range(start, last + 1)]
+        return out + [(window[0], place, edits, window[2]) for window, place, edits in self._aligned(points, windows)]
+
+    def _aligned(self, points: np.ndarray, parts: list[tuple]) -> Iterator[tuple[tuple, int, int]]:
+        """(part, place in the points, edits) of the parts (item, start, length, first diagonal, …) within the item's budget."""
+        todo: dict[tuple[int, int], list[tuple]] = {}
+        for part in parts:
+            todo.setdefault((part[2], int(self.edits[part[0]])), []).append(part)
+        for (length, edits), some in todo.items():
             for k in range(0, len(some), 512):
-                out += self._align(points, length, some[k : k + 512])
-        return out
+                yield from self._align(points, length, edits, some[k : k + 512])
 
-    def _align(self, points: np.ndarray, length: int, windows: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-        edits = int(self.edits[windows[0][0]])
+    def _align(self, points: np.ndarray, length: int, edits: int, parts: list[tuple]) -> list[tuple[tuple, int, int]]:
         # Column c stands for diagonal `low + c`; edits lead out of the band by `edits` at most.
         width = _BAND + 3 * edits + 1
-        low = np.array([d + start - edits for _, start, d in windows])
-        patterns = np.stack([self.items[i][s : s + length] for i, s, _ in windows])
+        low = np.array([part[3] + part[1] - edits for part in parts])
+        patterns = np.stack([self.items[part[0]][part[1] : part[1] + length] for part in parts])
         columns = np.arange(width)
-        cost = np.zeros((len(windows), width), np.int32)
+        cost = np.zeros((len(parts), width), np.int32)
         for row in range(length):
             at = low[:, None] + columns + row
             inside = (at >= 0) & (at < len(points))
@@ -160,9 +179,7 @@ class Index:
             step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
             cost = np.minimum.accumulate(step - columns, axis=1) + columns
         best, column = cost.min(axis=1), cost.argmin(axis=1)
-        return [
-            (windows[w][0], max(0, int(low[w] + column[w])), int(best[w]), length) for w in np.flatnonzero(best <= edits)
-        ]
+        return [(parts[w], max(0, int(low[w] + column[w])), int(best[w])) for w in np.flatnonzero(best <= edits)]
 
 
 def _matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int]]:

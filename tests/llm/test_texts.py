@@ -98,6 +98,31 @@ def test_leaks(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in op1_decontaminate.leaks(table.limit(10), benchmark).collect()} <= expected
 
 
+@pytest.mark.parametrize("swaps", [0, 3, 6])
+def test_parts_of_an_item(swaps):
+    """A part of an item leaks wherever it begins, with what the best of all windows needs."""
+    rnd = random.Random(17 + swaps)
+
+    def prose(n):
+        return " ".join("".join(rnd.choice("abdefghiklmnoprstuvw") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+
+    items, docs = [(i, prose(16)) for i in range(2)], []
+    for _ in range(20):
+        item = rnd.choice(items)[1]
+        start = rnd.randrange(len(item) - 63)
+        part = list(item[start : start + 64])
+        for at in rnd.sample(range(64), swaps):
+            part[at] = "x"
+        docs.append(op1_decontaminate.normalized(f"{prose(3)} {''.join(part)} {prose(3)}"))
+    least = {
+        (k, i): min(brute.distance_inside(item[s : s + 64], text) for s in range(len(item) - 63))
+        for k, text in enumerate(docs) for i, item in items
+    }
+    expected = {(*at, edits, 64) for at, edits in least.items() if edits <= 6}
+    assert len(expected) >= 20
+    assert {*op1_decontaminate._matches(op1_decontaminate.Index.of(items), docs)} == expected
+
+
 # 2
 
 
