@@ -192,9 +192,10 @@ def _matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int]]:
         for begin in range(0, max(1, len(text) - reach), _PIECE):
             pieces.append(text[begin : begin + _PIECE + reach])
             owners.append(k)
-    # The line feed between texts is in no item.
-    points = _points("\n".join(pieces))
-    ends = np.cumsum([len(p) + 1 for p in pieces])
+    # Line feeds are in no item. With so many between texts, a band of a window never reaches two of them, nor does a window.
+    apart = _BAND + 3 * int(index.edits.max(initial=0)) + 1
+    points = _points(("\n" * apart).join(pieces))
+    ends = np.cumsum([len(p) + apart for p in pieces])
     if not len(index.items) or len(points) < GRAM:
         return []
     for item, place, edits, length in index.verify(points, index.candidates(points)):

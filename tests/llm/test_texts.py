@@ -123,6 +123,19 @@ def test_parts_of_an_item(swaps):
     assert {*op1_decontaminate._matches(op1_decontaminate.Index.of(items), docs)} == expected
 
 
+def test_neighbouring_rows():
+    """Each of neighbouring copies of a short item leaks; an item whose halves end one row and begin the next does not."""
+    for size in range(30, 34):
+        item = "the quick brown foxes jump over it"[:size - 1] + "s"
+        for lead in range(33):
+            docs = ["q" * lead, *[item] * 9]
+            hits = op1_decontaminate._matches(op1_decontaminate.Index.of([(7, item)]), docs)
+            assert [(h[0], h[2]) for h in hits] == [(k, 0) for k in range(1, 10)]
+    item = "a long line of a benchmark that two rows of a table share by chance"
+    halves = [item[:32], item[33:]]
+    assert op1_decontaminate._matches(op1_decontaminate.Index.of([(7, item)]), halves) == []
+
+
 # 2
 
 
