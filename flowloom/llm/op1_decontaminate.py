@@ -1,12 +1,14 @@
 """Documents that hold benchmark passages, found by the q-gram lemma and verified by banded alignment.
 
 Texts are compared by their letters and digits: lower case, everything else one blank. A passage leaks if a window of an
-item (64 characters, or the whole item if shorter) occurs in the text with at most 10 % edits.
+item (64 characters, or the whole item if shorter) occurs in the text with at most 10 % edits. An item of fewer than 10
+characters, which is allowed no edit, occurs where it stands between blanks or ends of the text, not inside words.
 
 Filter. A window of m characters with at most k edits shares at least m - q + 1 - k q of its q-grams with the text, and these
 lie on at most k + 1 neighbouring diagonals (place in the text less place in the item). Diagonals are cut into bands that
 overlap by k, so one band holds them all. Hits are counted for each item and band; bands below the bound are dropped, and in
-the others the windows below it, whatever place of the item they begin at.
+the others the windows below it, whatever place of the item they begin at. Short items have a smaller q, so that windows with
+all their edits still share two q-grams.
 
 Verification. Windows left are aligned with the text inside their band by dynamic programming, all of a batch at once. Of
 neighbouring windows the part that they share goes first: where it exceeds the edits, each of them does. Where the text that
@@ -31,8 +33,8 @@ from flowloom.llm.wordscan import rolled
 
 #: Windows begin at every place of an item (a step of 1).
 GRAM, WINDOW, STEP, EDITS = 8, 64, 1, 0.1
-#: Items with fewer letters and digits cannot be told from chance and are not searched.
-SHORTEST = 30
+#: Items without a letter or digit are not searched.
+SHORTEST = 1
 _BAND = 32
 #: Neighbouring windows whose shared part is aligned first.
 _NEAR = 16
@@ -52,59 +54,103 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _grams(points: np.ndarray) -> np.ndarray:
-    return rolled(points.astype(np.uint64) + np.uint64(1), GRAM)
+def _grams(points: np.ndarray, size: int) -> np.ndarray:
+    return rolled(points.astype(np.uint64) + np.uint64(1), size)
 
 
-def _budget(length: int) -> tuple[int, int]:
-    """Edits allowed in a window, and q-grams it then shares at least, 2 or more."""
-    most = (length - GRAM + 1 - 2) // GRAM
-    edits = max(0, min(int(length * EDITS), most))
-    return edits, length - GRAM + 1 - edits * GRAM
+def _budget(length: int) -> tuple[int, int, int]:
+    """Edits allowed in a window, the q for it, and q-grams it then shares at least, 2 or more (a window of one has one)."""
+    edits = int(length * EDITS)
+    gram = max(1, min(GRAM, (length - 1) // (edits + 1)))
+    return edits, gram, length - gram + 1 - edits * gram
 
 
 @dataclass
-class Index:
-    """The q-grams of a block of items."""
+class Grams:
+    """The q-grams of some items, for one q."""
 
-    names: list
-    items: list[np.ndarray]
+    size: int
     keys: np.ndarray  # sorted distinct q-grams
     first: np.ndarray  # where the places of each begin
     owner: np.ndarray  # item of each place
     place: np.ndarray
+    table: np.ndarray  # whether some q-gram ends in these bits
+
+    @classmethod
+    def of(cls, size: int, items: dict[int, np.ndarray]) -> Grams:
+        grams = [_grams(points, size) for points in items.values()]
+        every = np.concatenate(grams)
+        owner = np.repeat(np.array([*items], np.int64), [len(g) for g in grams])
+        place = np.concatenate([np.arange(len(g)) for g in grams])
+        order = np.argsort(every, kind="stable")
+        keys, first = np.unique(every[order], return_index=True)
+        table = np.zeros(1 << min(_TABLE_BITS, len(keys).bit_length() + 7), bool)
+        table[(keys & np.uint64(len(table) - 1)).astype(np.int64)] = True
+        return cls(size, keys, np.append(first, len(every)), owner[order], place[order], table)
+
+    def found(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the points where a q-gram of the items begins, and which of the keys it is."""
+        grams = _grams(points, self.size)
+        at = np.flatnonzero(self.table[(grams & np.uint64(len(self.table) - 1)).astype(np.int64)])
+        slot = np.searchsorted(self.keys, grams[at])
+        slot[slot == len(self.keys)] = 0
+        found = self.keys[slot] == grams[at]
+        return at[found], slot[found]
+
+    def entries(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many places each of the keys has in the items, and all of them."""
+        many = self.first[slot + 1] - self.first[slot]
+        return many, np.repeat(self.first[slot] - np.cumsum(many) + many, many) + np.arange(many.sum())
+
+
+@dataclass
+class Index:
+    """The q-grams of a block of items."""
+
+    names: list
+    items: list[np.ndarray]
+    grams: list[Grams]
+    words: list[Grams]  # whole items that are allowed no edit, between blanks
     needed: np.ndarray  # by item
     edits: np.ndarray
-    table: np.ndarray  # whether some q-gram ends in these bits
 
     @classmethod
     def of(cls, rows: list[tuple]) -> Index:
         texts = [(name, _points(text)) for name, text in ((n, normalized(t)) for n, t in rows) if len(text) >= SHORTEST]
-        grams = [_grams(points) for _, points in texts]
-        every = np.concatenate([*grams, np.zeros(0, np.uint64)])
-        owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        place = np.concatenate([*(np.arange(len(g)) for g in grams), np.zeros(0, np.int64)])
-        order = np.argsort(every, kind="stable")
-        keys, first = np.unique(every[order], return_index=True)
         budgets = [_budget(min(WINDOW, len(points))) for _, points in texts]
-        table = np.zeros(1 << _TABLE_BITS, bool)
-        table[(keys & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)] = True
+        grams: dict[int, dict[int, np.ndarray]] = {}
+        words: dict[int, dict[int, np.ndarray]] = {}
+        for k, ((_, points), (edits, gram, _)) in enumerate(zip(texts, budgets, strict=True)):
+            if edits:
+                grams.setdefault(gram, {})[k] = points
+            else:
+                words.setdefault(len(points) + 2, {})[k] = np.pad(points, 1, constant_values=ord(" "))
         return cls(
-            [n for n, _ in texts], [p for _, p in texts], keys, np.append(first, len(every)), owner[order], place[order],
-            np.array([t for _, t in budgets], np.int64), np.array([k for k, _ in budgets], np.int64), table,
+            [n for n, _ in texts], [p for _, p in texts], [Grams.of(*some) for some in sorted(grams.items())],
+            [Grams.of(*some) for some in sorted(words.items())], np.array([t for _, _, t in budgets], np.int64),
+            np.array([k for k, _, _ in budgets], np.int64),
         )
 
+    def exact(self, points: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(item, place in the points, 0, length) of the items that are allowed no edit."""
+        points = np.pad(np.where(points == ord("\n"), ord(" "), points), 1, constant_values=ord(" "))
+        for some in self.words if len(points) else []:
+            at, slot = some.found(points)
+            many, entry = some.entries(slot)
+            at, item = np.repeat(at, many), some.owner[entry]
+            for column in range(some.size - 2):
+                same = points[at + 1 + column] == np.array([i[min(column, len(i) - 1)] for i in self.items], np.uint32)[item]
+                at, item = at[same], item[same]
+            yield from ((i, place, 0, some.size - 2) for place, i in zip(at.tolist(), item.tolist(), strict=True))
+
     def candidates(self, points: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(item, first and last of neighbouring starts of windows of it, first diagonal of a band) with enough hits."""
-        grams = _grams(points)
-        at = np.flatnonzero(self.table[(grams & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)])
-        slot = np.searchsorted(self.keys, grams[at])
-        slot[slot == len(self.keys)] = 0
-        found = self.keys[slot] == grams[at]
-        at, slot = at[found], slot[found]
-        many = self.first[slot + 1] - self.first[slot]
-        entry = np.repeat(self.first[slot] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        owner, place = self.owner[entry], self.place[entry]
+        return [run for some in self.grams for run in self._runs(points, some)]
+
+    def _runs(self, points: np.ndarray, some: Grams) -> list[tuple[int, int, int, int]]:
+        at, slot = some.found(points)
+        many, entry = some.entries(slot)
+        owner, place = some.owner[entry], some.place[entry]
         # Diagonals from 0 on: an item may begin before the text does.
         diagonal = np.repeat(at, many) - place + (1 << 31)
         again = diagonal % _BAND < self.edits[owner]
@@ -125,7 +171,7 @@ class Index:
         end = np.arange(len(place)) + self.needed[bands >> 36][slot] - 1
         among = end < len(place)
         end[~among] = 0
-        low, high = np.maximum(0, place[end] - lengths + GRAM), np.minimum(place, sizes - lengths)
+        low, high = np.maximum(0, place[end] - lengths + some.size), np.minimum(place, sizes - lengths)
         enough = among & (slot[end] == slot) & (low <= high)
         slot, low, high = slot[enough], low[enough], high[enough]
         if not len(slot):
@@ -188,17 +234,16 @@ def _matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int]]:
     reach = max((len(item) for item in index.items), default=0) + 4 * _BAND
     pieces, owners = [], []
     for k, text in enumerate(normalized(t) for t in texts):
-        # A long text is taken in pieces that overlap by more than an item.
+        # A long text is taken in pieces that overlap by more than an item; where it is cut, no word ends.
         for begin in range(0, max(1, len(text) - reach), _PIECE):
-            pieces.append(text[begin : begin + _PIECE + reach])
+            end = begin + _PIECE + reach
+            pieces.append("\r" * (begin > 0) + text[begin:end] + "\r" * (end < len(text)))
             owners.append(k)
     # Line feeds are in no item. With so many between texts, a band of a window never reaches two of them, nor does a window.
     apart = _BAND + 3 * int(index.edits.max(initial=0)) + 1
     points = _points(("\n" * apart).join(pieces))
     ends = np.cumsum([len(p) + apart for p in pieces])
-    if not len(index.items) or len(points) < GRAM:
-        return []
-    for item, place, edits, length in index.verify(points, index.candidates(points)):
+    for item, place, edits, length in [*index.exact(points), *index.verify(points, index.candidates(points))]:
         owner = owners[min(int(np.searchsorted(ends, place + length // 2, side="right")), len(owners) - 1)]
         now = best.get((owner, item))
         if now is None or edits * now[1] < now[0] * length:
@@ -223,8 +268,8 @@ def leaks(
 ) -> DataFrame:
     """Per document and item found in it: doc_id, item_id, `edits` and `n_chars` of the window that fits best.
 
-    Documents without a leak give no row. A null or empty text holds nothing; a null item or one with fewer than 30 letters,
-    digits and blanks is not searched. Rows that repeat are judged each; null ids stay null. Only the named columns are read.
+    Documents without a leak give no row. A null or empty text holds nothing; a null item or one without letters and digits is
+    not searched. Rows that repeat are judged each; null ids stay null. Only the named columns are read.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     ids = rows.schema["doc_id"].dataType.simpleString()

@@ -136,6 +136,31 @@ def test_neighbouring_rows():
     assert op1_decontaminate._matches(op1_decontaminate.Index.of([(7, item)]), halves) == []
 
 
+def test_short_items(monkeypatch):
+    """Items of any length are searched with all edits that 10 % of their length allow, the shortest as whole words."""
+    rnd = random.Random(5)
+    items = [(n, "".join(rnd.choice("abdefghiklmnoprstuvw") for _ in range(n))) for n in range(10, 65)]
+    docs, expected = [], set()
+    for k, (n, item) in enumerate(items):
+        for edits in (n // 10, n // 10 + 1):
+            part = list(item)
+            for j in range(edits):
+                part[(2 * j + 1) * n // (2 * edits)] = "x"
+            docs.append(f"foreign words and {''.join(part)} and more of them")
+            if brute.distance_inside(item, docs[-1]) <= n // 10:
+                expected.add((len(docs) - 1, k, edits, n))
+    assert len(expected) == len(items)
+    assert {*op1_decontaminate._matches(op1_decontaminate.Index.of(items), docs)} == expected
+    for piece in (1 << 21, 40):
+        monkeypatch.setattr(op1_decontaminate, "_PIECE", piece)
+        items = [(0, "What is the capital of France?"), (1, "Paris"), (2, "x"), (3, "?!")]
+        index = op1_decontaminate.Index.of(items)
+        docs = ["Q: what IS the capital of France", "a comparison, xx", "(Paris)", "so\nparis x", "", "paris"]
+        docs += ["long comparisons " * 40, "long comparisons " * 40 + "x", "comparis" * 200, "xx" * 300]
+        hits = op1_decontaminate._matches(index, docs)
+        assert [(h[0], index.names[h[1]], h[2]) for h in hits] == [(0, 0, 0), (2, 1, 0), (3, 1, 0), (3, 2, 0), (5, 1, 0), (7, 2, 0)]
+
+
 # 2
 
 
