@@ -14,7 +14,9 @@ Verification. Windows left are aligned with the text inside their band by dynami
 neighbouring windows the part that they share goes first: where it exceeds the edits, each of them does. Where the text that
 they cover together needs no more edits than that part, each of them needs just as many, and none is aligned by itself.
 
-The benchmark goes to the tasks in blocks of bounded size; texts are neither shuffled nor split.
+Distinct texts of the benchmark go to the tasks in blocks of bounded size, and ids of items with that text are joined to what was
+found; documents are neither shuffled nor split. Places of q-grams that many items share are expanded for a part of the text at
+a time.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from pyspark.sql import functions as F
 
 from flowloom.llm.batches import map_all, slices, texts_of
 from flowloom.llm.wordscan import rolled
+from flowloom.operators.sizing import lookup_side
+from flowloom.sources.staging import stage
 
 #: Windows begin at every place of an item (a step of 1).
 GRAM, WINDOW, STEP, EDITS = 8, 64, 1, 0.1
@@ -38,10 +42,12 @@ SHORTEST = 1
 _BAND = 32
 #: Neighbouring windows whose shared part is aligned first.
 _NEAR = 16
-#: Benchmark text that tasks hold at a time.
+#: Benchmark text that tasks hold at a time; a longer item is a block of its own.
 BLOCK_BYTES = 4 << 20
 _SLICE = 2 << 20
 _PIECE = 1 << 21
+#: Places of q-grams in items that are expanded at a time.
+_ENTRIES = 1 << 22
 _APART = re.compile(r"[\W_]+")
 _TABLE_BITS = 22
 
@@ -149,6 +155,11 @@ class Index:
 
     def _runs(self, points: np.ndarray, some: Grams) -> list[tuple[int, int, int, int]]:
         at, slot = some.found(points)
+        if len(points) > 8 * WINDOW and (some.first[slot + 1] - some.first[slot]).sum() > _ENTRIES:
+            # Both halves hold more than a window with its edits of what is around the cut.
+            half = len(points) // 2
+            right = self._runs(points[half:], some)
+            return self._runs(points[: half + 2 * WINDOW], some) + [(*run, first + half) for *run, first in right]
         many, entry = some.entries(slot)
         owner, place = some.owner[entry], some.place[entry]
         # Diagonals from 0 on: an item may begin before the text does.
@@ -251,15 +262,38 @@ def _matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int]]:
     return [(owner, item, edits, length) for (owner, item), (edits, length) in sorted(best.items())]
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]:
-    """The benchmark in parts of some `BLOCK_BYTES`, one at a time on the driver."""
+def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """item_id, text, key: the normalised text of each item that is searched, and a digest of it."""
     rows = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = rows.filter("text is not null")
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array([normalized(text) for text in batch.column(1).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["item_id", "text"])
+
+    rows = rows.filter("text is not null").mapInArrow(run, rows.schema)
+    return rows.filter(F.char_length("text") >= SHORTEST).withColumn("key", F.sha2("text", 256))
+
+
+def _blocks(items: DataFrame) -> Iterator[Index]:
+    """The distinct texts of the items, named by their keys, in parts of some `BLOCK_BYTES`, one at a time on the driver."""
+    texts = items.select("key", "text").distinct()
+    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_BYTES))
+    if blocks > 1:
+        texts = stage(texts, "items")
     part = F.pmod(F.xxhash64("text"), F.lit(blocks))
     for k in range(blocks):
-        yield Index.of([tuple(row) for row in rows.filter(part == k).collect()])
+        block, held = [], 0
+        for key, text in sorted(texts.filter(part == k).collect()):
+            # Parts are even but for chance and long items.
+            if block and held + len(text.encode()) > 2 * BLOCK_BYTES:
+                yield Index.of(block)
+                block, held = [], 0
+            block.append((key, text))
+            held += len(text.encode())
+        if block or not k:
+            yield Index.of(block)
 
 
 def leaks(
@@ -273,10 +307,10 @@ def leaks(
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     ids = rows.schema["doc_id"].dataType.simpleString()
-    item_type = benchmark.schema[item_col].dataType.simpleString()
-    schema = f"doc_id {ids}, item_id {item_type}, edits int, n_chars int"
+    schema = f"doc_id {ids}, key string, edits int, n_chars int"
+    items = _items(benchmark, item_col, item_text_col)
     found = None
-    for index in _blocks(benchmark, item_col, item_text_col):
+    for index in _blocks(items):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -286,22 +320,22 @@ def leaks(
                     continue
                 columns = [
                     batch.column("doc_id").take(pa.array([h[0] for h in hits], pa.int64())),
-                    pa.array([shared.value.names[h[1]] for h in hits]),
+                    pa.array([shared.value.names[h[1]] for h in hits], pa.string()),
                     pa.array([h[2] for h in hits], pa.int32()),
                     pa.array([h[3] for h in hits], pa.int32()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "edits", "n_chars"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "edits", "n_chars"])
 
         part = rows.mapInArrow(run, schema)
         found = part if found is None else found.union(part)
-    return found
+    return found.join(lookup_side(items.select("key", "item_id")), "key").select("doc_id", "item_id", "edits", "n_chars")
 
 
 def without_leaks(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
     """The rows of `docs`, all columns, in which no item was found."""
-    for index in _blocks(benchmark, item_col, item_text_col):
+    for index in _blocks(_items(benchmark, item_col, item_text_col)):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

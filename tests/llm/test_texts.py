@@ -161,6 +161,28 @@ def test_short_items(monkeypatch):
         assert [(h[0], index.names[h[1]], h[2]) for h in hits] == [(0, 0, 0), (2, 1, 0), (3, 1, 0), (3, 2, 0), (5, 1, 0), (7, 2, 0)]
 
 
+def test_copies_of_an_item(spark, monkeypatch):
+    """Copies of an item are searched once and all reported; blocks are small however many there are."""
+    rnd = random.Random(8)
+    others = [" ".join(str(rnd.randrange(10**6)) for _ in range(12)) for _ in range(20)]
+    one = "Which of the following is the largest of the rivers that reach this sea?"
+    items = [(i, one.upper() if i % 2 else f"({one})") for i in range(60)] + [(100 + i, t) for i, t in enumerate(others)] + [(None, others[3])]
+    docs = [(1, f"so: {one}"), (2, others[3]), (3, "nothing"), (4, (one + " ") * 40)]
+    table, benchmark = frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+    expected = [(d, i, 0, 64) for d in (1, 4) for i in range(60)] + [(2, 103, 0, 64), (2, None, 0, 64)]
+    monkeypatch.setattr(op1_decontaminate, "BLOCK_BYTES", 400)
+    indexed = []
+    build = op1_decontaminate.Index.of
+    monkeypatch.setattr(op1_decontaminate.Index, "of", lambda rows: indexed.append(rows) or build(rows))
+    for entries in (1 << 22, 100):
+        monkeypatch.setattr(op1_decontaminate, "_ENTRIES", entries)
+        index = build(items)
+        assert {(docs[k][0], index.names[i], e, n) for k, i, e, n in op1_decontaminate._matches(index, [t for _, t in docs])} == {*expected}
+    assert brute.ordered(op1_decontaminate.leaks(table, benchmark).collect()) == brute.ordered(expected)
+    assert sum(map(len, indexed)) == 21 and max(sum(len(t) for _, t in rows) for rows in indexed) <= 800
+    assert [r.doc_id for r in op1_decontaminate.without_leaks(table, benchmark).collect()] == [3]
+
+
 # 2
 
 
