@@ -6,9 +6,10 @@ import functools
 import re
 import unicodedata
 
+import numpy as np
 import regex
 
-from flowloom.llm.vocab import settings
+from flowloom.llm.vocab import library, settings
 
 # The pattern byte-level vocabularies are made with, and the characters that count as white space in it.
 _BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -83,10 +84,39 @@ def normalized(text: str, path: str) -> str:
     return text
 
 
+@functools.cache
+def _unassigned_points() -> np.ndarray:
+    return np.array([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)])
+
+
+def _has_unassigned(text: str) -> bool:
+    """Whether the text has a code point that this Python does not know; the library may."""
+    return bool(_unassigned_points()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].any())
+
+
+# A text may be cut before a blank or line feed behind anything but white space: no pre-token and no normal form reaches across.
+_SECTION = regex.compile(f"(?s).{{1,{1 << 12}}}.*?(?:(?<=[^{_SPACE}])(?=[ \\n])|\\Z)")
+
+
+def _with_library(text: str, path: str):
+    """Pre-tokens of a text in which sections with unassigned code points are normalized and cut by the library."""
+    tokenizer = library(path)
+    for section in (match.group() for match in _SECTION.finditer(text)):
+        if not _has_unassigned(section):
+            yield from pretokens(section, path)
+            continue
+        if tokenizer.normalizer:
+            section = tokenizer.normalizer.normalize_str(section)
+        yield from (section[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(section))
+
+
 def pretokens(text: str, path: str):
     """Pre-tokens of a text without special strings, in order; lazily for a long text."""
+    small = _is_small(text)
+    if not small and _has_unassigned(text):
+        return _with_library(text, path)
     text = normalized(text, path)
-    matcher = pattern(path, _is_small(text))
+    matcher = pattern(path, small or _is_small(text))
     if len(text) <= _LONGEST_LIST:
         return matcher.findall(text)
     return (match.group() for match in matcher.finditer(text))

@@ -24,6 +24,7 @@ from flowloom.llm import (  # noqa: E402
     op6_chat,
     op7_urls,
 )
+from flowloom.llm.encoded import library_ids  # noqa: E402
 from flowloom.llm.queries import find_package  # noqa: E402
 from flowloom.llm.vocab import library  # noqa: E402
 
@@ -331,6 +332,23 @@ def test_decoder_in_steps():
         assert text == library(path).decode(ids, skip_special_tokens=False)
 
 
+def test_unassigned_code_points():
+    """Code points that Python's tables do not know are cut as the library cuts them."""
+    rnd = random.Random(2)
+    known = [0x558, 0x88F, 0xC5C, 0x1C89, 0xA7CE, 0xA7DA, 0x10D40, 0x10D50, 0x10D69, 0x1E5D0, 0x323B0, 0x33479, 0x2FFFF, 0xE0FFF]
+    odd = [*map(chr, known), *(chr(rnd.randrange(0x10000, 0x3FFFF)) for _ in range(200))]
+    samples = [f"word{c}word 1{c}2  {c}\n{c}! Σ{c} e\u0301{c}\u0301" for c in odd]
+    samples += ["".join(rnd.choice([*ODD, *odd]) for _ in range(200)) for _ in range(50)]
+    samples += ["".join(rnd.choice([*ODD, "plain words and more, "] * 9 + odd[:3]) for _ in range(9000)), odd[0] * 9000 + " a" * 9000]
+    samples += [f"a{odd[0]}" + "b" * 5000 + " \n", (odd[0] + " \n\n  x") * 2000]
+    for path in (BYTES, WORDS):
+        for text in samples:
+            expected = library(path).encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(library_ids(text, path, None), "<i4").tolist() == expected
+            if path == WORDS:
+                assert np.frombuffer(op5_bpe.text_ids(text, path), "<i4").tolist() == expected
+
+
 # 6
 
 
