@@ -78,3 +78,41 @@ def test_stages_keep_the_columns(spark):
         assert step(spark, docs, SMALL).columns == docs.columns
     for _, step in corpus_pipeline.STAGES:
         assert step(spark, docs.limit(0), SMALL).collect() == []
+
+
+def test_pipeline_verdicts(spark, tmp_path):
+    """A proven cutoff, the remains of a shared passage, parts of a benchmark item by brute force, and the library's ids."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(4)
+
+    def prose(n):
+        return " ".join("".join(rnd.choice("abdefghiklmnoprstuvw") for _ in range(rnd.randint(3, 8))) for _ in range(n))
+
+    texts = {i: prose(60) + (" #&|#" * 12 if i < 240 else "") for i in range(2400)}
+    labels = [(i, int(i >= 240), 0) for i in range(2400)]
+    passage, item, ends = prose(40), prose(20), {}
+    for i in (5000, 5001):
+        ends[i] = prose(60), prose(60)
+        texts[i] = f"{ends[i][0]} {passage} {ends[i][1]}"
+    for i, swaps in ((6000, 0), (6001, 3), (6002, 14)):
+        part = list(item[21:85].strip().ljust(64, "y"))
+        for at in range(0, 64, 64 // swaps) if swaps else ():
+            part[at] = "x"
+        texts[i] = f"{prose(60)} {''.join(part)} {prose(60)}"
+    schema = spark.read.parquet(f"{SMALL}/documents.parquet").schema
+    rows = [(i, t, "en", "test", len(t)) for i, t in texts.items()]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    leaking = {i for i in (6000, 6001, 6002) if min(brute.distance_inside(item[s : s + 64], texts[i]) for s in range(len(item) - 63)) <= 6}
+    assert leaking == {6000, 6001}
+    result = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert not any(i in result for i in range(240)) and sum(240 <= i < 2400 for i in result) >= 0.96 * 2160
+    assert {i for i in result if i >= 2400} == {5000, 5001, 6002}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for i, row in result.items():
+        assert row.ids == tokenizer.encode(" ".join(ends.get(i, [texts[i]])), add_special_tokens=False).ids
