@@ -57,3 +57,17 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+_KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "boolean": pa.bool_()}
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of `name type, name type, ...`, for a few simple types."""
+    return pa.schema([(name, _KINDS[kind]) for name, kind in (field.split() for field in ddl.split(", "))])
+
+
+def rows_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    """A batch of rows, possibly none."""
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
