@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowloom.llm import op1_decontaminate, op2_tokenfile, op3_quality, op4_counts, op5_bpe, op6_chat, op7_urls, op8_jaccard, op9_suffix, op10_substring, op11_prefixes, op13_repair
+from flowloom.llm import op1_decontaminate, op2_tokenfile, op3_quality, op4_counts, op5_bpe, op6_chat, op7_urls, op8_jaccard, op9_suffix, op10_substring, op11_prefixes, op12_pii, op13_repair
 from flowloom.sources.staging import fresh_path
 
 
@@ -124,6 +124,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_pii.digest(op12_pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return op13_repair.repair_digest(op13_repair.damaged(rows), rows)
@@ -147,6 +151,7 @@ def queries() -> dict:
         "op9_suffix_array": op9_suffix_array,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_personal_data": op12_personal_data,
         "op13_structure_repair": op13_structure_repair,
     }
 
