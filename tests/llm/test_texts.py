@@ -234,6 +234,32 @@ def test_token_file_reads_from_any_id(tmp_path):
         assert (reader.ids(first, last) == ids[first:last]).all()
 
 
+def test_second_write_is_refused(spark, tmp_path):
+    path = f"{tmp_path}/ids"
+    op2_tokenfile.write_ids(spark.createDataFrame([(1, "a b"), (2, None)], SCHEMA), path, BYTES)
+    before = sorted(p.name for p in (tmp_path / "ids").iterdir())
+    with pytest.raises(FileExistsError):
+        op2_tokenfile.write_ids(spark.createDataFrame([(3, "c")], SCHEMA), path, BYTES)
+    assert sorted(p.name for p in (tmp_path / "ids").iterdir()) == before
+    assert [r.doc_id for r in op2_tokenfile.read_ids(spark, f"file:{path}").collect()] == [1, 2]
+
+
+def test_order_of_files(tmp_path):
+    """Files are listed by task and place, also beyond six digits; a failed job leaves none."""
+    options = {"path": str(tmp_path)}
+    messages = []
+    for part in (1_000_000, 999_999, 2):
+        name = f"ids-{part:06d}-000000-x.pfor"
+        (tmp_path / name).write_bytes(b"")
+        messages.append(op2_tokenfile._Written([{"name": name, "docs": 0, "ids": 1, "part": part, "at": 0}]))
+    writer = op2_tokenfile._Writer(options)
+    writer.commit(messages)
+    listed = [p.name for p in op2_tokenfile._Reader(options).partitions()]
+    assert [int(n.split("-")[1]) for n in listed] == [2, 999_999, 1_000_000]
+    writer.abort(messages)
+    assert not list(tmp_path.glob("*.pfor"))
+
+
 # 3
 
 
@@ -418,3 +444,25 @@ def test_url_verdicts(spark, most):
             assert row.verdict == ("block" if key in on_list else "allow")
     none = op7_urls.judged(frame(spark, rows, "page_id long, url string"), (), listed.limit(0), most=most)
     assert {r.verdict for r in none.collect()} == {"allow"}
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+@pytest.mark.parametrize("block", [16, 40, 4096])
+def test_texts_in_blocks(path, block):
+    """Pre-tokens, merges and special strings over block borders, as the library sees the whole text."""
+    rnd = random.Random(block)
+    pieces = [*ODD, "'s", "'", "re", "<|endoftext|>", "<|end", "\u0301", "\x0b", "the", "ing"]
+    some = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 60))) for _ in range(400)]
+    some += ["a" * 300 + "b", " " * 200 + "x", "!" * 100 + "'s" + "é" * 90, "ab" * 200 + "<|endoftext|>" + "'" * 50 + "re", "1" * 100, "\t" * 99 + "a"]
+    for text, ids in zip(some, op5_bpe.slice_ids(some, path, block), strict=True):
+        assert np.frombuffer(ids, "<i4").tolist() == library(path).encode(text, add_special_tokens=False).ids, text
+
+
+def test_state_is_bounded():
+    """A long text without white space: what waits between blocks does not grow."""
+    encoder = op5_bpe.TextEncoder(WORDS, 1 << 12)
+    most = 0
+    for _ in range(120):
+        encoder.feed("abcdefghij" * 410)
+        most = max(most, len(encoder.raw) + len(encoder.carry) + (len(encoder.long.buffer) if encoder.long else 0))
+    assert most < 8 * (1 << 12) and sum(len(x) for x in encoder.out) > 500_000
