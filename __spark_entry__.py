@@ -10,13 +10,26 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from flowloom.functions.clock import ntz_literal  # noqa: E402
-from flowloom.operators import assign, columns, entities, graph, lists, positions, traffic  # noqa: E402
+from flowloom.operators import (  # noqa: E402
+    assign,
+    columns,
+    entities,
+    graph,
+    heavyhitters,
+    hiding,
+    inference,
+    intervals,
+    lists,
+    neighbours,
+    positions,
+    traffic,
+)
 from flowloom.plans import flows  # noqa: E402
-from flowloom.sources import csvfiles, exports  # noqa: E402
+from flowloom.sources import csvfiles, exports, foreign  # noqa: E402
 from flowloom.sources.staging import fresh_path  # noqa: E402
 
 try:
@@ -131,6 +144,77 @@ def port_clean_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.port_clean(lines.withColumnRenamed("Port Number", "raw"))
 
 
+def csv_foreign_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as others write them, line breaks inside quotes, and read in byte ranges."""
+    docs, path = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text", "n_chars"), fresh_path(spark, "foreign")
+    docs.repartition(3).write.options(header=True, escape='"', quoteAll=True).csv(path)
+    rows = foreign.read_foreign(spark, path)
+    return columns.typed_projection(rows, "doc_id bigint, lang string, text string, n_chars bigint")
+
+
+def _event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as texts, with some columns that fit a narrow type but for a few values."""
+    events, key = _table(spark, sf_dir, "events"), F.col("event_id")
+    cents = F.col("value").cast("decimal(18,2)").cast("string")
+    texts = {
+        "event_id": key.cast("string"),
+        "long_id": (key * 1_000_000_007).cast("string"),
+        "ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        "day": F.when(key % 7 > 0, F.date_format("ts", "yyyy-MM-dd")),
+        "cents": cents,
+        "kind": F.col("event_type"),
+        "mostly_number": F.when(key % 1000 == 999, "n/a").otherwise(key.cast("string")),
+        "mostly_day": F.when(key % 500 == 499, "2024-02-30").otherwise(F.date_format("ts", "yyyy-MM-dd")),
+        "scientific": F.concat(cents, F.lit("e"), (key % 9).cast("string")),
+        "nothing": F.lit(None).cast("string"),
+    }
+    return events.select(*[c.alias(name) for name, c in texts.items()])
+
+
+def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inference.inferred_types(_event_texts(spark, sf_dir))
+
+
+def distinct_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hiding.distinct_addresses(_table(spark, sf_dir, "events"), "user_id", SECRET)
+
+
+def hidden_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses made of customer and order keys, so that many share prefixes."""
+    orders = _table(spark, sf_dir, "orders").select("o_custkey", (F.col("o_orderkey") % 4).alias("host")).distinct()
+    number = (F.col("o_custkey") * 2654435761 % (1 << 30) * 4 + F.col("host")).cast("long")
+    return hiding.hidden_prefixes(orders.select(number.alias("number")).distinct(), "number", SECRET)
+
+
+def top_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty ends of flows that most line items have, suppliers or parts."""
+    ends = _supply(spark, sf_dir).select(F.explode(F.array("supplier", "part")).alias("node"))
+    return heavyhitters.top_keys(ends, ["node"], 20)
+
+
+def events_in_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each purchase, the events and users in the minutes behind it; as many minutes as its value says."""
+    at = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
+    events = _table(spark, sf_dir, "events").withColumn("at", at)
+    points = events.select("event_id", "user_id", "at", (F.col("at") + 1).alias("behind"))
+    minutes = F.ceil("value").cast("long")
+    windows = events.filter("event_type = 'purchase'").select("event_id", "at", (F.col("at") + minutes * 60_000_000).alias("behind"))
+    pairs = intervals.overlap_join(points, ("at", "behind"), windows, ("at", "behind"))
+    found = pairs.groupBy(F.col("right.event_id").alias("window_id"))
+    return found.agg(F.count("*").alias("n_events"), F.count_distinct("left.user_id").alias("n_users"))
+
+
+def _month(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    lines = _table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_shipdate")
+    return lines, F.year("l_shipdate") * 12 + F.month("l_shipdate")
+
+
+def supplier_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct parts of each supplier in each quarter of a year that ends with a month."""
+    lines, month = _month(spark, sf_dir)
+    return neighbours.window_neighbours(lines, "l_suppkey", "l_partkey", month, 3)
+
+
 def export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exports.export_manifest(_table(spark, sf_dir, "events"))
 
@@ -358,6 +442,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "supply_flow_edges": supply_flow_edges,
         "supply_flow_nodes": supply_flow_nodes,
         "supply_flow_preview": supply_flow_preview,
+        "csv_foreign_records": csv_foreign_records,
+        "inferred_types": inferred_types,
+        "distinct_addresses": distinct_addresses,
+        "hidden_prefixes": hidden_prefixes,
+        "top_nodes": top_nodes,
+        "events_in_windows": events_in_windows,
+        "supplier_parts": supplier_parts,
         **(llm.queries() if llm else {}),
     }
 

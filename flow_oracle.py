@@ -6,6 +6,9 @@ draw is the XXH64 of its salt, so both sides agree bit by bit.
 
 from __future__ import annotations
 
+import hashlib
+import hmac
+
 import xxhash
 
 SECRET = "check"
@@ -209,6 +212,66 @@ NODES = """select node, sum(o)::bigint as out_degree, sum(i)::bigint as in_degre
   select src as node, 1 as o, 0 as i from edges union all select dst, 0, 1 from edges) group by node"""
 
 
+CENTS = "value::decimal(18,2)::varchar"
+EVENT_TEXTS = {
+    "event_id": "event_id::varchar",
+    "long_id": "(event_id * 1000000007)::varchar",
+    "ts": "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')",
+    "day": "case when event_id % 7 > 0 then strftime(ts, '%Y-%m-%d') end",
+    "cents": CENTS,
+    "kind": "event_type",
+    "mostly_number": "case when event_id % 1000 = 999 then 'n/a' else event_id::varchar end",
+    "mostly_day": "case when event_id % 500 = 499 then '2024-02-30' else strftime(ts, '%Y-%m-%d') end",
+    "scientific": f"{CENTS} || 'e' || (event_id % 9)::varchar",
+    "nothing": "null::varchar",
+}
+
+
+def inferred(texts: dict[str, str]) -> str:
+    """Types by counting the values that do not fit, column by column."""
+    fixed = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
+    parts = [rf"length(regexp_extract(v, '^[+-]?0*([0-9]*)\.?([0-9]*)$', {k}))" for k in (1, 2)]
+    fits = {
+        "int": "regexp_matches(v, '^[+-]?[0-9]+$') and try_cast(v as integer) is not null",
+        "bigint": "regexp_matches(v, '^[+-]?[0-9]+$') and try_cast(v as bigint) is not null",
+        "decimal": f"regexp_matches(v, '{fixed}') and {parts[0]} + {parts[1]} <= 38",
+        "double": f"regexp_matches(v, '{fixed[:-1]}([eE][+-]?[0-9]{{1,3}})?$')",
+        "date": "regexp_matches(v, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') and try_cast(v as date) is not null",
+        "timestamp": r"regexp_matches(v, '^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?)?$') and try_cast(v as timestamp) is not null",
+    }
+    counts = ", ".join(f"count(*) filter (v is not null and not ({fit})) as not_{kind}" for kind, fit in fits.items())
+    sizes = ", ".join(
+        f"coalesce(max({part}) filter (regexp_matches(v, '{fixed}')), 0)::bigint as {name}"
+        for part, name in zip(parts, ("whole_digits", "fraction_digits"), strict=True)
+    )
+    every = " union all ".join(f"select '{name}' as column, {text} as v from events" for name, text in texts.items())
+    # A date is also a timestamp, a whole number also a decimal; the narrowest one counts.
+    return f"""select "column", case when n_values = 0 then 'string' when not_int = 0 then 'int' when not_bigint = 0 then 'bigint'
+  when not_decimal = 0 and whole_digits + fraction_digits <= 38
+    then 'decimal(' || greatest(whole_digits + fraction_digits, 1) || ',' || fraction_digits || ')'
+  when not_double = 0 then 'double' when not_date = 0 then 'date' when not_timestamp = 0 then 'timestamp_ntz' else 'string' end as type,
+  n_values, n_nulls, not_int, not_bigint, not_decimal, not_double, not_date, not_timestamp, whole_digits, fraction_digits
+from (select "column", count(v) as n_values, count(*) - count(v) as n_nulls, {counts}, {sizes} from ({every}) group by 1)"""
+
+
+def _keys(purpose: str, count: int) -> list[str]:
+    return [hmac.new(SECRET.encode(), f"{purpose} {k}".encode(), hashlib.sha256).hexdigest() for k in range(count)]
+
+
+def permuted(rows: str, number: str, name: str) -> str:
+    """Eight balanced rounds over the halves of a number below 2**32; no number of these tables comes out as 0."""
+    out = f"select *, {number} >> 16 as l, {number} & 65535 as r from ({rows})"
+    for key in _keys("rank", 8):
+        turned = f"xor(l, ('0x' || substr(sha256('{key}:' || r::varchar), 1, 4))::bigint)"
+        out = f"select * replace (r as l, {turned} as r) from ({out})"
+    return f"select * exclude (l, r), l * 65536 + r as {name} from ({out})"
+
+
+RANKED = "select (row_number() over (order by key) - 1)::bigint as pos, key from (select distinct user_id as key from events where user_id is not null)"
+[PREFIX_KEY] = _keys("prefix", 1)
+HIDDEN_BIT = f"""(b.bits[i + 1]::bigint + ('0x' || substr(sha256('{PREFIX_KEY}:' || left(b.bits, i::integer)), 1, 1))::bigint) % 2"""
+
+
 def oracle_sql() -> dict[str, str]:
     t = traffic(WINDOW)
     start, end = "strftime(window_start, '%d%m%Y_%H%M')", "strftime(window_end, '%d%m%Y_%H%M')"
@@ -345,6 +408,25 @@ from (select middle, unnest(generate_series(0, date_diff('minute', middle, past)
         ),
         "event_order": """select event_id, user_id, ts::date as day,
   row_number() over (partition by ts::date order by ts, event_id) as nth from events""",
+        "csv_foreign_records": "select doc_id, lang, text, n_chars::bigint as n_chars from documents",
+        "inferred_types": inferred(EVENT_TEXTS),
+        "distinct_addresses": f"""select pos, key, ip_number,
+  (ip_number >> 24) || '.' || ((ip_number >> 16) & 255) || '.' || ((ip_number >> 8) & 255) || '.' || (ip_number & 255) as ip
+from ({permuted(RANKED, "(pos + 1)", "ip_number")})""",
+        "hidden_prefixes": f"""select number, sum({HIDDEN_BIT} * (1::bigint << (31 - i)::integer))::bigint as hidden
+from (select number, right(number::bit::varchar, 32) as bits from (
+  select distinct o_custkey * 2654435761 % (1 << 30) * 4 + o_orderkey % 4 as number from orders)) b, range(32) t(i)
+group by number""",
+        "top_nodes": """select row_number() over (order by n desc, node) as rank, node, n
+from (select node, count(*) as n from (
+  select 's' || l_suppkey::varchar as node from lineitem union all select 'p' || l_partkey::varchar from lineitem) group by 1)
+qualify rank <= 20""",
+        "events_in_windows": """select w.event_id as window_id, count(*) as n_events, count(distinct e.user_id) as n_users
+from events w join events e on e.ts >= w.ts and e.ts < w.ts + to_minutes(ceil(w.value)::bigint)
+where w.event_type = 'purchase' group by 1""",
+        "supplier_parts": """select l_suppkey as node, month + k as window, count(distinct l_partkey) as n
+from (select l_suppkey, l_partkey, year(l_shipdate) * 12 + month(l_shipdate) as month from lineitem), range(3) t(k)
+group by 1, 2""",
         "supply_flows": SUPPLY_FLOWS,
         "supply_flow_edges": query("select * from edges", flows=SUPPLY_FLOWS, edges=EDGES),
         "supply_flow_nodes": query(NODES, flows=SUPPLY_FLOWS, edges=EDGES),

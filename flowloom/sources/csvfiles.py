@@ -6,9 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from flowloom.operators.positions import with_position
+from flowloom.sources.foreign import read_foreign
 
 # In texts a backslash, a line feed and a carriage return are written as a backslash and a letter. So NULL is the only
 # `\N` in a file, a row is always one line, and files can be split.
@@ -27,10 +27,21 @@ _LOSSLESS = {
 }
 
 
-def _texts(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
-    """The table with its text columns changed."""
-    columns = [(F.col(f"`{f.name}`"), f) for f in df.schema]
-    return df.select(*[change(c).alias(f.name) if isinstance(f.dataType, StringType) else c for c, f in columns])
+def _changed(df: DataFrame, change: Callable[[Column], Column], binary: Callable[[Column], Column], schema: StructType) -> DataFrame:
+    """The table with its text columns and its binary columns changed."""
+
+    def one(field: StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, StringType):
+            return change(column).alias(field.name)
+        return binary(column).alias(field.name) if isinstance(field.dataType, BinaryType) else column
+
+    return df.select(*map(one, schema))
+
+
+def _stored(schema: StructType) -> StructType:
+    """The schema of the files: a binary value is written in base64."""
+    return StructType([StructField(f.name, StringType() if isinstance(f.dataType, BinaryType) else f.dataType) for f in schema])
 
 
 def _escaped(text: Column) -> Column:
@@ -50,36 +61,31 @@ def write_csv(
 ) -> None:
     """Write a table as CSV files; an existing path is an error.
 
-    Every value comes back as it was when `read_csv` reads it, line breaks and the text `\\N` included.
+    Every value comes back as it was when `read_csv` reads it, line breaks, the text `\\N` and binary values included.
 
     Without `files` every task writes its own file and nothing is shuffled. `files` costs a
     shuffle and sets the number of writing tasks, so it should grow with the table.
     """
-    escaped = _texts(df, _escaped)
+    escaped = _changed(df, _escaped, F.base64, df.schema)
     out = escaped if files is None else escaped.repartition(files)
     out.write.options(**_LOSSLESS).partitionBy(*partition_by).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Read CSV files written by `write_csv` with a declared schema; a row that does not fit is an error."""
-    return _texts(spark.read.options(**_LOSSLESS, mode="FAILFAST").schema(schema).csv(path), _unescaped)
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    rows = spark.read.options(**_LOSSLESS, mode="FAILFAST").schema(_stored(wanted)).csv(path)
+    return _changed(rows, _unescaped, F.unbase64, wanted)
 
 
 def read_text_columns(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """Named columns of foreign CSV files with a header, all as text and without a pass to infer types."""
-    return spark.read.option("header", True).csv(path).select(*[F.col(f"`{name}`") for name in columns])
+    """Named columns of foreign CSV files with a header, all as text and without a pass to infer types; see `foreign`."""
+    return read_foreign(spark, path, *columns)
 
 
 def read_text_columns_in_order(spark: SparkSession, path: str, *columns: str, name: str = "pos") -> DataFrame:
-    """As `read_text_columns`, with the position of each row in the files (by file name, then by line)."""
-    rows = read_text_columns(spark, path, *columns)
-    placed = rows.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_line"),
-    )
-    return with_position(placed, "_file", "_block", "_line", name=name).drop("_file", "_block", "_line")
+    """As `read_text_columns`, with the position of each row in the files (by file name, then by record)."""
+    return read_foreign(spark, path, *columns, order=name)
 
 
 def csv_roundtrip(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
