@@ -18,6 +18,7 @@ from flowloom.operators import (  # noqa: E402
     assign,
     columns,
     entities,
+    fidelity,
     graph,
     heavyhitters,
     hiding,
@@ -29,7 +30,7 @@ from flowloom.operators import (  # noqa: E402
     traffic,
 )
 from flowloom.plans import flows  # noqa: E402
-from flowloom.sources import csvfiles, exports, foreign  # noqa: E402
+from flowloom.sources import csvfiles, exports, foreign, keyedtable  # noqa: E402
 from flowloom.sources.staging import fresh_path  # noqa: E402
 
 try:
@@ -215,6 +216,24 @@ def supplier_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.window_neighbours(lines, "l_suppkey", "l_partkey", month, 3)
 
 
+def flow_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of even orders released in place of all: how far their distributions are from the originals."""
+    lines = _table(spark, sf_dir, "lineitem")
+    hour = (F.year("l_shipdate") * 366 + F.dayofyear("l_shipdate")).alias("day")
+    rows = lines.select("l_orderkey", "l_quantity", "l_extendedprice", "l_discount", F.col("l_partkey").alias("part"), hour)
+    released = rows.filter("l_orderkey % 2 = 0")
+    return fidelity.fidelity(rows, released, ["l_quantity", "l_extendedprice", "l_discount", "part", "day"])
+
+
+def keyed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts with their first page and last URL, from three batches of pages, the last ones first."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", lists.url_host("url").alias("host"))
+    table = keyedtable.KeyedTable(spark, fresh_path(spark, "hosts"), "host", "url", "page_id", ranges=8)
+    for k in (2, 0, 1):
+        table.merge(pages.filter(F.col("page_id") % 3 == k), f"batch {k}")
+    return table.rows().withColumnRenamed("page_id", "pos")
+
+
 def export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exports.export_manifest(_table(spark, sf_dir, "events"))
 
@@ -368,20 +387,24 @@ def flow_nodes_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.flow_nodes(_supply(spark, sf_dir), "supplier", "part")
 
 
-def supply_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A flow for each line item, from its supplier to its part, with keyed addresses in place of both."""
+def _keyed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column, Column]:
+    """Line items with the keys of their supplier and part."""
     lines = _table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_extendedprice", "l_shipdate")
     supplier = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
-    part = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
-    return flows.keyed_flows(lines, supplier, part, "l_extendedprice", "l_shipdate", SECRET)
+    return lines, supplier, F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
+
+
+def supply_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flow for each line item, from its supplier to its part, with keyed addresses in place of both."""
+    return flows.keyed_flows(*_keyed(spark, sf_dir), "l_extendedprice", "l_shipdate", SECRET)
 
 
 def supply_flow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.flow_edges(supply_flows(spark, sf_dir))
+    return flows.keyed_edges(*_keyed(spark, sf_dir), SECRET)
 
 
 def supply_flow_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.flow_nodes(supply_flows(spark, sf_dir))
+    return flows.keyed_nodes(*_keyed(spark, sf_dir), SECRET)
 
 
 def supply_flow_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -449,6 +472,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_nodes": top_nodes,
         "events_in_windows": events_in_windows,
         "supplier_parts": supplier_parts,
+        "flow_fidelity": flow_fidelity,
+        "keyed_batches": keyed_batches,
         **(llm.queries() if llm else {}),
     }
 

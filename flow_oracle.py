@@ -272,6 +272,33 @@ RANKED = "select (row_number() over (order by key) - 1)::bigint as pos, key from
 HIDDEN_BIT = f"""(b.bits[i + 1]::bigint + ('0x' || substr(sha256('{PREFIX_KEY}:' || left(b.bits, i::integer)), 1, 1))::bigint) % 2"""
 
 
+KEYED_LAST = f"select {HOST} as host, min(page_id) as pos, max_by(url, page_id) as url from pages group by 1"
+FIDELITY_COLUMNS = {
+    "l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice", "l_discount": "l_discount", "part": "l_partkey::double",
+    "day": "(year(l_shipdate) * 366 + dayofyear(l_shipdate))::double",
+}
+LONG_LINES = " union all ".join(f"select '{name}' as column, {v} as v, l_orderkey % 2 = 0 as out from lineitem" for name, v in FIDELITY_COLUMNS.items())
+FIDELITY = f"""
+with long as ({LONG_LINES}), ends as (
+  select "column", min(v) as low, max(v) as high from long group by 1
+), bars as (
+  select "column", case when v is null then -1 when high > low then least(floor((v - low) / ((high - low) / 200.0::double)), 199) else 0 end as bin,
+    count(*)::hugeint as o, (count(*) filter (out))::hugeint as r
+  from long join ends using ("column") group by 1, 2
+), sums as (
+  select *, sum(o) over all_of as n, sum(r) over all_of as m from bars window all_of as (partition by "column")
+), gaps as (
+  select *, o * m - r * n as gap, sum(o * m - r * n) over (partition by "column" order by bin) as running from sums
+)
+select "column", any_value(n)::bigint as n_original, any_value(m)::bigint as n_released,
+  max(abs(running))::double / any_value(n * m)::double as ks,
+  sum(abs(gap))::double / any_value(n * m)::double / 2 as total_variation,
+  sum(floor(gap::double * gap::double / (n * m)::double / (o + r)::double * 1000000)::bigint)::double / 1000000 as chi_square,
+  max(greatest(o::double / n::double, r::double / m::double)) as ks_error
+from gaps group by 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     t = traffic(WINDOW)
     start, end = "strftime(window_start, '%d%m%Y_%H%M')", "strftime(window_end, '%d%m%Y_%H%M')"
@@ -300,8 +327,7 @@ on l.pos = r.pos""",
         "port_clean": query("select port, pos from clean", **PORTS),
         "preferred_first": query("select pos, port from preferred", **PORTS),
         "weight_table": query("select pos, port, w, hi from weights", **PORTS),
-        "keyed_last_wins": f"""select {HOST} as host, min(page_id) as pos, max_by(url, page_id) as url
-from pages group by 1""",
+        "keyed_last_wins": KEYED_LAST,
         "minute_profile": PROFILE,
         "profile_window": query("select * from win", **t),
         "volume_allocation": query("select * from alloc", **t),
@@ -427,6 +453,8 @@ where w.event_type = 'purchase' group by 1""",
         "supplier_parts": """select l_suppkey as node, month + k as window, count(distinct l_partkey) as n
 from (select l_suppkey, l_partkey, year(l_shipdate) * 12 + month(l_shipdate) as month from lineitem), range(3) t(k)
 group by 1, 2""",
+        "flow_fidelity": FIDELITY,
+        "keyed_batches": KEYED_LAST,
         "supply_flows": SUPPLY_FLOWS,
         "supply_flow_edges": query("select * from edges", flows=SUPPLY_FLOWS, edges=EDGES),
         "supply_flow_nodes": query(NODES, flows=SUPPLY_FLOWS, edges=EDGES),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowloom.functions.addresses import dotted_quad, keyed_address
+from flowloom.functions.addresses import dotted_quad, keyed_address, with_secret
 from flowloom.functions.draws import draw, label
 from flowloom.operators.positions import numbered, with_position
 from flowloom.operators.sizing import lookup_side
@@ -18,7 +18,7 @@ KNOWN, GENERATED, MISSING = "known", "generated", "missing"
 def entity_addresses(df: DataFrame, key: str, secret: str) -> DataFrame:
     """Every distinct key with its address number."""
     keys = df.select(F.col(key).alias("key")).filter(F.col("key").isNotNull()).distinct()
-    return keys.withColumn("ip_number", keyed_address("key", secret))
+    return with_secret(keys, secret).withColumn("ip_number", keyed_address("key", F.col("_secret"))).drop("_secret")
 
 
 def address_dim(df: DataFrame, key: str, secret: str) -> DataFrame:

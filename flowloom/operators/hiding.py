@@ -8,14 +8,14 @@ from __future__ import annotations
 import hashlib
 import hmac
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.functions.addresses import HIGHEST_ADDRESS, dotted_quad
+from flowloom.functions.addresses import HIGHEST_ADDRESS, dotted_quad, with_secret
 from flowloom.operators.positions import numbered
 
 ROUNDS = 8
-_MARK, _HALF = "_keys", 0xFFFF
+_MARK, _HALF = "_secret", 0xFFFF
 
 
 def round_keys(secret: str, purpose: str, count: int = ROUNDS) -> list[str]:
@@ -23,15 +23,6 @@ def round_keys(secret: str, purpose: str, count: int = ROUNDS) -> list[str]:
     return [hmac.new(secret.encode(), f"{purpose} {k}".encode(), hashlib.sha256).hexdigest() for k in range(count)]
 
 
-def with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Each row beside the keys, in a column of its own: a join with a broadcast table of one row on a value that all rows have."""
-    spark = SparkSession.getActiveSession() or df.sparkSession
-    table = spark.createDataFrame([(0, keys)], f"_one int, {_MARK} array<string>")
-    # Nothing that the optimizer could fold, or the join would have no key.
-    one = F.pmod(F.xxhash64(F.struct("*")), F.lit(1)).cast("int")
-    return df.withColumn("_one", one).join(F.broadcast(table), "_one").drop("_one")
-
-
 def _round(half: Column, key: Column) -> Column:
     """16 bits of a keyed digest."""
     digest = F.sha2(F.concat(key, F.lit(":"), half.cast("string")), 256)
@@ -76,13 +67,13 @@ def distinct_addresses(df: DataFrame, key: str, secret: str) -> DataFrame:
     if count > HIGHEST_ADDRESS:
         raise ValueError(f"{count} keys are more than there are addresses")
     number = hidden_number(F.col("pos") + 1, F.col(_MARK))
-    rows = with_keys(placed, round_keys(secret, "rank")).withColumn("ip_number", number)
+    rows = with_secret(placed, round_keys(secret, "rank")).withColumn("ip_number", number)
     return rows.select("pos", "key", "ip_number", dotted_quad("ip_number").alias("ip"))
 
 
 def shown_positions(addresses: DataFrame, secret: str, number: str = "ip_number") -> DataFrame:
     """The rows with `pos`, the rank that `distinct_addresses` hid in each address number."""
-    rows = with_keys(addresses, round_keys(secret, "rank"))
+    rows = with_secret(addresses, round_keys(secret, "rank"))
     return rows.withColumn("pos", shown_number(F.col(f"`{number}`"), F.col(_MARK)) - 1).drop(_MARK)
 
 
@@ -105,5 +96,5 @@ def hidden_prefixes(df: DataFrame, number: str, secret: str, into: str = "hidden
 
     Nothing is shuffled; apply it to distinct addresses, as it costs 32 digests each. `back` shows hidden numbers again.
     """
-    rows = with_keys(df, round_keys(secret, "prefix", 1))
+    rows = with_secret(df, round_keys(secret, "prefix", 1))
     return rows.withColumn(into, _bits(F.col(f"`{number}`"), F.col(_MARK), back)).drop(_MARK)

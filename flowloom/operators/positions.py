@@ -9,7 +9,9 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
+from flowloom.operators.sizing import lookup_side
 from flowloom.sources.staging import stage
 
 # monotonically_increasing_id keeps the partition above bit 33 and the row within it below.
@@ -48,19 +50,25 @@ def numbered(df: DataFrame, *order: str, name: str = "pos") -> tuple[DataFrame,
     `-name` sorts down. `row_number()` over the whole table would sort everything in one task. Here the table is
     range-partitioned by the order, sorted within partitions and staged; all that is brought
     together is one row count per written partition. A unique order also splits a value that holds a
-    large share of the rows over several partitions. A repeated order is an error; it is found by counting hashes.
+    large share of the rows over several partitions. A repeated order is an error: equal rows are in one partition and side by side, so
+    they are marked before the table is written, without another shuffle. (Spark groups floating-point numbers by another form of
+    them than it ranges them by, so with these in the order hashes are counted instead.)
     """
     names, columns = _ordering(order)
+    side_by_side = not any(isinstance(df.schema[n].dataType, (FloatType, DoubleType)) for n in names)
+    again = F.row_number().over(Window.partitionBy(*names).orderBy(names[0])) > 1 if side_by_side else F.lit(False)
     ranged = (
         df.repartitionByRange(*columns)
+        .withColumn("_again", again)
         .sortWithinPartitions(*columns)
         .withColumn("_seq", F.monotonically_increasing_id())
     )
     staged = stage(ranged, "positions")
     part = F.shiftright("_seq", _ROW_BITS).cast("int")
-    if not _is_unique(staged, names):
+    counted = staged.groupBy(part.alias("_part")).agg(F.count("*"), F.max("_again")).collect()
+    if any(repeats for _, _, repeats in counted) or not side_by_side and not _is_unique(staged, names):
         raise ValueError(f"the order {', '.join(order)} is not unique")
-    offsets, total = offset_table(df.sparkSession, dict(staged.groupBy(part.alias("_part")).agg(F.count("*")).collect()))
+    offsets, total = offset_table(df.sparkSession, {where: rows for where, rows, _ in counted})
     row = F.col("_seq").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     placed = staged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_begin") + row).alias(name)), total
@@ -86,35 +94,26 @@ def positional_zip(
     return left_rows.join(right_rows, name)
 
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """An inner join on keys that may be NULL."""
-    renamed = right.withColumnsRenamed({key: f"{key}_right" for key in keys})
-    alike = reduce(and_, [F.col(f"`{key}`").eqNullSafe(F.col(f"`{key}_right`")) for key in keys])
-    return left.join(renamed, alike).drop(*[f"{key}_right" for key in keys])
+# Positions in a block of the join between rows and the groups they are in.
+_BLOCK_BITS = 16
 
 
 def nth_in_group(df: DataFrame, group: Sequence[str], cells: Sequence[Column], tie: Sequence[str], name: str = "nth") -> DataFrame:
-    """The place of each row, from 1, among the rows of its group in the order of cells, then of `tie`.
+    """The place of each row, from 1, among the rows of its group in the order of cells, then of `tie`, which must be unique with them.
 
-    A group may hold a large share of all rows, so no task orders a whole group. `cells` are columns of whole numbers, from
-    coarse to fine, each with a bounded number of values inside the one before (minutes of a day, milliseconds of a minute). Rows
-    are counted in each cell, the counts are summed up level by level, and only rows of one finest cell are ordered by
-    themselves, after one shuffle. Nothing is staged and no join is on the group alone.
+    A group may hold a large share of all rows, or all of them, and so may one cell, so no task orders either: rows are numbered over all
+    groups by ranges of (group, cells, tie), and the position at which its group begins is taken off. Groups are listed for each
+    block of positions that they reach into, so rows find theirs by block and group, and no key of that join has more rows than a
+    block. `cells` are columns of whole numbers; rows without one come first.
     """
     names = [f"_cell{k}" for k in range(len(cells))]
-    keys = [*group, *names]
-    # Rows without a cell come first.
-    rows = df.withColumns({n: F.coalesce(c.cast("long"), F.lit(-1).cast("long")) for n, c in zip(names, cells, strict=True)})
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    before, level = None, counts
-    for depth in range(len(names), 0, -1):
-        outer = keys[: len(group) + depth - 1]
-        inside = Window.partitionBy(*outer).orderBy(names[depth - 1]).rowsBetween(Window.unboundedPreceding, -1)
-        summed = level.select(*outer, names[depth - 1], F.coalesce(F.sum("_n").over(inside), F.lit(0)).alias(f"_before{depth}"))
-        before = summed if before is None else _same(before, summed, [*outer, names[depth - 1]])
-        level = level.groupBy(*outer).agg(F.sum("_n").alias("_n")) if depth > 1 else level
-    start = sum((F.col(f"_before{k + 1}") for k in range(len(names))), F.lit(0))
-    before = before.select(*keys, start.alias("_start"))
-    within = F.row_number().over(Window.partitionBy(*keys).orderBy(*tie))
-    placed = _same(rows.withColumn("_within", within), before, keys)
-    return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + F.col("_within")).alias(name))
+    celled = df.withColumns({n: F.coalesce(c.cast("long"), F.lit(-1).cast("long")) for n, c in zip(names, cells, strict=True)})
+    rows, _ = numbered(celled, *group, *names, *tie, name="_pos")
+    block = F.shiftright("_pos", _BLOCK_BITS)
+    begins = rows.groupBy(*group).agg(F.min("_pos").alias("_first"), F.max("_pos").alias("_last"))
+    reach = F.sequence(F.shiftright("_first", _BLOCK_BITS), F.shiftright("_last", _BLOCK_BITS))
+    keys = [f"_group{k}" for k in range(len(group))]
+    listed = begins.select(*[F.col(f"`{g}`").alias(k) for g, k in zip(group, keys, strict=True)], "_first", F.explode(reach).alias("_block"))
+    alike = [F.col(f"`{g}`").eqNullSafe(F.col(k)) for g, k in zip(group, keys, strict=True)]
+    found = rows.join(lookup_side(stage(listed, "groups")), reduce(and_, [block == F.col("_block"), *alike]))
+    return found.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_pos") - F.col("_first") + 1).alias(name))

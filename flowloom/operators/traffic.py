@@ -35,12 +35,6 @@ _ORDINAL_BITS = 40
 _MINUTES_PER_TASK = 100_000
 
 
-def millisecond_of_minute(ts: Column | str) -> Column:
-    """0 to 59,999."""
-    micros = F.timestamp_diff("MICROSECOND", ntz_literal(datetime(1970, 1, 1)), ts)
-    return whole_div(F.pmod(micros, F.lit(60_000_000)), 1000)
-
-
 def minute_profile(events: DataFrame, ts: str = "ts", anchor: int = PROFILE_ANCHOR) -> DataFrame:
     """Rows per minute of day, slot 0 at the anchor; all 1,440 slots are present.
 
@@ -119,22 +113,20 @@ def jittered(minute: str = "minute_ts", key: str = "id") -> Column:
 def minute_jitter(rows: DataFrame) -> DataFrame:
     """Timestamp inside the minute, its text form and the ordinal of the row within its minute by time.
 
-    A minute may hold a large share of all rows, so no task orders a whole minute: rows are counted per
-    millisecond, and only those of one millisecond are ordered by id.
+    A minute may hold a large share of all rows; no task orders a whole minute.
     """
     timed = rows.select("id", "i", jittered().alias("ts"))
-    placed = nth_in_group(timed, ["i"], [millisecond_of_minute("ts")], ["ts", "id"])
+    placed = nth_in_group(timed, ["i"], [], ["ts", "id"])
     return placed.select("id", "i", "ts", F.col("nth").cast("long").alias("nth"), timestamp_text("ts").alias("ts_text"))
 
 
 def order_in_day(events: DataFrame, ts: str, tie: str) -> DataFrame:
     """The rows with their day and their place in it, from 1, by time and then by the tie column, which must be unique.
 
-    Rows without a time have no day and are ordered among themselves by the tie column.
+    Rows without a time have no day and are ordered among themselves by the tie column. No task holds a whole day, nor all rows of one
+    time or without one, since the tie column is part of the ranges.
     """
-    dated = events.withColumn("day", F.to_date(ts))
-    minute = F.hour(ts) * 60 + F.minute(ts)
-    return nth_in_group(dated, ["day"], [minute, millisecond_of_minute(ts)], [ts, tie], "nth")
+    return nth_in_group(events.withColumn("day", F.to_date(ts)), ["day"], [], [ts, tie], "nth")
 
 
 def minute_counts(events: DataFrame, start: str | datetime, end: str | datetime, ts: str = "ts") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.functions.addresses import dotted_quad, keyed_address
+from flowloom.functions.addresses import dotted_quad, keyed_address, with_secret
 from flowloom.functions.clock import window_minutes
 from flowloom.operators.assign import bucket_assign, size_fields, weighted_assign
 from flowloom.operators.entities import (
@@ -20,6 +20,7 @@ from flowloom.operators.entities import (
     endpoint_enrich,
     endpoint_pairs,
 )
+from flowloom.operators.graph import flow_nodes
 from flowloom.operators.lists import port_clean, preferred_list, weight_table
 from flowloom.operators.traffic import (
     jittered,
@@ -125,16 +126,30 @@ def keyed_flows(
     nothing is joined or shuffled, and no raw key is left. Keys of two kinds need prefixes, or equal numbers would get one address.
     A row without a key has no address there.
     """
-    sized = size_fields(rows, "", amount=amount)
+    sized = with_secret(size_fields(rows, "", amount=amount), secret)
     return sized.select(
         "bytes",
         "packets",
-        dotted_quad(keyed_address(source, secret)).alias("source_IP"),
-        dotted_quad(keyed_address(destination, secret)).alias("destination_IP"),
+        dotted_quad(keyed_address(source, F.col("_secret"))).alias("source_IP"),
+        dotted_quad(keyed_address(destination, F.col("_secret"))).alias("destination_IP"),
         F.col(ts).alias("timestamp"),
     )
 
 
+def keyed_edges(rows: DataFrame, source: Column, destination: Column, secret: str) -> DataFrame:
+    """The edges of `keyed_flows` with their numbers of flows, counted under the raw keys: each edge is hidden once, not each row."""
+    counted = rows.groupBy(source.alias("_from"), destination.alias("_to")).agg(F.count("*").alias("_n"))
+    number = [keyed_address(c, F.col("_secret")).alias(c) for c in ("_from", "_to")]
+    # Keys that share an address become one.
+    edges = with_secret(counted, secret).select(*number, "_n").groupBy("_from", "_to").agg(F.sum("_n").alias("n"))
+    return edges.select(dotted_quad("_from").alias("src"), dotted_quad("_to").alias("dst"), "n")
+
+
+def keyed_nodes(rows: DataFrame, source: Column, destination: Column, secret: str) -> DataFrame:
+    """The nodes of `keyed_flows`, from its edges."""
+    return flow_nodes(keyed_edges(rows, source, destination, secret), "src", "dst", distinct=True)
+
+
 def flow_preview(flows: DataFrame, n: int = 20) -> DataFrame:
     """The first n flows by time (then by id, if the flows carry it)."""
     tie = ["id"] if "id" in flows.columns else [c for c in flows.columns if c != "timestamp"]
