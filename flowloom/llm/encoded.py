@@ -9,7 +9,7 @@ from flowloom.llm.pretokens import pretokens
 from flowloom.llm.vocab import byte_letters, library, parts
 
 # Pre-tokens that a worker remembers, and the longest of them: a bound on memory, not on results.
-_REMEMBERED, _SHORT = 1 << 19, 48
+_REMEMBERED, _SHORT = 3 << 17, 48
 
 
 class _Known(dict):
@@ -17,14 +17,19 @@ class _Known(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         self.model = library(path).model
         self.letters = str.maketrans({chr(b): letter for b, letter in byte_letters().items()})
 
     def __missing__(self, word: str) -> bytes:
-        found = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        ids = struct.pack(f"<{len(found)}I", *[token.id for token in found])
+        ids = self.older.get(word)
+        if ids is None:
+            found = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+            ids = struct.pack(f"<{len(found)}I", *[token.id for token in found])
         if len(word) <= _SHORT:
             if len(self) >= _REMEMBERED:
+                # What was not asked for since the memory was last full is forgotten.
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids

@@ -160,7 +160,12 @@ class FileWriter:
         tail = _TAIL.pack(self.at, self.at + len(table), len(docs), len(self.starts), self.total, BLOCK)
         self.file.write(table + index + tail + _MAGIC)
         self.file.close()
-        return {"name": self.path.rpartition("/")[2], "docs": len(docs), "ids": self.total}
+        return {"name": self.name, "docs": len(docs), "ids": self.total}
+
+
+    @property
+    def name(self) -> str:
+        return self.path.rpartition("/")[2]
 
 
 class FileReader:
@@ -192,7 +197,18 @@ class FileReader:
 
 
 def _opened(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (fs.LocalFileSystem(), path)
+    """The file system of a qualified path, and the path in it. Hadoop's other names of object stores are known too."""
+    scheme, _, rest = path.partition(":")
+    if scheme in ("s3a", "s3n"):
+        path = f"s3:{rest}"
+    return fs.FileSystem.from_uri(path) if "/" not in scheme and rest else (fs.LocalFileSystem(), path)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark's readers and writers understand it: without one it is in the default file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    known = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return known.makeQualified(folder).toString()
 
 
 # Data source
@@ -203,6 +219,16 @@ class _Written(WriterCommitMessage):
         self.files = files
 
 
+def _listed(folder: fs.FileSystem, path: str) -> bool:
+    return folder.get_file_info(f"{path}/{_LIST}").type != fs.FileType.NotFound
+
+
+def _drop(folder: fs.FileSystem, path: str, names: list[str]) -> None:
+    for name in names:
+        if folder.get_file_info(f"{path}/{name}").type != fs.FileType.NotFound:
+            folder.delete_file(f"{path}/{name}")
+
+
 class _Writer(DataSourceArrowWriter):
     def __init__(self, options):
         self.path, self.percentile = options["path"], float(options.get("percentile", "0.98"))
@@ -215,9 +241,18 @@ class _Writer(DataSourceArrowWriter):
         folder, path = _opened(self.path)
         folder.create_dir(path, recursive=True)
         files, writer = [], None
-        for batch in iterator:
-            if not batch.num_rows:
-                continue
+        try:
+            for batch in iterator:
+                writer = self._add(batch, folder, path, part, files, writer)
+            if writer is not None:
+                files.append(writer.close() | {"part": part, "at": len(files)})
+        except BaseException:
+            _drop(folder, path, [*(f["name"] for f in files), *([writer.name] if writer else [])])
+            raise
+        return _Written(files)
+
+    def _add(self, batch: pa.RecordBatch, folder: fs.FileSystem, path: str, part: int, files: list[dict], writer):
+        if batch.num_rows:
             doc_ids, ids = batch.column(0), batch.column(1)
             counts = np.diff(ids.offsets.to_numpy()).astype(np.int64)
             values = ids.flatten().to_numpy(zero_copy_only=False).astype(np.uint32)
@@ -228,22 +263,25 @@ class _Writer(DataSourceArrowWriter):
                 writer = FileWriter(folder, name, self.percentile)
             writer.add(docs, nulls, counts, values)
             if writer.total >= self.file_ids:
-                files.append(writer.close() | {"part": part})
+                files.append(writer.close() | {"part": part, "at": len(files)})
                 writer = None
-        if writer is not None:
-            files.append(writer.close() | {"part": part})
-        return _Written(files)
+        return writer
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         # One line for each file, whatever it holds.
-        files = sorted((f for m in messages if m for f in m.files), key=lambda f: f["name"])
+        files = sorted((f for m in messages if m for f in m.files), key=lambda f: (f["part"], f["at"]))
         folder, path = _opened(self.path)
         folder.create_dir(path, recursive=True)
+        if _listed(folder, path):
+            self.abort(messages)
+            raise FileExistsError(f"{self.path} holds token files already")
         with folder.open_output_stream(f"{path}/{_LIST}") as file:
             file.write("".join(json.dumps(f) + "\n" for f in files).encode())
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        """Files without a list are not read."""
+        """Files without a list are not read; those that tasks have finished are deleted, tasks that fail delete their own."""
+        folder, path = _opened(self.path)
+        _drop(folder, path, [f["name"] for m in messages if m for f in m.files])
 
 
 class _File(InputPartition):
@@ -318,8 +356,12 @@ def write_ids(
 
     A null text counts as empty and gives only the end id. Rows with the same id stay apart, ordered by text. Only the two
     columns are read. Texts are shuffled once, by ranges of (id, text), so one id with many rows spreads over tasks as far as its texts differ.
+    A path that holds token files already is an error: starts count from the first document of all files of a path.
     """
     spark = docs.sparkSession
+    path = qualified(spark, path)
+    if _listed(*_opened(path)):
+        raise FileExistsError(f"{path} holds token files already")
     spark.dataSource.register(TokenFiles)
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
@@ -343,7 +385,7 @@ def write_ids(
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files at `path`: doc_id, `start` (ids of all documents before it), n_tokens and `ids`."""
     spark.dataSource.register(TokenFiles)
-    return spark.read.format("pforids").option("path", path).load()
+    return spark.read.format("pforids").option("path", qualified(spark, path)).load()
 
 
 def digest(ids: DataFrame) -> DataFrame:

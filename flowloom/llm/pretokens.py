@@ -13,7 +13,9 @@ from flowloom.llm.vocab import library, settings
 
 # The pattern byte-level vocabularies are made with, and the characters that count as white space in it.
 _BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The same characters, one by one.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 _LONGEST_LIST = 1 << 18
 
 
@@ -45,9 +47,11 @@ def pattern(path: str, small: bool):
     steps = settings(path)["pre_tokenizer"]
     split = next((s for s in steps.get("pretokenizers", [steps]) if s["type"] == "Split"), None)
     raw = split["pattern"]["Regex"] if split else _BYTE_LEVEL
+    # Nothing follows a repetition at the end of an alternative, so it need not remember where it could stop.
+    raw = re.sub(r"\+(?=\||$)", "++", raw)
     if small:
         return re.compile(_spelled(raw, _among("L", 255), _among("N", 255), r"\t\n\x0b\x0c\r \x85\xa0"))
-    return regex.compile(_spelled(raw, r"\p{L}", r"\p{N}", _SPACE))
+    return regex.compile(_spelled(raw, r"\p{L}", r"\p{N}", SPACE))
 
 
 def _is_small(text: str) -> bool:
@@ -66,7 +70,13 @@ def _normalizers(path: str) -> tuple[str, ...]:
     return tuple(step["type"] for step in steps["normalizers"]) if steps else ()
 
 
-_RUN = regex.compile(f"[{_SPACE}]+")
+_RUN = regex.compile(f"[{SPACE}]+")
+
+
+@functools.cache
+def _keeps_space(path: str) -> bool:
+    """Whether white space gets into pre-tokens, so that it matters of what kind it is."""
+    return any(any(c in SPACES for c in found) for found in pattern(path, False).findall("a".join(SPACES) + SPACES))
 
 
 def normalized(text: str, path: str) -> str:
@@ -76,7 +86,7 @@ def normalized(text: str, path: str) -> str:
         return text
     if "NFC" in kinds and not text.isascii():
         text = unicodedata.normalize("NFC", text)
-    if "Replace" in kinds:
+    if "Replace" in kinds and _keeps_space(path):
         text = _RUN.sub(" ", text)
     if "Lowercase" in kinds:
         # Letter by letter: a final sigma has no form of its own here.
@@ -95,7 +105,7 @@ def _has_unassigned(text: str) -> bool:
 
 
 # A text may be cut before a blank or line feed behind anything but white space: no pre-token and no normal form reaches across.
-_SECTION = regex.compile(f"(?s).{{1,{1 << 12}}}.*?(?:(?<=[^{_SPACE}])(?=[ \\n])|\\Z)")
+_SECTION = regex.compile(f"(?s).{{1,{1 << 12}}}.*?(?:(?<=[^{SPACE}])(?=[ \\n])|\\Z)")
 
 
 def _with_library(text: str, path: str):
