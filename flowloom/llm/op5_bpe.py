@@ -7,8 +7,14 @@ chain of merges of rising rank in which the left part of each is a beginning of
 merge list's sufficient lookahead: what lies further than this from the end of what was read cannot change any more.
 
 The encoder reads symbols into a buffer, merges it when it holds more than twice the lookahead, emits the tokens that
-end before the lookahead, and goes on from that token border. Its buffer is bounded whatever the length of a word. The
-decoder is a state machine too: it keeps at most the unfinished bytes of one character.
+end before the lookahead, and goes on from that token border. Its buffer is bounded whatever the length of a word.
+
+Texts are read in blocks. A text may be cut before white space that follows another character; what lies behind the last such place
+waits for the next block. Where a block has none, pre-tokens leave as soon as two more have begun, and one that fills a block goes
+through the encoder while it is read. So the state beside the result is a block, the merge buffer and two characters. The
+decoder is a state machine too: it takes ids in blocks and keeps at most the unfinished bytes of one character.
+
+Most pre-tokens are short and come again. A slice's pre-tokens that a worker does not remember are merged side by side as arrays.
 """
 
 from __future__ import annotations
@@ -16,21 +22,27 @@ from __future__ import annotations
 import codecs
 import functools
 import heapq
+import struct
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.llm.batches import lists, slices, texts_of
-from flowloom.llm.pretokens import pretokens
+from flowloom.llm.pretokens import SPACE, pretokens
+from flowloom.llm.sidemerge import PairTable
 from flowloom.llm.vocab import byte_letters, parts, settings, specials
 
 _SLICE = 2 << 20
 # Words whose ids a worker remembers; the memory is emptied when full, so its size is bounded and results don't depend on it.
 _REMEMBERED = 1 << 19
 _SHORT = 48
+#: Code points and ids that are read at a time.
+BLOCK = 1 << 12
 
 
 class Merges:
@@ -48,6 +60,8 @@ class Merges:
         self.byte_ids = [self.ids[byte_letters()[b]] for b in range(256)]
         self.last_ids = [self.ids.get(byte_letters()[b] + self.suffix, self.byte_ids[b]) for b in range(256)]
         self.lookahead = self._lookahead()
+        self.table = PairTable(self.ranks)
+        self.first_symbols, self.last_symbols = np.array(self.byte_ids, np.int64), np.array(self.last_ids, np.int64)
 
     def _lookahead(self) -> int:
         size = {i: 1 for i in (*self.byte_ids, *self.last_ids)}
@@ -68,28 +82,21 @@ class Merges:
         return most + max(size.values())
 
     def merged(self, symbols: list[int]) -> list[int]:
-        """The tokens of a short sequence: the lowest rank first, from the left."""
-        if len(symbols) > _SHORT:
-            return self._merged_long(symbols)
-        ranks = self.ranks
-        while len(symbols) > 1:
-            found = [ranks[pair] for pair in zip(symbols, symbols[1:], strict=False) if pair in ranks]
-            if not found:
-                break
-            rank, both = min(found)
-            out, i = [], 0
-            while i < len(symbols):
-                if i + 1 < len(symbols) and ranks.get((symbols[i], symbols[i + 1]), (-1,))[0] == rank:
-                    out.append(both)
-                    i += 2
-                else:
-                    out.append(symbols[i])
-                    i += 1
-            symbols = out
-        return symbols
-
-    def _merged_long(self, symbols: list[int]) -> list[int]:
-        """The same with a queue of pairs, for buffers of some hundred symbols."""
+        """The tokens of one sequence."""
+        return self._queued(symbols)
+
+    def merged_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of short pre-tokens, none empty, as bytes of 32-bit integers."""
+        data, sizes = np.frombuffer(b"".join(words), np.uint8), np.array(list(map(len, words)), np.int64)
+        symbols = self.first_symbols[data]
+        ends = np.cumsum(sizes) - 1
+        symbols[ends] = self.last_symbols[data[ends]]
+        tokens, counts = self.table.merged(symbols, sizes)
+        ids, ends = tokens.astype("<i4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def _queued(self, symbols: list[int]) -> list[int]:
+        """The lowest rank first, from the left, with a queue of pairs."""
         ranks, n = self.ranks, len(symbols)
         tokens: list[int | None] = list(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -163,14 +170,18 @@ class Decoder:
         self.begun = False
 
     def feed(self, ids: Iterable[int]) -> str:
-        known = [i for i in ids if i in self.names]
+        try:
+            known = list(map(self.names.__getitem__, ids))
+        except KeyError:
+            ids = [i for i in ids if i in self.names]
+            known = list(map(self.names.__getitem__, ids))
         if self.by_bytes:
             back = _letter_bytes()
             return "".join(
-                self.state.decode(self.names[i].encode() if i in self.special else bytes(back[c] for c in self.names[i]))
-                for i in known
+                self.state.decode(name.encode() if i in self.special else bytes(back[c] for c in name))
+                for i, name in zip(ids, known, strict=True)
             )
-        text = " ".join([self.names[i] for i in known])
+        text = " ".join(known)
         if known and self.begun:
             text = " " + text
         self.begun = self.begun or bool(known)
@@ -197,26 +208,24 @@ def merges(path: str) -> Merges:
     return Merges(path)
 
 
-def word_ids(word: str, path: str) -> list[int]:
-    """The ids of one pre-token."""
-    encoder, data = Encoder(merges(path)), word.encode()
-    return encoder.feed(data[:-1]) + encoder.finish(data[-1])
-
-
 class _Words(dict):
-    """Ids of pre-tokens as 32-bit integers; computes what is missing."""
+    """Ids of short pre-tokens that a worker remembers, as bytes of 32-bit integers."""
 
     def __init__(self, path: str):
         super().__init__()
-        self.path = path
+        self.merges, self.older = merges(path), {}
 
-    def __missing__(self, word: str) -> bytes:
-        data = np.array(word_ids(word, self.path), "<i4").tobytes()
-        if len(word) <= _SHORT:
-            if len(self) >= _REMEMBERED:
-                self.clear()
-            self[word] = data
-        return data
+    def learn(self, items: set[str | bytes]) -> None:
+        """Have the ids of all short words among these; those not asked for since the memory was last full are forgotten."""
+        fresh = {w for w in items.difference(self) if w.__class__ is str and len(w) <= _SHORT}
+        if len(self) + len(fresh) > _REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        for word in fresh.intersection(self.older):
+            self[word] = self.older[word]
+        missing = list(fresh.difference(self.older))
+        if missing:
+            self.update(zip(missing, self.merges.merged_words([word.encode() for word in missing]), strict=True))
 
 
 @functools.cache
@@ -224,21 +233,146 @@ def _words(path: str) -> _Words:
     return _Words(path)
 
 
+#: Code points that may join with the one before them: no text is cut in front of them.
+@functools.cache
+def _joining() -> frozenset[str]:
+    pairs = (unicodedata.decomposition(chr(c)).split() for c in range(0x110000))
+    seconds = {chr(int(p[1], 16)) for p in pairs if len(p) == 2 and not p[0].startswith("<")}
+    return frozenset(seconds | set(map(chr, range(0x1160, 0x1200))))
+
+
+def _may_begin(char: str) -> bool:
+    """Whether the normal form of what comes before does not depend on this character."""
+    return char.isascii() or unicodedata.combining(char) == 0 and char not in _joining()
+
+
+class TextEncoder:
+    """Blocks of a text in; into `out` go pre-tokens (str) and ids (bytes of 32-bit integers), as soon as they are sure."""
+
+    def __init__(self, path: str, block: int):
+        self.path, self.block = path, max(block, 16)
+        self.raw, self.carry = "", ""
+        self.long: Encoder | None = None
+        self.out: list[str | bytes] = []
+
+    def feed(self, text: str) -> None:
+        self.raw += text
+        if len(self.raw) < self.block:
+            return
+        cut = self._border()
+        if cut:
+            head, self.raw = self.raw[:cut], self.raw[cut:]
+            self._take(head, True)
+        elif len(self.raw) >= 2 * self.block:
+            cut = self._inner_border()
+            head, self.raw = self.raw[:cut], self.raw[cut:]
+            self._take(head, False)
+
+    def finish(self) -> None:
+        head, self.raw = self.raw, ""
+        self._take(head, True)
+
+    def _border(self) -> int:
+        """The last place before white space that follows another character, 0 if there is none."""
+        raw, at = self.raw, len(self.raw)
+        while True:
+            found = _BORDER.search(raw, 0, at) if at <= 64 else _BORDER.search(raw, at - 64, at)
+            if found:
+                last = found
+                for last in _BORDER.finditer(raw, found.start(), at):
+                    pass
+                return last.start() + 1
+            if at <= 64:
+                return 0
+            at -= 62
+
+    def _inner_border(self) -> int:
+        """A place where the normal form and the special strings do not reach over; 0 if there is none."""
+        raw, cut = self.raw, len(self.raw) - 1
+        while cut and not (_may_begin(raw[cut]) and _may_begin(raw[cut - 1])):
+            cut -= 1
+        begun = [k for s in specials(self.path) for k in range(1, len(s)) if raw.endswith(s[:k], 0, cut)]
+        return cut - max(begun, default=0)
+
+    def _take(self, head: str, whole: bool) -> None:
+        """The text up to a border; where it is no whole section, the last two pre-tokens wait."""
+        pieces = parts(head, self.path)
+        for k, (part, special) in enumerate(pieces):
+            if special is not None:
+                self._words("", True)
+                self.out.append(struct.pack("<i", special))
+            else:
+                self._words(part, whole or k + 1 < len(pieces))
+        if whole:
+            self._words("", True)
+
+    def _words(self, part: str, whole: bool) -> None:
+        text, self.carry = self.carry + part, ""
+        if not text:
+            return
+        words = list(pretokens(text, self.path))
+        sure = len(words) if whole else max(0, len(words) - 2)
+        if self.long and (sure or whole):
+            # The first one ends what the encoder has begun.
+            first = words[0].encode()
+            self.out.append(np.array(self.long.feed(first[:-1]) + self.long.finish(first[-1]), "<i4").tobytes())
+            self.long, words, sure = None, words[1:], sure - 1
+        if whole:
+            self.out += words
+            return
+        self.out += words[:sure]
+        rest = words[sure:]
+        if rest and len(rest[0]) > self.block // 2:
+            # Two characters wait, so that what comes next is cut as it would be behind the whole.
+            self.long = self.long or Encoder(merges(self.path))
+            self.out.append(np.array(self.long.feed(rest[0][:-2].encode()), "<i4").tobytes())
+            rest[0] = rest[0][-2:]
+        self.carry = "".join(rest)
+
+
+_BORDER = regex.compile(f"[^{SPACE}][{SPACE}]")
+
+
+def _items(text: str, path: str, block: int) -> list[str | bytes]:
+    encoder = TextEncoder(path, block)
+    for at in range(0, len(text), block):
+        encoder.feed(text[at : at + block])
+    encoder.finish()
+    return encoder.out
+
+
+def slice_ids(texts: list[str], path: str, block: int = BLOCK) -> list[bytes]:
+    """The ids of whole texts as little-endian 32-bit integers; their words are merged side by side."""
+    known = _words(path)
+    items = [_items(text, path, block) for text in texts]
+    found = [list(map(known.get, own)) for own in items]
+    missing: list[tuple[int, int]] = []
+    for k, ids in enumerate(found):
+        if None in ids:
+            missing += [(k, at) for at, known_ids in enumerate(ids) if known_ids is None]
+    known.learn({items[k][at] for k, at in missing})
+    for k, at in missing:
+        item = items[k][at]
+        found[k][at] = item if item.__class__ is bytes else known.get(item) or np.array(word_ids(item, path), "<i4").tobytes()
+    return list(map(b"".join, found))
+
+
+def word_ids(word: str, path: str) -> list[int]:
+    """The ids of one pre-token."""
+    encoder, data = Encoder(merges(path)), word.encode()
+    return encoder.feed(data[:-1]) + encoder.finish(data[-1])
+
+
 def text_ids(text: str, path: str) -> bytes:
     """The ids of a whole text as little-endian 32-bit integers."""
-    words, out = _words(path), []
-    for part, special in parts(text, path):
-        if special is not None:
-            out.append(np.array([special], "<i4").tobytes())
-        else:
-            out.extend(map(words.__getitem__, pretokens(part, path)))
-    return b"".join(out)
+    return slice_ids([text], path)[0]
 
 
-def decoded(ids: Iterable[int], path: str) -> str:
+def decoded(ids: list[int], path: str) -> str:
     """The text of one id sequence, as `decode(ids, skip_special_tokens=False)`."""
     decoder = Decoder(path)
-    return decoder.feed(ids) + decoder.finish()
+    pieces = [decoder.feed(ids[at : at + BLOCK]) for at in range(0, len(ids), BLOCK)]
+    return "".join(pieces) + decoder.finish()
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = True) -> DataFrame:
@@ -252,7 +386,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE):
-            encoded = [text_ids(text, path) for text in texts_of(batch.column("text"))]
+            encoded = slice_ids(texts_of(batch.column("text")), path)
             ids = np.frombuffer(b"".join(encoded), "<i4")
             counts = np.array([len(e) // 4 for e in encoded], np.int64)
             columns = [batch.column("doc_id"), lists(ids, counts, pa.int32())]
