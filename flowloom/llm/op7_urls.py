@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.llm.bloom import MAX_BLOCKS, probed
+from flowloom.sources.staging import stage
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -54,7 +55,8 @@ def judged(
     `://` has an empty host and path, fits no rule and is allowed. Rows that repeat are judged each; null ids stay null. Only the
     two columns are read. An empty list blocks nothing.
     """
-    names = listed.select("canonical").filter("canonical is not null").distinct()
+    # Read for its size, the filter and the join.
+    names = stage(listed.select("canonical").filter("canonical is not null").distinct(), "listed")
     url = F.col(f"`{url_col}`").cast("string")
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
     rows = rows.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules)).withColumn("key", canonical(F.col("host"), F.col("path")))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowloom.llm import op1_decontaminate, op2_tokenfile, op3_quality, op4_counts, op5_bpe, op6_chat, op7_urls, op8_jaccard, op9_suffix, op10_substring, op11_prefixes, op12_pii, op13_repair
+from flowloom.llm.conversation_sql import OP11_SQL, OP13_SQL
 from flowloom.sources.staging import fresh_path
 
 
@@ -22,13 +23,14 @@ def find_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["ARROW_DEFAULT_MEMORY_POOL"] = "system"
 
 
-# Documents that go to a Python worker at a time, unless the session says otherwise than Spark's default of 10,000.
+# Documents that go to a Python worker at a time, unless the user has set it.
 _BATCH_SETTING, _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     find_package(spark)
-    if spark.conf.get(_BATCH_SETTING) == "10000":
+    # SET lists what was set, not the defaults.
+    if _BATCH_SETTING not in {row["key"] for row in spark.sql("SET").collect()}:
         spark.conf.set(_BATCH_SETTING, _BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -229,6 +231,31 @@ SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(r) A
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
+OP9_SQL = """
+WITH bytes AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents
+), starts AS (
+  SELECT doc_id, i, md5(b[i : i + 399]) AS k
+  FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 398)) AS i FROM bytes WHERE octet_length(b) >= 400)
+), gone AS (
+  SELECT s.doc_id, s.i FROM starts s JOIN (SELECT k FROM starts GROUP BY k HAVING count(*) > 1) USING (k)
+), marked AS (
+  SELECT *, CASE WHEN i > lag(i, 1, -400) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 1 ELSE 0 END AS opens FROM gone
+), runs AS (
+  SELECT doc_id, min(i) AS first, max(i) + 400 AS behind
+  FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked) GROUP BY doc_id, run
+), parts AS (
+  SELECT doc_id, first, behind, lag(behind, 1, 1) OVER (PARTITION BY doc_id ORDER BY first) AS since FROM runs
+), cut AS (
+  SELECT doc_id, sum(behind - first) AS n_removed, count(*) AS n_spans, max(behind) AS last,
+    string_agg(hex(b[since : first - 1]), '' ORDER BY first) AS kept
+  FROM parts JOIN bytes USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(CASE WHEN kept IS NULL THEN b ELSE unhex(kept || hex(b[last :])) END) AS kept_sha256
+FROM bytes LEFT JOIN cut USING (doc_id)
+"""
+
 OP10_SQL = r"""
 WITH cut AS (
   SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents
@@ -254,5 +281,8 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat_format": OP6_SQL,
         "op7_url_filter": OP7_SQL,
         "op8_ngram_jaccard": OP8_SQL,
+        "op9_suffix_array": OP9_SQL,
         "op10_substring_dedup": OP10_SQL,
+        "op11_prefix_trie": OP11_SQL,
+        "op13_structure_repair": OP13_SQL,
     }
