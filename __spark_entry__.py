@@ -380,11 +380,13 @@ def flow_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flow_edges_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.flow_edges(_supply(spark, sf_dir), "supplier", "part")
+    """Counted under the raw keys; texts are made for each edge, not for each row."""
+    edges = graph.flow_edges(_table(spark, sf_dir, "lineitem"), "l_suppkey", "l_partkey")
+    return edges.select(F.concat(F.lit("s"), "src").alias("src"), F.concat(F.lit("p"), "dst").alias("dst"), "n")
 
 
 def flow_nodes_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.flow_nodes(_supply(spark, sf_dir), "supplier", "part")
+    return graph.flow_nodes(flow_edges_supply(spark, sf_dir), "src", "dst", distinct=True)
 
 
 def _keyed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column, Column]:

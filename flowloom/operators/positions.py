@@ -7,9 +7,8 @@ from functools import reduce
 from itertools import accumulate
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
 from flowloom.operators.sizing import lookup_side
 from flowloom.sources.staging import stage
@@ -50,25 +49,21 @@ def numbered(df: DataFrame, *order: str, name: str = "pos") -> tuple[DataFrame,
     `-name` sorts down. `row_number()` over the whole table would sort everything in one task. Here the table is
     range-partitioned by the order, sorted within partitions and staged; all that is brought
     together is one row count per written partition. A unique order also splits a value that holds a
-    large share of the rows over several partitions. A repeated order is an error: equal rows are in one partition and side by side, so
-    they are marked before the table is written, without another shuffle. (Spark groups floating-point numbers by another form of
-    them than it ranges them by, so with these in the order hashes are counted instead.)
+    large share of the rows over several partitions. A repeated order is an error; it is found by counting hashes. (A window over
+    the order would need no shuffle, as long as the planner sees that ranges serve it. It does not where a column of the order is constant or a
+    floating-point number, and then it would deal the rows by hash and undo the ranges.)
     """
     names, columns = _ordering(order)
-    side_by_side = not any(isinstance(df.schema[n].dataType, (FloatType, DoubleType)) for n in names)
-    again = F.row_number().over(Window.partitionBy(*names).orderBy(names[0])) > 1 if side_by_side else F.lit(False)
     ranged = (
         df.repartitionByRange(*columns)
-        .withColumn("_again", again)
         .sortWithinPartitions(*columns)
         .withColumn("_seq", F.monotonically_increasing_id())
     )
     staged = stage(ranged, "positions")
     part = F.shiftright("_seq", _ROW_BITS).cast("int")
-    counted = staged.groupBy(part.alias("_part")).agg(F.count("*"), F.max("_again")).collect()
-    if any(repeats for _, _, repeats in counted) or not side_by_side and not _is_unique(staged, names):
+    if not _is_unique(staged, names):
         raise ValueError(f"the order {', '.join(order)} is not unique")
-    offsets, total = offset_table(df.sparkSession, {where: rows for where, rows, _ in counted})
+    offsets, total = offset_table(df.sparkSession, dict(staged.groupBy(part.alias("_part")).agg(F.count("*")).collect()))
     row = F.col("_seq").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     placed = staged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_begin") + row).alias(name)), total

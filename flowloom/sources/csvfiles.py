@@ -66,7 +66,8 @@ def write_csv(
     Without `files` every task writes its own file and nothing is shuffled. `files` costs a
     shuffle and sets the number of writing tasks, so it should grow with the table.
     """
-    escaped = _changed(df, _escaped, F.base64, df.schema)
+    # Spark breaks base64 into lines.
+    escaped = _changed(df, _escaped, lambda value: F.translate(F.base64(value), "\r\n", ""), df.schema)
     out = escaped if files is None else escaped.repartition(files)
     out.write.options(**_LOSSLESS).partitionBy(*partition_by).csv(path)
 
