@@ -27,6 +27,7 @@ from flowloom.operators import (  # noqa: E402
     lists,
     neighbours,
     positions,
+    suppression,
     traffic,
 )
 from flowloom.plans import flows  # noqa: E402
@@ -225,6 +226,20 @@ def flow_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fidelity.fidelity(rows, released, ["l_quantity", "l_extendedprice", "l_discount", "part", "day"])
 
 
+def released_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items by supplier, time and amount, each as coarse as it takes for groups of ten, and the groups."""
+    lines = _table(spark, sf_dir, "lineitem")
+    year, price = F.year("l_shipdate"), F.col("l_extendedprice")
+    nothing = F.lit("*")
+    levels = {
+        "supplier": [F.concat(F.lit("s"), F.col("l_suppkey")), F.concat(F.lit("s"), F.col("l_suppkey") % 10), nothing],
+        "time": [F.date_format("l_shipdate", "yyyy-MM-dd"), F.date_format("l_shipdate", "yyyy-MM"), year.cast("string"), nothing],
+        "amount": [*[F.floor(price / step).cast("string") for step in (1000, 10_000, 100_000)], nothing],
+    }
+    rows = suppression.generalised(lines.select("l_suppkey", "l_shipdate", "l_extendedprice"), levels, 10)
+    return rows.groupBy(*levels).agg(F.count("*").alias("n"))
+
+
 def keyed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hosts with their first page and last URL, from three batches of pages, the last ones first."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", lists.url_host("url").alias("host"))
@@ -476,6 +491,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "supplier_parts": supplier_parts,
         "flow_fidelity": flow_fidelity,
         "keyed_batches": keyed_batches,
+        "released_groups": released_groups,
         **(llm.queries() if llm else {}),
     }
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+from itertools import product
 
 import xxhash
 
@@ -272,6 +273,26 @@ RANKED = "select (row_number() over (order by key) - 1)::bigint as pos, key from
 HIDDEN_BIT = f"""(b.bits[i + 1]::bigint + ('0x' || substr(sha256('{PREFIX_KEY}:' || left(b.bits, i::integer)), 1, 1))::bigint) % 2"""
 
 
+def released(levels: dict[str, list[str]], k: int) -> str:
+    """All choices of levels with their smallest groups; the groups of the one that loses least."""
+    parts = []
+    for choice in product(*[range(len(own)) for own in levels.values()]):
+        columns = ", ".join(f"{levels[n][i]} as {n}" for n, i in zip(levels, choice, strict=True))
+        loss = sum(i / (len(levels[n]) - 1) for n, i in zip(levels, choice, strict=True))
+        parts.append(f"select {loss:.9f} as loss, '{choice}' as choice, {columns}, count(*) as n from lineitem group by all")
+    return f"""with groups as ({" union all ".join(parts)}), sizes as (
+  select loss, choice from groups group by 1, 2 having min(n) >= {k} order by 1, 2 limit 1
+) select {", ".join(levels)}, n from groups semi join sizes using (choice)"""
+
+
+RELEASED = released(
+    {
+        "supplier": ["'s' || l_suppkey", "'s' || (l_suppkey % 10)", "'*'"],
+        "time": ["strftime(l_shipdate, '%Y-%m-%d')", "strftime(l_shipdate, '%Y-%m')", "year(l_shipdate)::varchar", "'*'"],
+        "amount": [*[f"floor(l_extendedprice / {step})::bigint::varchar" for step in (1000, 10_000, 100_000)], "'*'"],
+    },
+    10,
+)
 KEYED_LAST = f"select {HOST} as host, min(page_id) as pos, max_by(url, page_id) as url from pages group by 1"
 FIDELITY_COLUMNS = {
     "l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice", "l_discount": "l_discount", "part": "l_partkey::double",
@@ -455,6 +476,7 @@ from (select l_suppkey, l_partkey, year(l_shipdate) * 12 + month(l_shipdate) as
 group by 1, 2""",
         "flow_fidelity": FIDELITY,
         "keyed_batches": KEYED_LAST,
+        "released_groups": RELEASED,
         "supply_flows": SUPPLY_FLOWS,
         "supply_flow_edges": query("select * from edges", flows=SUPPLY_FLOWS, edges=EDGES),
         "supply_flow_nodes": query(NODES, flows=SUPPLY_FLOWS, edges=EDGES),
