@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.llm.heavy import heavy_joined
 from flowloom.sources.staging import stage
 
 
@@ -15,8 +16,8 @@ def _smallest(links: DataFrame) -> DataFrame:
     step = stage(step, "labels")
     for _ in range(2):
         there = step.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        step = step.join(there, "label").select("node", F.col("further").alias("label"))
-    return stage(step, "labels")
+        step = stage(heavy_joined(step, there, ["label"]).select("node", F.col("further").alias("label")), "labels")
+    return step
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -34,11 +35,12 @@ def components(links: DataFrame) -> DataFrame:
             labels = hop
         else:
             further = hop.select(F.col("node").alias("label"), F.col("label").alias("next"))
-            moved = labels.join(further, "label", "left")
+            moved = heavy_joined(labels, further, ["label"], "left")
             labels = stage(moved.select("node", F.coalesce("next", "label").alias("label")), "labels")
         one = hop.select(F.col("node").alias("a"), F.col("label").alias("la"))
         two = hop.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        between = links.join(one, "a").join(two, "b").filter("la <> lb")
+        ends = stage(heavy_joined(links, one, ["a"]), "ends")
+        between = heavy_joined(ends, two, ["b"]).filter("la <> lb")
         links = stage(between.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "links")
         if links.isEmpty():
             return labels

@@ -23,12 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.llm.batches import bytes_of, slices
 from flowloom.llm.bloom import among, left_joined, without
 from flowloom.llm.components import components
+from flowloom.llm.heavy import heavy_joined
 from flowloom.llm.rowids import keyed, with_rid
 from flowloom.llm.wordscan import doc_of, mixed, rolled, word_hashes
 from flowloom.sources.staging import stage, staged_result
@@ -37,7 +38,9 @@ NGRAM, SIMILARITY = 3, (90, 100)
 _SLICE = 1 << 20
 _FAN = 16
 # Points and queries that one task compares at once; larger trees are cut into a grid of such blocks.
-_BLOCK = 4096
+_BLOCK = 1024
+# Sets that a task remembers, so as not to route equal ones again; a set routed twice becomes one later.
+_SEEN = 1 << 18
 
 
 # Sets
@@ -135,7 +138,7 @@ class Levels:
 
 
 def _signatures(docs: DataFrame, ngram: int, similarity: tuple[int, int]) -> DataFrame:
-    """(tree, rid): the trees each set belongs to. Within a task only the first of equal sets is routed."""
+    """(tree, rid): the trees each set belongs to. Of equal sets in a task only the first is routed, as long as it is remembered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -147,6 +150,8 @@ def _signatures(docs: DataFrame, ngram: int, similarity: tuple[int, int]) -> Dat
             fresh = np.zeros(len(sizes), bool)
             for k, key in enumerate(keys.tolist()):
                 if sizes[k] and key not in seen:
+                    if len(seen) >= _SEEN:
+                        seen.clear()
                     seen.add(key)
                     fresh[k] = True
             rids = batch.column("rid").to_numpy(zero_copy_only=False)
@@ -269,7 +274,7 @@ def _candidates(members: DataFrame, profiles: DataFrame, labels: DataFrame, simi
         F.max_by("label", F.struct("k", "label")).alias("common"), F.sum("k").alias("size"), F.max("k").alias("top")
     )
     common = common.filter("size > top")
-    rows = marked.join(common, "tree").join(profiles, "rid")
+    rows = heavy_joined(stage(marked, "marked"), common, ["tree"]).join(profiles, "rid")
     points = F.ceil(F.col("size") / _BLOCK).cast("int")
     queries = F.ceil((F.col("size") - F.col("top")) / _BLOCK).cast("int")
     spread = F.xxhash64("rid")
@@ -347,20 +352,19 @@ def _elements(docs: DataFrame, ngram: int) -> DataFrame:
 
 def _links(docs: DataFrame, firsts: DataFrame, equal: DataFrame, ngram: int, similarity: tuple[int, int]) -> DataFrame:
     """(rid, label): the component of each set that is linked with another."""
-    alike = F.count("*").over(Window.partitionBy("tree"))
-    met = stage(_signatures(docs, ngram, similarity).withColumn("c", alike).filter("c > 1").select("tree", "rid"), "met")
+    routed = stage(_signatures(docs, ngram, similarity), "routed")
+    several = routed.groupBy("tree").agg(F.count("*").alias("c")).filter("c > 1").select("tree")
+    met = heavy_joined(routed, stage(several, "several"), ["tree"])
     # Sets routed by several tasks become one again.
     copies = stage(equal.filter("rid <> first"), "copies")
     named = left_joined(met, copies, "rid").select("tree", F.coalesce("first", "rid").alias("rid"))
-    met = named.repartition("tree").distinct()
-    tree = Window.partitionBy("tree")
-    met = met.withColumns(
-        {"c": F.count("*").over(tree), "least": F.min("rid").over(tree), "sum": F.sum(F.xxhash64("rid") % (1 << 40)).over(tree)}
+    met = stage(named.distinct(), "met")
+    trees = met.groupBy("tree").agg(
+        F.count("*").alias("c"), F.min("rid").alias("least"), F.sum(F.xxhash64("rid") % (1 << 40)).alias("sum")
     )
-    met = stage(met.filter("c > 1"), "trees")
     # Trees with the same members are one tree.
-    same = met.groupBy("c", "least", "sum").agg(F.min("tree").alias("tree")).select("tree")
-    members = stage(met.join(same, "tree", "left_semi").select("tree", "rid", "least"), "members")
+    same = trees.filter("c > 1").groupBy("c", "least", "sum").agg(F.min("tree").alias("tree")).select("tree", "least")
+    members = stage(heavy_joined(met, stage(same, "trees"), ["tree"]), "members")
     profiles = stage(firsts.join(members.select("rid").distinct(), "rid", "left_semi").select("rid", "n", "point"), "points")
     pairs = members.filter("rid <> least").select(F.col("least").alias("a"), F.col("rid").alias("b")).distinct()
     tried = stage(_within_bound(pairs, profiles, similarity), "tried")
@@ -406,18 +410,19 @@ def _components(docs: DataFrame, similarity: tuple[int, int], ngram: int, id_col
     texts = rows.select("rid", "text")
     profiles = stage(_profiles(texts, ngram), "profiles")
     groups = profiles.filter("n > 0").groupBy("n", "k1", "k2").agg(F.min("rid").alias("first"))
-    equal = stage(profiles.filter("n > 0").join(groups, ["n", "k1", "k2"]).select("rid", "first"), "equal")
+    keys = profiles.filter("n > 0").select("rid", "n", "k1", "k2")
+    equal = stage(heavy_joined(keys, stage(groups, "groups"), ["n", "k1", "k2"]).select("rid", "first"), "equal")
     firsts = profiles.join(equal.filter("rid = first").select("rid"), "rid", "left_semi")
     labels = _links(texts, firsts, equal, ngram, similarity)
-    named = equal.join(labels.withColumnRenamed("rid", "first"), "first", "left")
+    named = heavy_joined(equal, labels.withColumnRenamed("rid", "first"), ["first"], "left")
     named = named.select("rid", F.coalesce("label", "first").alias("label"))
     done = profiles.select("rid", F.col("n").alias("n_shingles")).join(named, "rid", "left")
     done = done.withColumn("label", F.coalesce("label", "rid"))
     if not numbered:
         return done.select(F.col("rid").alias("doc_id"), "n_shingles", F.col("label").alias("component_id"))
-    done = done.join(rows.select("rid", "doc_id"), "rid")
+    done = stage(done.join(rows.select("rid", "doc_id"), "rid"), "named")
     least = done.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return done.join(least, "label").select("doc_id", "n_shingles", "component_id")
+    return heavy_joined(done, least, ["label"]).select("doc_id", "n_shingles", "component_id")
 
 
 def first_of_each(
@@ -425,7 +430,8 @@ def first_of_each(
 ) -> DataFrame:
     """The rows of `docs`, all columns, without those that another row of their component comes before.
 
-    The row with the smallest id stays; with null or repeated ids, the first as read. Rows without words stay.
+    The row with the smallest id stays, null ids counting last; of rows with one id, the first by a hash of their content. Rows without
+    words stay.
     """
     rows, rid = keyed(docs, id_col)
     found = jaccard_components(rows, similarity, ngram, rid, text_col).filter("doc_id <> component_id")
