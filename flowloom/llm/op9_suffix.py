@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from flowloom.llm.batches import bytes_of, slices
 from flowloom.llm.bloom import inner_joined, left_joined
+from flowloom.llm.heavy import heavy_joined
 from flowloom.llm.rowids import with_rid
 from flowloom.llm.suffixes import Suffixes
 from flowloom.llm.wordscan import mixed, rolled
@@ -35,8 +36,8 @@ _GRAM_SHARE = 6
 _SLICE = 2 << 20
 _BLOCK = 4 << 20
 _PLACE_BITS = np.uint64(24)
-#: Regions of one anchor in a shard, and bytes at which a shard is closed.
-_REGIONS, _SHARD = 4096, 2 << 20
+#: Regions of one anchor in a shard, and bytes at which a shard is closed. Lists of anchors with more regions are merged.
+_REGIONS, _SHARD = 256, 2 << 20
 
 
 def _codes(data: np.ndarray) -> np.ndarray:
@@ -127,31 +128,58 @@ def _cut(wanted: DataFrame, length: int) -> DataFrame:
     return wanted.mapInArrow(run, "anchor bigint, region bigint, parts int, piece binary")
 
 
-_FOUND = "anchor bigint, region bigint, parts int, part int, first int, last int, print bigint, more bigint"
+_FOUND = "anchor bigint, region bigint, part int, first int, last int, slice int, strings binary"
+#: A string that a shard publishes: two fingerprints, and a region and place where it stands.
+_STRING = np.dtype([("print", "<u8"), ("more", "<u8"), ("region", "<i8"), ("at", "<i4")])
+#: Slices of an anchor's lists for each of its parts.
+_SLICES = 4
 
 
 def _array(pieces: DataFrame, length: int) -> DataFrame:
-    """Suffix arrays over shards. Rows with a null `print`: starts first to last - 1 of a region repeat; others: a distinct string."""
+    """Suffix arrays over shards. Rows with null `strings`: starts first to last - 1 of a region repeat; others: a slice of the sorted list
+    of a shard's distinct strings."""
 
-    def shard(rows: list[tuple]) -> pa.RecordBatch:
-        texts = [row[-1] for row in rows]
-        places = Suffixes(texts).repeated(length)
+    names = [f.split()[0] for f in _FOUND.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    def shard(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        places = Suffixes([row[-1] for row in rows]).repeated(length)
         out: list[tuple] = []
-        seen: set[tuple] = set()
-        for (anchor, region, parts, part, text), found in zip(rows, places, strict=True):
+        for (anchor, region, _, part, _), found in zip(rows, places, strict=True):
             for run in np.split(found, np.flatnonzero(np.diff(found) != 1) + 1) if len(found) else ():
-                out.append((anchor, region, parts, part, int(run[0]), int(run[-1]) + 1, None, None))
-            if parts > 1:
-                codes = _codes(np.frombuffer(text, np.uint8))
-                prints, more = rolled(codes, length, 5).view(np.int64).tolist(), rolled(codes, length, 9).view(np.int64).tolist()
-                for at, pair in enumerate(zip(prints, more, strict=True)):
-                    if (anchor, *pair) not in seen:
-                        seen.add((anchor, *pair))
-                        out.append((anchor, region, parts, part, at, at + 1, *pair))
-        columns = list(zip(*out, strict=True)) or [()] * 8
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-        names = [f.split()[0] for f in _FOUND.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
+                out.append((anchor, region, part, int(run[0]), int(run[-1]) + 1, None, None))
+        yield batch_of(out)
+        cut = [row for row in rows if row[2] > 1]
+        if cut:
+            yield batch_of(published(cut))
+
+    def published(rows: list[tuple]) -> list[tuple]:
+        """The distinct strings of each anchor, sorted, in slices by fingerprint."""
+        codes = [_codes(np.frombuffer(row[-1], np.uint8)) for row in rows]
+        prints, more = (np.concatenate([rolled(c, length, k) for c in codes]) for k in (5, 9))
+        sizes = np.array([len(c) - length + 1 for c in codes])
+        owner = np.repeat(np.arange(len(rows)), sizes)
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        anchors, regions, parts, part = (np.array([row[k] for row in rows], np.int64)[owner] for k in range(4))
+        order = np.lexsort((more, prints, anchors))
+        same = [x[order][1:] == x[order][:-1] for x in (anchors, prints, more)]
+        order = order[~np.concatenate([[False], same[0] & same[1] & same[2]])]
+        slot = (prints % (parts * _SLICES).astype(np.uint64)).astype(np.int64)
+        order = order[np.lexsort((slot[order], part[order], anchors[order]))]
+        keys = [x[order] for x in (anchors, part, slot)]
+        opens = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+        strings = np.empty(len(order), _STRING)
+        for name, values in zip(_STRING.names, (prints, more, regions, at), strict=True):
+            strings[name] = values[order]
+        pieces = np.split(strings, opens[1:])
+        return [
+            (int(a), None, int(p), None, None, int(s), piece.tobytes())
+            for a, p, s, piece in zip(*(k[opens] for k in keys), pieces, strict=True)
+        ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -161,12 +189,12 @@ def _array(pieces: DataFrame, length: int) -> DataFrame:
             for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
                 # An anchor's part is never cut; its size is bounded.
                 if held >= _SHARD and (row[0], row[3]) != last:
-                    yield shard(rows)
+                    yield from shard(rows)
                     rows, held = [], 0
                 rows.append(row)
                 held, last = held + len(row[-1]), (row[0], row[3])
         if rows:
-            yield shard(rows)
+            yield from shard(rows)
 
     dealt = pieces.withColumn("part", F.pmod(F.col("region"), F.col("parts")).cast("int"))
     dealt = dealt.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "region")
@@ -177,24 +205,34 @@ def _merged(published: DataFrame) -> DataFrame:
     """(anchor, region, first, last) of strings that another shard of the same anchor publishes too."""
 
     def merge(rows: pa.Table) -> pa.Table:
-        prints = rows.column("print").to_numpy().view(np.uint64)
-        more = rows.column("more").to_numpy().view(np.uint64)
-        keys = np.rec.fromarrays([prints, more], names="print,more")
-        parts = rows.column("part").to_numpy()
-        hit = np.zeros(len(keys), bool)
-        lists = {p: np.sort(keys[parts == p], order=("print", "more")) for p in np.unique(parts)}
-        firsts = {p: held["print"] for p, held in lists.items()}
-        for p, held in lists.items():
-            mine = np.flatnonzero(parts == p)
-            for q in lists:
+        lists: dict[int, np.ndarray] = {}
+        for part, data in zip(rows.column("part").to_pylist(), rows.column("strings").to_pylist(), strict=True):
+            held = np.frombuffer(data, _STRING)
+            lists[part] = np.concatenate([lists[part], held]) if part in lists else held
+        lists = {p: held[np.lexsort((held["more"], held["print"]))] for p, held in lists.items()}
+        found = []
+        for p, mine in lists.items():
+            hit = np.zeros(len(mine), bool)
+            for q, held in lists.items():
                 if q != p:
-                    at = np.searchsorted(firsts[q], prints[mine])
-                    there = np.minimum(at, len(firsts[q]) - 1)
-                    hit[mine] |= lists[q][there] == keys[mine]
-        return rows.filter(pa.array(hit)).select(["anchor", "region", "first", "last"])
-
-    sliced = published.withColumn("slice", F.pmod("print", F.col("parts") * 4))
-    return sliced.groupBy("anchor", "slice").applyInArrow(merge, "anchor bigint, region bigint, first int, last int")
+                    # Equal prints with other second halves are next to none; a run of them is looked through.
+                    at = np.searchsorted(held["print"], mine["print"])
+                    while (near := (at < len(held)) & (held["print"][np.minimum(at, len(held) - 1)] == mine["print"])).any():
+                        there = np.minimum(at, len(held) - 1)
+                        hit |= near & (held["more"][there] == mine["more"])
+                        at = np.where(near, at + 1, len(held))
+            found.append(mine[hit])
+        both = np.concatenate(found)
+        both = both[np.lexsort((both["at"], both["region"]))]
+        region, at = both["region"], both["at"].astype(np.int64)
+        # Neighbouring starts of one region are a run.
+        opens = np.flatnonzero(np.concatenate([[True], (region[1:] != region[:-1]) | (at[1:] > at[:-1] + 1)])[: len(both)])
+        last = np.append(opens[1:], len(both))[: len(opens)] - 1
+        columns = [np.full(len(opens), rows.column("anchor")[0].as_py()), region[opens], at[opens], at[last] + 1]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.table([pa.array(c).cast(k) for c, k in zip(columns, kinds, strict=True)], names=["anchor", "region", "first", "last"])
+
+    return published.groupBy("anchor", "slice").applyInArrow(merge, "anchor bigint, region bigint, first int, last int")
 
 
 def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -204,22 +242,24 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def _repeated_starts(texts: DataFrame, length: int) -> DataFrame:
     runs = stage(_start_runs(texts, length), "runs")
-    regions = runs.groupBy("anchor", "region", "n").agg(
-        F.count("*").alias("c"), F.min(F.struct("rid", "start")).alias("at")
-    )
+    regions = runs.groupBy("anchor", "region", "n").agg(F.count("*").alias("c"), F.min(F.struct("rid", "start")).alias("at"))
+    regions = stage(regions, "regions")
     anchors = regions.groupBy("anchor").agg(F.sum("c").alias("places"), F.count("*").alias("kinds")).filter("places > 1")
-    shared = stage(regions.join(anchors, "anchor").select("anchor", "region", "n", "c", "at", "kinds"), "shared")
+    shared = stage(heavy_joined(regions, stage(anchors, "anchors"), ["anchor"]).select("anchor", "region", "n", "c", "at", "kinds"), "shared")
     several = shared.filter("kinds > 1")
     parts = F.ceil(F.col("kinds") / _REGIONS).cast("int").alias("parts")
     wanted = several.select(F.col("at.rid").alias("rid"), F.struct("at.start", "n", "anchor", "region", parts).alias("one"))
     wanted = stage(wanted.groupBy("rid").agg(F.collect_list("one").alias("regions")), "wanted")
     pieces = _cut(inner_joined(texts, wanted, "rid").select("text", "regions"), length)
     found = stage(_array(pieces, length), "repeats")
-    within = found.filter("print is null").select("anchor", "region", "first", "last")
-    across = _merged(found.filter("print is not null"))
+    within = found.filter("strings is null").select("anchor", "region", "first", "last")
+    across = _merged(found.filter("strings is not null").select("anchor", "part", "slice", "strings"))
     equal = shared.filter("c > 1").select("anchor", "region", F.lit(0).alias("first"), F.col("n").alias("last"))
     repeats = equal.union(within).union(across)
-    placed = runs.join(repeats, ["anchor", "region"])
+    # A region has a bounded number of starts.
+    packed = repeats.groupBy("anchor", "region").agg(F.collect_list(F.struct("first", "last")).alias("found"))
+    keys = runs.select("anchor", "region", "rid", "start")
+    placed = heavy_joined(keys, stage(packed, "packed"), ["anchor", "region"]).select("rid", "start", F.inline("found"))
     spans = placed.select("rid", F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last")).alias("run"))
     return spans.groupBy("rid").agg(F.collect_list("run").alias("runs"))
 
