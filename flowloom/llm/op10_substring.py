@@ -17,11 +17,12 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.llm.batches import bytes_of, map_all, slices
-from flowloom.llm.bloom import fresh_names, inner_joined, left_joined
+from flowloom.llm.bloom import fresh_names, inner_joined, left_joined, probed
+from flowloom.llm.heavy import heavy_joined
 from flowloom.llm.rowids import keyed, with_rid
 from flowloom.llm.wordscan import doc_of, mixed, rolled, word_hashes
 from flowloom.sources.staging import stage, staged_result
@@ -116,17 +117,22 @@ def _windows(joined: DataFrame, window: int) -> DataFrame:
 
 
 def _shared(rows: DataFrame, *key: str) -> DataFrame:
-    """(rid, place) of rows whose key occurs twice or more, or that are known to be shared."""
-    n = F.count("*").over(Window.partitionBy(*key))
-    return rows.withColumn("n", n).filter(F.col("known") | (F.col("n") > 1)).select("rid", "place")
+    """(rid, place) of rows whose key occurs twice or more, or that are known to be shared.
+
+    Keys are counted with a combine before the shuffle, and joined back to the rows that a filter of those found lets through.
+    """
+    rows = stage(rows, "keys")
+    several = stage(rows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key), "several")
+    maybe = stage(probed(rows.filter("not known"), F.col(key[0]), several, key[0])[0], "maybe")
+    return heavy_joined(maybe, several, list(key)).select("rid", "place").union(rows.filter("known").select("rid", "place"))
 
 
 def _copies(docs: DataFrame) -> DataFrame:
     """(rid, place) of texts, not empty, that occur twice or more; the place says whether the row is the first of its copies."""
-    texts = docs.filter("text <> ''").select("rid", F.md5("text").alias("text_key"))
+    texts = stage(docs.filter("text <> ''").select("rid", F.md5("text").alias("text_key")), "texts")
     groups = texts.groupBy("text_key").agg(F.min("rid").alias("first"), F.count("*").alias("n")).filter("n > 1")
     mark = F.when(F.col("rid") == F.col("first"), _FIRST_COPY).otherwise(_COPY).alias("place")
-    return texts.join(groups, "text_key").select("rid", mark)
+    return heavy_joined(texts, stage(groups, "groups"), ["text_key"]).select("rid", mark)
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -247,6 +247,7 @@ def prefixes(rows: DataFrame, prime: int, multiplier: int) -> DataFrame:
         F.col("nul").cast("long"), "turn", F.col("x").alias("ox"), F.col("y").alias("oy"), "tie",
     )
     ordered = first.union(then).repartitionByRange("conv_id", *order).sortWithinPartitions("conv_id", *order)
+    ordered = ordered.select("conv_id", "kind", "x", "y", "chars", "n", "h", "head")
     scanned = stage(ordered.mapInArrow(_scanner(prime, multiplier), _SCANNED), "scanned")
     # One row for each partition of the shuffle.
     summaries = [tuple(r) for r in scanned.filter(F.col("kind") == _SUMMARY).select("part", "state").collect()]

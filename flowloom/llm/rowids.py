@@ -36,13 +36,13 @@ def with_rid(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bo
 
 
 def _placed(rows: DataFrame, key: Column, content: list[str], name: str) -> DataFrame:
-    """The rows with their place by id (null first) and content, so it does not depend on how the table is split.
+    """The rows with their place by id (null last) and content, so it does not depend on how the table is split.
 
     Rows that are equal in all of that are equal; their place as read tells them apart.
     """
     order = fresh_names(rows, "row_key", "row_text", "row_more", "row_read")
     # A map has no hash of its own.
     parts = [F.to_json(F.struct(c)) if rows.schema[c.strip("`")].dataType.simpleString().find("map<") >= 0 else F.col(c) for c in content]
-    values = [key, F.xxhash64(F.lit("row"), *parts), F.xxhash64(F.lit("more"), *parts), F.monotonically_increasing_id()]
+    values = [F.coalesce(key, F.lit((1 << 63) - 1)), F.xxhash64(F.lit("row"), *parts), F.xxhash64(F.lit("more"), *parts), F.monotonically_increasing_id()]
     marked = rows.withColumns(dict(zip(order, values, strict=True)))
     return numbered(marked, *order, name=name)[0].drop(*order)
