@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.sources.staging import stage
+from flowloom.sources.workers import find_package
 
 _SUMMARY = "lot int, keys array<bigint>, counts array<bigint>, less bigint"
 #: Summaries that one task merges.
@@ -60,6 +61,7 @@ def summary(hashes: DataFrame, most: int) -> tuple[dict[int, int], int]:
         total = less + sum(rows.column("less").to_pylist())
         return pa.Table.from_batches([_batch(rows.column("lot")[0].as_py(), keys, counts, total)])
 
+    find_package(hashes.sparkSession)
     level = stage(hashes.mapInArrow(count, _SUMMARY), "summaries")
     lots = level.agg(F.max("lot")).first()[0] or 0
     while lots:

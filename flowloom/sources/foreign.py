@@ -23,6 +23,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from flowloom.operators.positions import with_position
 from flowloom.operators.sizing import lookup_side
 from flowloom.sources.staging import stage
+from flowloom.sources.workers import find_package
 
 #: A record of more characters, or over more ranges, is taken for a quote that is never closed.
 LONGEST, MOST_RANGES = 1 << 28, 64
@@ -114,6 +115,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     """(file, rid, seq, record): every record of the files as one text, the header too; (rid, seq) is the order over all files."""
+    find_package(spark)
     lines = _lines(spark, path)
     ranges = stage(_ranges(lines), "ranges")
     known = lines.join(lookup_side(ranges), ["path", "block"]).select("rid", "file", "inside", "line")
