@@ -198,12 +198,10 @@ def events_in_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each purchase, the events and users in the minutes behind it; as many minutes as its value says."""
     at = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
     events = _table(spark, sf_dir, "events").withColumn("at", at)
-    points = events.select("event_id", "user_id", "at", (F.col("at") + 1).alias("behind"))
     minutes = F.ceil("value").cast("long")
     windows = events.filter("event_type = 'purchase'").select("event_id", "at", (F.col("at") + minutes * 60_000_000).alias("behind"))
-    pairs = intervals.overlap_join(points, ("at", "behind"), windows, ("at", "behind"))
-    found = pairs.groupBy(F.col("right.event_id").alias("window_id"))
-    return found.agg(F.count("*").alias("n_events"), F.count_distinct("left.user_id").alias("n_users"))
+    found = intervals.overlap_counts(events, "at", "user_id", windows, ("at", "behind"), "event_id")
+    return found.toDF("window_id", "n_events", "n_users")
 
 
 def _month(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:

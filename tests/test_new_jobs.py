@@ -208,6 +208,36 @@ def test_overlaps(spark, monkeypatch, width, levels, pairs):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("bits, lot", [(17, 1 << 18), (4, 7)])
+def test_overlap_counts(spark, monkeypatch, bits, lot):
+    """Points at one time, null times and keys, windows from end to end, values of `by` that repeat, with equal windows and with others."""
+    monkeypatch.setattr(intervals, "BLOCK_BITS", bits)
+    monkeypatch.setattr(intervals, "LOT", lot)
+    rnd = random.Random(6)
+    points = [(rnd.choice([None, 7, rnd.randint(-500, 500)]), rnd.choice([None, "hot", *"abcdefgh"])) for _ in range(400)]
+    points += [(7, "hot")] * 90
+    windows = [(i, s, s + rnd.choice([0, 1, 9, 200, 3000])) for i, s in enumerate(rnd.choice([7, rnd.randint(-600, 600)]) for _ in range(120))]
+    windows += [(1000, -50, 50)] * 3 + [(1001, -50, 50), (1001, 0, 60), (1001, 400, 480), (None, 7, 8), (None, 3, 8), (1002, 2000, 3000)]
+    windows += [(1003, None, 5), (1004, 5, None), (1005, 9, 3)]
+    table = spark.createDataFrame(points, "at long, who string")
+    found = intervals.overlap_counts(table, "at", "who", spark.createDataFrame(windows, "w long, s long, e long"), ("s", "e"), "w")
+    wanted = defaultdict(list)
+    for w, s, e in windows:
+        if s is not None and e is not None:
+            wanted[w] += [k for t, k in points if t is not None and s <= t < e]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(((w, len(k), len({*k} - {None})) for w, k in wanted.items() if k), key=str)
+
+
+def test_overlap_counts_without_pairs(spark):
+    """Points that all lie in all windows: no step makes a row for each pair."""
+    points = spark.range(3000).select((F.col("id") % 50).alias("at"), F.col("id").alias("who"))
+    windows = spark.range(2000).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("s"), F.lit(50).cast("long").alias("e"))
+    found = intervals.overlap_counts(points, "at", "who", windows, ("s", "e"), "w")
+    assert {tuple(r)[1:] for r in found.collect()} == {(3000, 3000)}
+    assert intervals.overlap_counts(points, "at", "who", windows.limit(0), ("s", "e"), "w").collect() == []
+    assert "count(distinct" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_overlaps(spark):
     empty = spark.createDataFrame([], "s long, e long")
     some = spark.createDataFrame([(1, 5)], "s long, e long")
