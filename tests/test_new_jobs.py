@@ -261,6 +261,20 @@ def test_neighbours(spark):
     assert estimated.keys() == wanted.keys() and all(abs(estimated[k] / n - 1) < 0.08 for k, n in wanted.items())
 
 
+def test_neighbours_in_partitions_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ROWS", 500)
+    rows = spark.range(20_000).select((F.col("id") % 3).alias("a"), (F.col("id") % 7000).alias("b"), (F.col("id") % 4).alias("t"))
+    found = neighbours.window_neighbours(rows, "a", "b", F.col("t"), 2)
+    wanted = defaultdict(set)
+    for i in range(20_000):
+        for w in range(i % 4, i % 4 + 2):
+            wanted[i % 3, w].add(i % 7000)
+    assert {(r["node"], r["window"]): r["n"] for r in found.collect()} == {k: len(v) for k, v in wanted.items()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # One shuffle of edges over 20,000 / 500 partitions, one of counts; the first part of the plan is the one that ran.
+    assert ", 40), REPARTITION_BY_NUM" in plan and plan.split("Initial Plan")[0].count("Exchange hashpartitioning") == 2
+
+
 def test_place_in_one_group(spark):
     """All rows in one cell: only the tie column tells them apart."""
     rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(1).alias("g"))
