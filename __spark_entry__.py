@@ -48,6 +48,7 @@ CLASS_SIZE = 5
 WINDOW = ("1/3/2024 10:30", "3/3/2024 12:30")
 DAY = ("23/6/2020 11:00", "24/6/2020 11:00")
 ROWS_PER_CSV_FILE = 1_000_000
+BYTES_PER_CSV_FILE = 64 << 20
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -149,7 +150,8 @@ def port_clean_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_foreign_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as others write them, line breaks inside quotes, and read in byte ranges."""
     docs, path = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text", "n_chars"), fresh_path(spark, "foreign")
-    docs.repartition(3).write.options(header=True, escape='"', quoteAll=True).csv(path)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    docs.repartition(max(3, -(-size // BYTES_PER_CSV_FILE))).write.options(header=True, escape='"', quoteAll=True).csv(path)
     rows = foreign.read_foreign(spark, path)
     return columns.typed_projection(rows, "doc_id bigint, lang string, text string, n_chars bigint")
 

@@ -50,6 +50,19 @@ def test_foreign_records(spark, tmp_path, small_ranges):
     assert Counter(map(tuple, some)) == Counter((z, i) for i, _, z in wanted)
 
 
+def test_foreign_files_grow_in_number(spark, tmp_path, monkeypatch):
+    """As many files as the texts take, so that no task writes or reads a share of all."""
+    import __spark_entry__ as entry
+
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit('a "b",\n' * 20 + "x").alias("text"), F.lit(141).alias("n_chars"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(entry, "BYTES_PER_CSV_FILE", 4230, raising=False)
+    monkeypatch.setattr(entry, "fresh_path", lambda *_: str(tmp_path / "csv"))
+    rows = entry.csv_foreign_records(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, rows)) == [(i, "en", 'a "b",\n' * 20 + "x", 141) for i in range(300)]
+    assert len([*(tmp_path / "csv").glob("part-*")]) == 10
+
+
 def test_records_over_ranges(spark, tmp_path, small_ranges):
     """A record that is longer than several ranges, and one that is never closed."""
     long = "\n".join(f"line {i}" for i in range(400))
