@@ -200,6 +200,21 @@ def test_flow_table_is_the_same_with_shuffled_lookups(spark, small, expected_flo
     assert sorted(flows.collect(), key=lambda r: r["id"]) == expected_flows
 
 
+def test_common_and_rare_values(spark):
+    """Rows that repeat, and draws of each kind, by the plain lookup and by the one that shuffles only rare values."""
+    rows = spark.range(0, 60_000).select((F.col("id") % 50_000).alias("id"), F.lit("x").alias("other"))
+    weights = ports_by_weight(spark, 5000)
+    plain = weighted_assign(rows, "id", weights, "port", {"p": "one", "q": "two"})
+    wanted = sorted(map(tuple, plain.collect()))
+    assert "LeftAnti" not in plan_text(plain)
+    spark.conf.set("flowloom.broadcastBytes", "300000")
+    try:
+        found = weighted_assign(rows, "id", weights, "port", {"p": "one", "q": "two"})
+        assert "LeftAnti" in plan_text(found) and sorted(map(tuple, found.collect())) == wanted
+    finally:
+        spark.conf.unset("flowloom.broadcastBytes")
+
+
 def test_flows_are_not_shuffled_when_lookups_are_small(spark, small):
     text = plan_text(make_flows(spark, small))
     above_rows = text.split("explode(sequence(((_piece")[0]
