@@ -88,7 +88,8 @@ def flow_rows(
 
     The profile, the addresses and the ports are small results of large scans; they are computed
     side by side and staged, so the flows themselves are made in one pass. Every attribute is computed from the row id, and the
-    lookups are broadcast joins as long as their measured size allows it, so no flow is shuffled.
+    lookups are broadcast joins as long as their measured size allows it, so no flow is shuffled. Of ports too many for that the
+    common ones are broadcast; flows with others are shuffled as ids, before they get their other columns.
 
     Without `ports` the two port columns are left out. `min_per_minute` makes a volume too thin
     for the window an error.
@@ -103,12 +104,12 @@ def flow_rows(
     )
     allocation = volume_allocation(profile_window(profile, start, end), total)
 
-    rows = row_expansion(allocation, total)
-    rows = rows.select("id", jittered().alias("timestamp"))
-    rows = size_fields(bucket_assign(rows, "id"), "id")
-    rows = endpoint_enrich(endpoint_pairs(rows, "id", count), addresses)
+    # Lookups too large for a broadcast shuffle rows, so those meet them while they are narrow.
+    rows = row_expansion(allocation, total).select("id", "minute_ts")
     if weights is not None:
         rows = weighted_assign(rows, "id", weights, "port", PORT_DRAWS)
+    rows = endpoint_enrich(endpoint_pairs(rows, "id", count), addresses)
+    rows = size_fields(bucket_assign(rows.withColumn("timestamp", jittered()), "id"), "id")
     return rows.select("id", *[c for c in FLOW_COLUMNS if c in rows.columns])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from flowloom.functions.addresses import dotted_quad
 from flowloom.functions.draws import draw, label
+from flowloom.operators import assign
 from flowloom.operators.assign import bucket_assign, size_fields, weighted_assign
 from flowloom.operators.entities import (
     address_dim,
@@ -200,6 +201,23 @@ def test_flow_table_is_the_same_with_shuffled_lookups(spark, small, expected_flo
     assert sorted(flows.collect(), key=lambda r: r["id"]) == expected_flows
 
 
+def test_flow_table_is_the_same_with_common_ports_broadcast(spark, small, expected_flows, monkeypatch):
+    """Too many ports for a broadcast: only flows with another than the common ones are shuffled, and as ids."""
+    monkeypatch.setattr(assign, "HEAVY", 10, raising=False)
+    monkeypatch.setattr(assign, "LISTED", 50, raising=False)
+    spark.conf.set("flowloom.broadcastBytes", "5000")
+    try:
+        flows = make_flows(spark, small)
+        assert sorted(flows.collect(), key=lambda r: r["id"]) == expected_flows
+    finally:
+        spark.conf.unset("flowloom.broadcastBytes")
+    text = plan_text(flows)
+    assert "LeftAnti" in text and "ShuffledHashJoin" in text
+    lines = text.splitlines()
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning(_in_cell" in line]
+    assert below and not any(column in line for line in below for column in ("packets", "timestamp#", "_IP"))
+
+
 def test_common_and_rare_values(spark):
     """Rows that repeat, and draws of each kind, by the plain lookup and by the one that shuffles only rare values."""
     rows = spark.range(0, 60_000).select((F.col("id") % 50_000).alias("id"), F.lit("x").alias("other"))
