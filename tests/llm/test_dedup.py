@@ -85,6 +85,25 @@ def test_suffixes(spark, monkeypatch, length, odd, regions, letters):
     assert brute.ordered(result.collect()) == brute.ordered(brute.repeated_bytes(rows, length))
 
 
+@pytest.mark.parametrize("hashed", [1, 700, 1 << 20])
+def test_texts_hashed_in_slices(spark, monkeypatch, hashed):
+    monkeypatch.setattr(op9_suffix, "_HASHED", hashed)
+    rnd = random.Random(5)
+    parts = ["".join(rnd.choice("abé \n") for _ in range(90)) for _ in range(6)]
+    rows = [(i, "".join(rnd.choice(parts)[rnd.randint(0, 60) :] + rnd.choice("xyz") for _ in range(rnd.randint(0, 9)))) for i in range(40)]
+    result = op9_suffix.digest(op9_suffix.remove_repeats(frame(spark, rows), 50))
+    assert brute.ordered(result.collect()) == brute.ordered(brute.repeated_bytes(rows, 50))
+
+
+def test_passages_of_many_words_go_from_400_bytes_on(spark):
+    """51 words with 399 bytes in two texts stay, with one byte more they go."""
+    short = " ".join(f"w{i:04d}x" for i in range(50)) + " " + "q" * 49
+    assert len(short) == 399 and len(short.split()) > 50
+    rows = [(1, "A" + short + "B"), (2, "C" + short + "D"), (3, "E" + short.upper() + "!F"), (4, "G" + short.upper() + "!H")]
+    found = op9_suffix.remove_repeats(frame(spark, rows)).select("doc_id", "n_removed").collect()
+    assert sorted(map(tuple, found)) == [(1, 0), (2, 0), (3, 400), (4, 400)]
+
+
 def test_suffix_order():
     rnd = random.Random(1)
     texts = ["".join(rnd.choice("ab") for _ in range(rnd.randint(0, 60))).encode() for _ in range(30)] + [b"aaaa" * 9, b""]
