@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.llm.batches import bytes_of, slices
-from flowloom.llm.bloom import among, left_joined, without
+from flowloom.llm.bloom import among, left_joined, probed, without
 from flowloom.llm.components import components
 from flowloom.llm.heavy import heavy_joined
 from flowloom.llm.rowids import keyed, with_rid
@@ -353,8 +353,10 @@ def _elements(docs: DataFrame, ngram: int) -> DataFrame:
 def _links(docs: DataFrame, firsts: DataFrame, equal: DataFrame, ngram: int, similarity: tuple[int, int]) -> DataFrame:
     """(rid, label): the component of each set that is linked with another."""
     routed = stage(_signatures(docs, ngram, similarity), "routed")
-    several = routed.groupBy("tree").agg(F.count("*").alias("c")).filter("c > 1").select("tree")
-    met = heavy_joined(routed, stage(several, "several"), ["tree"])
+    several = stage(routed.groupBy("tree").agg(F.count("*").alias("c")).filter("c > 1").select("tree"), "several")
+    # Most trees have one member; rows of those that the filter tells are neither counted again nor shuffled and sorted.
+    likely = stage(probed(routed, F.col("tree"), several, "tree")[0], "likely")
+    met = heavy_joined(likely, several, ["tree"])
     # Sets routed by several tasks become one again.
     copies = stage(equal.filter("rid <> first"), "copies")
     named = left_joined(met, copies, "rid").select("tree", F.coalesce("first", "rid").alias("rid"))

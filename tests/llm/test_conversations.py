@@ -15,6 +15,7 @@ import brute  # noqa: E402
 from flowloom.llm import op11_prefixes, op13_repair  # noqa: E402
 from flowloom.llm.heavy import heavy_joined  # noqa: E402
 from flowloom.llm.queries import find_package  # noqa: E402
+from flowloom.sources.staging import staged_scope  # noqa: E402
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 
@@ -96,6 +97,15 @@ def test_heavy_keys(spark):
         assert brute.ordered(heavy_joined(left, right, ["k"], how).collect()) == brute.ordered(left.join(right, ["k"], how).collect())
 
 
+def test_heavy_keys_are_not_written(spark):
+    left = spark.createDataFrame([(k % 3 if k % 2 else k,) for k in range(5000)], "k long")
+    right = spark.createDataFrame([(k, str(k)) for k in range(4000)], "k long, v string")
+    with staged_scope(spark) as scope:
+        assert heavy_joined(left, right, ["k"], "left").count() == 5000
+        assert heavy_joined(right, right.select("k"), ["k"]).count() == 4000
+    assert scope.paths == []
+
+
 ROLES = ["system", "user", "user", "assistant", "assistant", "tool", "", None]
 TEXTS = ["x.", "yy!", "zz?", "w", " ", None, "", "ab.  \n", "a . ", "é ", "no stop"]
 

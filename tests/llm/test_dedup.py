@@ -146,6 +146,25 @@ def test_jaccard_blocks_and_rounds(spark, monkeypatch):
     assert brute.ordered(result.collect()) == brute.ordered(brute.jaccard(rows))
 
 
+def test_jaccard_joins_only_trees_of_several(spark, monkeypatch):
+    rnd = random.Random(3)
+    texts = [" ".join("w%d" % rnd.randint(0, 10**6) for _ in range(60)) for _ in range(150)]
+    rows = list(enumerate(texts)) + [(200 + k, text + " end") for k, text in enumerate(texts[:5])]
+    docs, joined = spark.createDataFrame(rows, SCHEMA), []
+    routed = op8_jaccard._signatures(docs.withColumnRenamed("doc_id", "rid"), 3, (90, 100)).count()
+    heavy_joined = op8_jaccard.heavy_joined
+
+    def counted(rows, lookup, keys, how="inner"):
+        if keys == ["tree"]:
+            joined.append(rows.count())
+        return heavy_joined(rows, lookup, keys, how)
+
+    monkeypatch.setattr(op8_jaccard, "heavy_joined", counted)
+    found = op8_jaccard.jaccard_components(docs).select("doc_id", "component_id").collect()
+    assert {tuple(r) for r in found} == {(i, i % 200 if i >= 200 else i) for i, _ in rows}
+    assert 0 < joined[0] < routed / 4
+
+
 def test_first_of_each(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(5, text), (2, text), (9, text + " end"), (7, None), (8, ""), (1, "else"), (None, "alone here")]
